@@ -67,6 +67,12 @@ def clean_rows(spec: ReportSpec, flat: DataFrame) -> DataFrame:
     return rows.where("date IS NOT NULL") if spec.is_fact else rows
 
 
+def dimension_rows(spec: ReportSpec, flat: DataFrame) -> DataFrame:
+    """First row per key in listing and response order."""
+    kept = keep_first(clean_rows(spec, flat), spec.dedupe_keys, ["account_ord", "row_ord"])
+    return drop_landing_columns(kept)
+
+
 def load_fact(
     store: Store,
     spec: ReportSpec,
