@@ -7,54 +7,24 @@ from pyspark.sql import functions as F
 
 from spendmill.plans.spec import LANDING_COLUMNS, VIOLATION
 
-REPORT_DDL = (
-    "requested_account string, account_id string, row_count bigint, null_dates bigint, violation string, failed boolean"
-)
-
-
 def account_report(staged: DataFrame, failed_requests: DataFrame | None = None) -> DataFrame:
-    """One row per requested and delivered account: counts, an example violation, and whether the account fails.
-
-    One broken row fails every row of the requested account, whatever account ID the row itself carries.
-    """
-    has_date = "date" in staged.columns
-    has_account = "account_id" in staged.columns
-    counts = staged.groupBy(
-        "requested_account", F.col("account_id") if has_account else F.lit(None).cast("string").alias("account_id")
-    ).agg(
+    """One row per requested and delivered account: row counts and the first violation, if any."""
+    day = F.col("date").isNull() if "date" in staged.columns else F.lit(False)
+    account = F.col("account_id") if "account_id" in staged.columns else F.lit(None).cast("string").alias("account_id")
+    counts = staged.groupBy("requested_account", account).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("date").isNull() if has_date else F.lit(False)).alias("null_dates"),
+        F.count_if(day).alias("null_dates"),
         F.min(VIOLATION).alias("violation"),
     )
-    if failed_requests is not None:
-        counts = counts.unionByName(
-            failed_requests.select("requested_account")
-            .distinct()
-            .select(
-                "requested_account",
-                F.lit(None).cast("string").alias("account_id"),
-                F.lit(0).cast("bigint").alias("row_count"),
-                F.lit(0).cast("bigint").alias("null_dates"),
-                F.lit("request failed").alias("violation"),
-            )
-        )
-    broken = (
-        counts.where("violation IS NOT NULL")
-        .groupBy(F.col("requested_account").alias("_broken"))
-        .agg(F.lit(True).alias("failed"))
-    )
-    return counts.join(broken, F.col("requested_account").eqNullSafe(F.col("_broken")), "left").select(
-        "requested_account",
-        "account_id",
-        "row_count",
-        "null_dates",
-        "violation",
-        F.coalesce("failed", F.lit(False)).alias("failed"),
-    )
+    if failed_requests is None:
+        return counts
+    unanswered = failed_requests.select("requested_account").distinct()
+    return counts.unionByName(unanswered.withColumn("violation", F.lit("request failed")), allowMissingColumns=True)
 
 
 def failed_accounts(report: DataFrame) -> DataFrame:
-    return report.where("failed").select("requested_account").distinct()
+    """Requested accounts with at least one broken row, whatever account ID that row itself carries."""
+    return report.where("violation IS NOT NULL").select("requested_account").distinct()
 
 
 def without_failed(rows: DataFrame, report: DataFrame) -> DataFrame:

@@ -11,12 +11,13 @@ from spendmill.operators.incremental import DateWindow
 from spendmill.session import scoped_conf
 
 ROWS_PER_TASK = 1_000_000
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def partition_dates(spark: SparkSession, table: str) -> DataFrame:
+def partition_dates(spark: SparkSession, table: str) -> set[date]:
     """Partition dates of a table, from the catalog alone: no file is listed or opened."""
-    text = F.substring_index(F.col("partition"), "=", -1)
-    return spark.sql(f"SHOW PARTITIONS {table}").select(F.try_to_date(text).alias("date")).where("date IS NOT NULL")
+    values = [row["partition"].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {date.fromisoformat(value) for value in values if value != NULL_PARTITION}
 
 
 def rows_outside_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def replace_slices(
     window. Lists that reach the driver are calendar days of the window, never rows.
     """
     columns = spark.table(table).columns
-    present = {r["date"] for r in partition_dates(spark, table).where(window.contains("date")).collect()}
+    present = {day for day in partition_dates(spark, table) if window.start <= day <= window.end}
     arriving = {r["date"] for r in batch.select("date").distinct().collect()}
 
     def kept(dates: set[date]) -> DataFrame:

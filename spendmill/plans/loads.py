@@ -13,7 +13,7 @@ from spendmill.fixed_values import EXCLUDED_ACCOUNTS, FIRST_RUN_FLOOR, LOOKBACK_
 from spendmill.functions import without_prefix
 from spendmill.operators.dedupe import keep_first
 from spendmill.operators.incremental import DateWindow, lookback_window
-from spendmill.operators.isolation import account_report, drop_landing_columns, without_failed
+from spendmill.operators.isolation import account_report, drop_landing_columns, failed_accounts, without_failed
 from spendmill.operators.slices import replace_slices
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
@@ -39,7 +39,8 @@ class LoadResult:
     dropped_dates: tuple[date, ...] = ()
 
     def failures(self) -> DataFrame:
-        return self.accounts.where("failed").groupBy("requested_account").agg(F.min("violation").alias("violation"))
+        broken = self.accounts.where("violation IS NOT NULL")
+        return broken.groupBy("requested_account").agg(F.min("violation").alias("violation"))
 
     def raise_for_failures(self) -> None:
         """The full list stays in `accounts`; the message shows the first few."""
@@ -110,7 +111,7 @@ def load_fact(
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("null_dates"), F.lit(0)).alias("null_dates"),
-        F.count_if("failed").alias("failed"),
+        F.count("violation").alias("failed"),
     ).first()
 
     good = without_failed(staged, report) if totals["failed"] else staged
@@ -119,38 +120,34 @@ def load_fact(
         quarantined.write.mode("overwrite").parquet(store.run_path(run, spec.table, "quarantine"))
         good = good.where("date IS NOT NULL")
 
-    delivered = report.where("NOT failed AND account_id IS NOT NULL AND row_count > null_dates")
+    delivered = without_failed(report, report) if totals["failed"] else report
+    delivered = delivered.where("account_id IS NOT NULL AND row_count > null_dates")
     by_chunk = requests is not None and spec.chunked
     if by_chunk:
         answered = requests.where("ok").select(F.col("requested_account").alias("_asked"), "slice_start", "slice_end")
         asked = F.col("requested_account") == F.col("_asked")
         inside = F.col("date").between(F.col("slice_start"), F.col("slice_end"))
         good = store.stage(good.join(answered, asked & inside, "left_semi"), run, spec.table, "answered")
-        delivered = good.select("requested_account", "account_id").distinct().join(answered, asked)
-        scope = delivered.select("account_id", "slice_start", "slice_end")
+        active = good.select("requested_account", "account_id").distinct()
+        slices = active.join(answered, asked).select("account_id", "slice_start", "slice_end").distinct()
+        scope = store.stage(slices, run, spec.table, "scope")
+        ends = scope.agg(F.min("slice_start").alias("start"), F.max("slice_end").alias("end")).first()
+        reach = DateWindow(ends["start"], ends["end"]) if ends["start"] else None
     else:
-        scope = delivered.select(
-            "account_id", F.lit(window.start).alias("slice_start"), F.lit(window.end).alias("slice_end")
-        )
-    scope = store.stage(scope.distinct(), run, spec.table, "scope")
+        # Still the size of the stored report: Catalyst broadcasts it only while that is small.
+        ends = {"slice_start": F.lit(window.start), "slice_end": F.lit(window.end)}
+        scope = delivered.select("account_id").withColumns(ends)
+        reach = window if totals["rows"] else None
 
     # Rows to leave out are left out once, here, not in every later read of the batch.
     stored = by_chunk or not (totals["failed"] or totals["null_dates"])
     batch = good if stored else store.stage(good, run, spec.table, "batch")
-    reach = scope.agg(F.min("slice_start").alias("s"), F.max("slice_end").alias("e")).first()
     dropped: list[date] = []
-    if reach["s"] is not None:
-        dropped = replace_slices(
-            store.spark,
-            store.name(spec.table),
-            batch,
-            scope,
-            DateWindow(reach["s"], reach["e"]),
-            spec.cluster_by,
-        )
+    if reach:
+        dropped = replace_slices(store.spark, store.name(spec.table), batch, scope, reach, spec.cluster_by)
     store.record(run, spec.table, "committed", window)
     result = LoadResult(
-        spec.table, report, totals["rows"], totals["failed"], reach["s"] is not None, window, tuple(dropped)
+        spec.table, report, totals["rows"], totals["failed"], reach is not None, window, tuple(dropped)
     )
     if raise_on_failure:
         result.raise_for_failures()
@@ -179,14 +176,14 @@ def refresh_dimension(
     report = store.stage(account_report(staged, failed_requests), run, spec.table, "accounts")
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(~F.col("failed"), F.col("row_count"))), F.lit(0)).alias("good"),
-        F.count_if("failed").alias("failed"),
+        F.count("violation").alias("failed"),
     ).first()
 
     rows, order = staged, ["account_ord", "row_ord"]
-    writable = totals["good"] > 0
+    writable = totals["rows"] > 0
     if totals["failed"]:
         rows = without_failed(staged, report)
+        writable = not rows.isEmpty()
         if "account_id" in spec.columns:
             if store.exists(spec.table):
                 rows = rows.withColumn("_carried", F.lit(0)).unionByName(
@@ -209,7 +206,7 @@ def refresh_dimension(
 def _previous_rows(store: Store, spec: ReportSpec, report: DataFrame) -> DataFrame:
     """Current rows of the accounts that failed this time."""
     failed = (
-        report.where("failed")
+        failed_accounts(report)
         .select(without_prefix("requested_account", META_ACCOUNT_PREFIX).alias("account_id"))
         .distinct()
     )

@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmill.operators.incremental import DateWindow, high_water_mark
+from spendmill.operators.incremental import DateWindow
 from spendmill.operators.slices import partition_dates
 from spendmill.plans.spec import ReportSpec
 
@@ -54,7 +54,7 @@ class Store:
         """Newest loaded date; a table that does not exist yet counts as empty, any other error is raised."""
         if not self.exists(table):
             return None
-        return high_water_mark(partition_dates(self.spark, self.name(table))).first()["last_date"]
+        return max(partition_dates(self.spark, self.name(table)), default=None)
 
     def point_to(self, spec: ReportSpec, location: str) -> None:
         """Let a full-refresh table show another version folder: readers see the old or the new version, never half."""
@@ -82,8 +82,10 @@ class Store:
     # Run ledger: a retry of a run uses the window the run recorded, not one computed from a half-loaded table.
 
     def record(self, run: Run, table: str, event: str, window: DateWindow) -> None:
-        row = (run.run_id, table, event, window.start, window.end, run.ingested_at)
-        self.spark.createDataFrame([row], LEDGER_DDL).write.mode("append").parquet(f"{self.root}/ledger")
+        values = (run.run_id, table, event, window.start, window.end, run.ingested_at)
+        names = ("run_id", "report", "event", "window_start", "window_end", "recorded_at")
+        row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in zip(names, values)])
+        row.write.mode("append").parquet(f"{self.root}/ledger")
 
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(LEDGER_DDL).parquet(f"{self.root}/ledger")

@@ -7,12 +7,14 @@ into the nested rows a platform would deliver; the oracle computes the expected
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendmill.plans.spec import ReportSpec
-from spendmill.sources import google_accounts, meta_accounts
+from spendmill.session import shared_dir
+from spendmill.sources import google_accounts, meta_accounts, read_landed
 
 EXCLUDED = ("8",)
 
@@ -168,11 +170,31 @@ def pack(
     )
 
 
-def landed_fact(
-    spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: bool = False, source: DataFrame | None = None
-) -> DataFrame:
+_delivered: dict[tuple, str] = {}
+
+
+def deliver(rows: DataFrame, spec: ReportSpec, *key: object) -> DataFrame:
+    """Write landed rows as a platform delivery would arrive and scan them as a load does.
+
+    Queries of one session share a delivery; its content follows from the key alone.
+    """
+    spark = rows.sparkSession
+    fmt = "json" if spec.platform == "meta" else "parquet"
+    full_key = (spark.conf.get("spark.app.id", ""), spec.table, *key)
+    if full_key not in _delivered:
+        path = f"{shared_dir(spark)}/spendmill/landing/{uuid4().hex}"
+        rows.write.format(fmt).save(path)
+        _delivered[full_key] = path
+    return read_landed(spark, spec, _delivered[full_key], fmt)
+
+
+def landed_fact(spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: bool = False) -> DataFrame:
     """Landed rows of any fact report, first delivery or restated."""
-    events = source if source is not None else table(spark, sf_dir, "events")
+    return deliver(derived_fact(spark, sf_dir, spec, restated), spec, sf_dir, restated)
+
+
+def derived_fact(spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: bool = False) -> DataFrame:
+    events = table(spark, sf_dir, "events")
     google = spec.platform == "google"
     paths = dict(GOOGLE) if google else {**META, **META_LISTS}
     if restated:
@@ -338,4 +360,5 @@ def landed_dimension(spark: SparkSession, sf_dir: str, spec: ReportSpec, rows: s
         data = data.where(rows)
     sparse = spec.table == "meta_ads_creative_dim"
     landed = pack(data, [path for path, _ in spec.landed_paths], expressions, landing, sparse)
-    return landed.select([F.col(f.name).cast(f.dataType) for f in spec.landed_schema.fields])
+    typed = landed.select([F.col(f.name).cast(f.dataType) for f in spec.landed_schema.fields])
+    return deliver(typed, spec, sf_dir, rows)
