@@ -124,7 +124,13 @@ def load_fact(
     delivered = delivered.where("account_id IS NOT NULL AND row_count > null_dates")
     by_chunk = requests is not None and spec.chunked
     if by_chunk:
-        answered = requests.where("ok").select(F.col("requested_account").alias("_asked"), "slice_start", "slice_end")
+        # Nothing outside the window is loaded, so nothing outside it may be replaced either.
+        answered = requests.where("ok").select(
+            F.col("requested_account").alias("_asked"),
+            F.greatest("slice_start", F.lit(window.start)).alias("slice_start"),
+            F.least("slice_end", F.lit(window.end)).alias("slice_end"),
+        )
+        answered = answered.where("slice_start <= slice_end")
         asked = F.col("requested_account") == F.col("_asked")
         inside = F.col("date").between(F.col("slice_start"), F.col("slice_end"))
         good = store.stage(good.join(answered, asked & inside, "left_semi"), run, spec.table, "answered")

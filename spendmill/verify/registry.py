@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from spendmill.verify import oracles
+from spendmill.verify import mart_queries, operator_queries, oracles  # noqa: F401 - mart_queries registers itself
 from spendmill.verify.queries import Query
 from spendmill.verify import queries as report_queries
 
 
 def queries() -> dict[str, Query]:
-    return report_queries.queries()
+    return {**report_queries.queries(), **operator_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -16,4 +16,4 @@ def oracle_sql() -> dict[str, str]:
     found.update({f"load_{name}": oracles.load_fact(name) for name in oracles.FACTS})
     for name, sql in oracles.DIMENSIONS.items():
         found[f"scan_{name}"] = found[f"load_{name}"] = sql
-    return found
+    return {**found, **operator_queries.ORACLES}
