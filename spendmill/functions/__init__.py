@@ -1,7 +1,7 @@
 """Column expressions. All of them stay inside the JVM; none is a Python UDF."""
 
 from spendmill.functions.assets import asset_headlines, asset_descriptions
-from spendmill.functions.creative import creative_details
+from spendmill.functions.creative import creative_detail
 from spendmill.functions.dates import lenient_date, strict_date
 from spendmill.functions.numbers import (
     bad_list_values,
@@ -29,7 +29,7 @@ __all__ = [
     "bad_number",
     "bad_whole_number",
     "blank_to_null",
-    "creative_details",
+    "creative_detail",
     "default_if_blank",
     "drop_blanks",
     "last_segment",

@@ -18,34 +18,35 @@ def _feed_or(feed: Column, member: str, otherwise: Column) -> Column:
     return F.when(F.size(feed) > 0, F.get(feed, F.lit(0))[member]).otherwise(otherwise)
 
 
-def creative_details(
-    image_url: Column, thumbnail_url: Column, url_tags: Column, button: Column, story: Column, feed: Column
-) -> dict[str, Column]:
-    """The five derived columns.
+def creative_detail(
+    name: str, image_url: Column, thumbnail_url: Column, url_tags: Column, button: Column, story: Column, feed: Column
+) -> Column:
+    """One of the five derived columns: headline, body, destination_url, call_to_action_type, image_url.
 
     Precedence: a feed asset wins over a video, a video over a link. The button and the picture work the other way
     round: the creative's own value wins, then link, then video, then (picture only) the feed.
     """
     link, video = story["link_data"], story["video_data"]
     nothing = F.lit(None).cast("string")
-    return {
-        "headline": _feed_or(
-            feed["titles"], "text", _first_filled(video["title"], link["name"], nothing)
-        ),
-        "body": _feed_or(
-            feed["bodies"], "text", _first_filled(video["message"], link["message"], nothing)
-        ),
-        "destination_url": _feed_or(feed["link_urls"], "website_url", _first_filled(link["link"], url_tags)),
-        "call_to_action_type": _last_source(
+    if name == "headline":
+        return _feed_or(feed["titles"], "text", _first_filled(video["title"], link["name"], nothing))
+    if name == "body":
+        return _feed_or(feed["bodies"], "text", _first_filled(video["message"], link["message"], nothing))
+    if name == "destination_url":
+        return _feed_or(feed["link_urls"], "website_url", _first_filled(link["link"], url_tags))
+    if name == "call_to_action_type":
+        return _last_source(
             button, (link, link["call_to_action"]["type"]), (video, video["call_to_action"]["type"])
-        ),
-        "image_url": _last_source(
+        )
+    if name == "image_url":
+        first_image = F.get(feed["images"], F.lit(0))
+        return _last_source(
             _first_filled(image_url, thumbnail_url),
             (link, link["picture"]),
             (video, video["image_url"]),
-            (F.when(F.size(feed["images"]) > 0, F.lit(True)), F.get(feed["images"], F.lit(0))["url"]),
-        ),
-    }
+            (F.when(F.size(feed["images"]) > 0, F.lit(True)), first_image["url"]),
+        )
+    raise ValueError(f"{name!r} is no creative detail")
 
 
 def _last_source(own: Column, *sources: tuple[Column, Column]) -> Column:

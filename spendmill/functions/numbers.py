@@ -30,8 +30,9 @@ def _whole(text: Column) -> Column:
 
 
 def _number(text: Column) -> Column:
-    # Java accepts a type suffix ("1d"); report metrics never carry one.
-    return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), text.try_cast("double"))
+    # Java would accept a type suffix ("1d", "1f"), which is no number in a report; "inf" is one.
+    suffixed = F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
+    return F.when(~suffixed | text.rlike(r"(?i)inf\s*$"), text.try_cast("double"))
 
 
 def whole_number_or_zero(text: Column | str) -> Column:

@@ -21,9 +21,18 @@ def with_ad(facts: DataFrame, ad_dim: DataFrame, columns: dict[str, str]) -> Dat
     return facts.join(_named(ad_dim, ["ad_id"], columns), "ad_id", "left")
 
 
-def with_creative(facts: DataFrame, ad_dim: DataFrame, creative_dim: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Ad fact with attributes of its creative, through the creative ID the ad dimension holds."""
-    bridged = facts.join(ad_dim.select("ad_id", "creative_id"), "ad_id", "left")
+def with_creative(
+    facts: DataFrame,
+    ad_dim: DataFrame,
+    creative_dim: DataFrame,
+    columns: dict[str, str],
+    ad_columns: dict[str, str] | None = None,
+) -> DataFrame:
+    """Ad fact with attributes of its creative, through the creative ID that the ad dimension holds.
+
+    `ad_columns` are taken from the ad dimension in the same join.
+    """
+    bridged = with_ad(facts, ad_dim, {**(ad_columns or {}), "creative_id": "creative_id"})
     return bridged.join(_named(creative_dim, ["creative_id"], columns), "creative_id", "left")
 
 

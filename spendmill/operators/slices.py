@@ -11,6 +11,8 @@ from spendmill.operators.incremental import DateWindow
 from spendmill.session import scoped_conf
 
 ROWS_PER_TASK = 1_000_000
+# Row number within a stored file: it tells equal rows apart, the same way in every attempt of a task.
+SPREAD = "_spread"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -20,6 +22,10 @@ def partition_dates(spark: SparkSession, table: str) -> set[date]:
     return {date.fromisoformat(value) for value in values if value != NULL_PARTITION}
 
 
+def with_spread(stored: DataFrame) -> DataFrame:
+    return stored.withColumn(SPREAD, F.col("_metadata.row_index"))
+
+
 def rows_outside_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
     """Target rows that no scope slice (`account_id`, `slice_start`, `slice_end`) covers."""
     slices = scope.select(F.col("account_id").alias("_account"), "slice_start", "slice_end")
@@ -36,12 +42,14 @@ def replace_slices(
     scope: DataFrame,
     window: DateWindow,
     cluster_by: tuple[str, ...] = (),
+    batch_rows: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> list[date]:
     """Make the table hold, in the window, the batch plus all rows outside the scope. Returns the dates dropped.
 
-    `batch` and `scope` have to be stored (staged) frames that do not read `table`: both are read more than once, and
-    a stored scope has a known size, by which Catalyst decides whether to broadcast it.
+    `batch` and `scope` have to come from stored (staged) frames, not from `table`: both are read more than once, and
+    a stored scope has a known size, by which Catalyst decides whether to broadcast it. A batch that is more than a
+    stored frame has to bring its `SPREAD` column along (`with_spread`). `batch_rows` saves counting it.
 
     Dates that end up empty are dropped before the overwrite. A dynamic overwrite leaves a partition alone when the new
     data has no row for it, so a retracted date would survive. Dropping first is also the safe order: the dropped rows
@@ -56,7 +64,7 @@ def replace_slices(
         target = spark.table(table).where(window.contains("date"))
         if len(dates) < len(present):
             target = target.where(F.col("date").isin(sorted(dates)))
-        return rows_outside_scope(target.select(*columns, F.col("_metadata.row_index").alias("_spread")), scope)
+        return rows_outside_scope(with_spread(target), scope)
 
     doubtful = present - arriving
     surviving = {r["date"] for r in kept(doubtful).select("date").distinct().collect()} if doubtful else set()
@@ -66,21 +74,21 @@ def replace_slices(
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
 
     remaining = present - set(emptied)
-    rows = batch.select(*columns, F.col("_metadata.row_index").alias("_spread"))
-    total = batch.count()
+    rows = (batch if SPREAD in batch.columns else with_spread(batch)).select(*columns, SPREAD)
+    total = batch.count() if batch_rows is None else batch_rows
     if remaining:
-        # Both counts come from Parquet footers.
+        # A count by partition comes from Parquet footers.
         total += spark.table(table).where(window.contains("date")).count()
-        rows = kept(remaining).unionByName(rows)
+        rows = kept(remaining).select(*columns, SPREAD).unionByName(rows)
     dates = len(arriving | remaining)
     if not dates:
         return emptied
 
     # Range partitioning keeps dates and clustering keys together, so few files per date and narrow min/max
-    # statistics. The row index makes every key distinct: no account, and no group of equal rows, is too big to split.
+    # statistics. The row number makes keys distinct: no account, and no group of equal rows, is too big to split.
     tasks = max(-(-total // rows_per_task), min(dates, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     laid_out = (
-        rows.repartitionByRange(tasks, "date", *cluster_by, "_spread")
+        rows.repartitionByRange(tasks, "date", *cluster_by, SPREAD)
         .sortWithinPartitions("date", *cluster_by)
         .select(*columns)
     )

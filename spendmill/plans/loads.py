@@ -14,7 +14,7 @@ from spendmill.functions import without_prefix
 from spendmill.operators.dedupe import keep_first
 from spendmill.operators.incremental import DateWindow, lookback_window
 from spendmill.operators.isolation import account_report, drop_landing_columns, failed_accounts, without_failed
-from spendmill.operators.slices import replace_slices
+from spendmill.operators.slices import SPREAD, replace_slices, with_spread
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
 from spendmill.sources.accounts import attach_accounts, exclude_accounts
@@ -96,7 +96,7 @@ def load_fact(
     """
     store.create_fact(spec)
     window = (
-        store.recorded_window(run, spec.table)
+        (store.recorded_window(run, spec.table) if run.resumes else None)
         or window
         or lookback_window(store.last_date(spec.table), run.run_date, lookback_days, floor)
     )
@@ -114,9 +114,10 @@ def load_fact(
         F.count("violation").alias("failed"),
     ).first()
 
-    good = without_failed(staged, report) if totals["failed"] else staged
+    rows = with_spread(staged)
+    good = without_failed(rows, report) if totals["failed"] else rows
     if totals["null_dates"]:
-        quarantined = good.where("date IS NULL")
+        quarantined = good.where("date IS NULL").drop(SPREAD)
         quarantined.write.mode("overwrite").parquet(store.run_path(run, spec.table, "quarantine"))
         good = good.where("date IS NOT NULL")
 
@@ -145,12 +146,11 @@ def load_fact(
         scope = delivered.select("account_id").withColumns(ends)
         reach = window if totals["rows"] else None
 
-    # Rows to leave out are left out once, here, not in every later read of the batch.
-    stored = by_chunk or not (totals["failed"] or totals["null_dates"])
-    batch = good if stored else store.stage(good, run, spec.table, "batch")
     dropped: list[date] = []
     if reach:
-        dropped = replace_slices(store.spark, store.name(spec.table), batch, scope, reach, spec.cluster_by)
+        dropped = replace_slices(
+            store.spark, store.name(spec.table), good, scope, reach, spec.cluster_by, batch_rows=totals["rows"]
+        )
     store.record(run, spec.table, "committed", window)
     result = LoadResult(
         spec.table, report, totals["rows"], totals["failed"], reach is not None, window, tuple(dropped)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendmill.fixed_values import MICROS_PER_UNIT
 from spendmill.functions import to_micros
-from spendmill.operators.lookups import with_ad, with_creative
+from spendmill.operators.lookups import with_creative
 
 CAMPAIGN = ["account_id", "campaign_id", "currency"]
 
@@ -111,8 +111,13 @@ def enriched_ads(facts: DataFrame, ad_dim: DataFrame, creative_dim: DataFrame) -
         F.sum("clicks").alias("clicks"),
         F.sum(to_micros("conversions")).alias("conversions_micros"),
     )
-    named = with_ad(per_ad, ad_dim, {"ad_name": "ad_name", "status": "ad_status"})
-    return with_creative(named, ad_dim, creative_dim, {"headline": "headline", "destination_url": "destination_url"})
+    return with_creative(
+        per_ad,
+        ad_dim,
+        creative_dim,
+        {"headline": "headline", "destination_url": "destination_url"},
+        ad_columns={"ad_name": "ad_name", "status": "ad_status"},
+    )
 
 
 def cross_platform_spend(google_facts: DataFrame, meta_facts: DataFrame) -> DataFrame:

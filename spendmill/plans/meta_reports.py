@@ -116,14 +116,15 @@ _CREATIVE_PATHS = (
 
 def _detail(name: str) -> Field:
     def value():
-        return fn.creative_details(
+        return fn.creative_detail(
+            name,
             image_url=F.col("image_url"),
             thumbnail_url=F.col("thumbnail_url"),
             url_tags=F.col("url_tags"),
             button=F.col("call_to_action_type"),
             story=F.col("object_story_spec"),
             feed=F.col("asset_feed_spec"),
-        )[name]
+        )
 
     return Field(name, "string", value, _CREATIVE_PATHS)
 

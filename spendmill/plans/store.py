@@ -18,11 +18,15 @@ LEDGER_DDL = "run_id string, report string, event string, window_start date, win
 
 @dataclass(frozen=True)
 class Run:
-    """One run of the loads: one date and one clock reading for all of its tables, in UTC."""
+    """One run of the loads: one date and one clock reading for all of its tables, in UTC.
+
+    A retry passes the `run_id` of the interrupted run and `resumes=True`.
+    """
 
     run_date: date
     ingested_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     run_id: str = field(default_factory=lambda: uuid4().hex)
+    resumes: bool = False
 
 
 class Store:

@@ -6,6 +6,7 @@ into the nested rows a platform would deliver; the oracle computes the expected
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
@@ -173,24 +174,23 @@ def pack(
 _delivered: dict[tuple, str] = {}
 
 
-def deliver(rows: DataFrame, spec: ReportSpec, *key: object) -> DataFrame:
+def deliver(spark: SparkSession, spec: ReportSpec, derive: Callable[[], DataFrame], *key: object) -> DataFrame:
     """Write landed rows as a platform delivery would arrive and scan them as a load does.
 
     Queries of one session share a delivery; its content follows from the key alone.
     """
-    spark = rows.sparkSession
     fmt = "json" if spec.platform == "meta" else "parquet"
     full_key = (spark.conf.get("spark.app.id", ""), spec.table, *key)
     if full_key not in _delivered:
         path = f"{shared_dir(spark)}/spendmill/landing/{uuid4().hex}"
-        rows.write.format(fmt).save(path)
+        derive().write.format(fmt).save(path)
         _delivered[full_key] = path
     return read_landed(spark, spec, _delivered[full_key], fmt)
 
 
 def landed_fact(spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: bool = False) -> DataFrame:
     """Landed rows of any fact report, first delivery or restated."""
-    return deliver(derived_fact(spark, sf_dir, spec, restated), spec, sf_dir, restated)
+    return deliver(spark, spec, lambda: derived_fact(spark, sf_dir, spec, restated), sf_dir, restated)
 
 
 def derived_fact(spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: bool = False) -> DataFrame:
@@ -207,7 +207,12 @@ def derived_fact(spark: SparkSession, sf_dir: str, spec: ReportSpec, restated: b
 
 def fact_accounts(spark: SparkSession, sf_dir: str, platform: str) -> DataFrame:
     """Account listing of the fact reports: account 11 is a manager, account 4 has no name, account 5 no currency."""
-    ids = table(spark, sf_dir, "events").selectExpr("user_id % 12 AS n").distinct()
+    key = (spark.conf.get("spark.app.id", ""), "accounts", sf_dir)
+    if key not in _delivered:
+        path = f"{shared_dir(spark)}/spendmill/landing/{uuid4().hex}"
+        table(spark, sf_dir, "events").selectExpr("user_id % 12 AS n").distinct().write.parquet(path)
+        _delivered[key] = path
+    ids = spark.read.parquet(_delivered[key])
     if platform == "google":
         return google_accounts(
             ids.selectExpr(
@@ -351,6 +356,11 @@ DIMENSION_SOURCES = {
 
 
 def landed_dimension(spark: SparkSession, sf_dir: str, spec: ReportSpec, rows: str | None = None) -> DataFrame:
+    """Landed rows of any dimension, or those that satisfy `rows`."""
+    return deliver(spark, spec, lambda: derived_dimension(spark, sf_dir, spec, rows), sf_dir, rows)
+
+
+def derived_dimension(spark: SparkSession, sf_dir: str, spec: ReportSpec, rows: str | None = None) -> DataFrame:
     source, expressions, landing = DIMENSION_SOURCES[spec.table]
     data = table(spark, sf_dir, source)
     if spec.table == "google_ads_ad_dim":
@@ -360,5 +370,4 @@ def landed_dimension(spark: SparkSession, sf_dir: str, spec: ReportSpec, rows: s
         data = data.where(rows)
     sparse = spec.table == "meta_ads_creative_dim"
     landed = pack(data, [path for path, _ in spec.landed_paths], expressions, landing, sparse)
-    typed = landed.select([F.col(f.name).cast(f.dataType) for f in spec.landed_schema.fields])
-    return deliver(typed, spec, sf_dir, rows)
+    return landed.select([F.col(f.name).cast(f.dataType) for f in spec.landed_schema.fields])

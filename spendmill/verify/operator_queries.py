@@ -278,11 +278,9 @@ def creative_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
            'images', CAST(NULL AS array<struct<url: string>>)) AS feed""",
     )
     nothing = F.lit(None).cast("string")
-    details = fn.creative_details(
-        nothing, nothing, F.col("url_tags"), F.col("button"), F.col("story"), F.col("feed")
-    )
+    parts = (nothing, nothing, F.col("url_tags"), F.col("button"), F.col("story"), F.col("feed"))
     wanted = ("headline", "destination_url", "call_to_action_type")
-    return raw.select("doc_id", *[details[name].alias(name) for name in wanted])
+    return raw.select("doc_id", *[fn.creative_detail(name, *parts).alias(name) for name in wanted])
 
 
 # Sources.
