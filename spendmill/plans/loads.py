@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spendmill.fixed_values import EXCLUDED_ACCOUNTS, FIRST_RUN_FLOOR, LOOKBACK_DAYS, META_ACCOUNT_PREFIX
 from spendmill.functions import without_prefix
 from spendmill.operators.dedupe import keep_first
-from spendmill.operators.incremental import DateWindow, lookback_window
+from spendmill.operators.incremental import DateWindow, account_marks, lookback_window, window_of_marks
 from spendmill.operators.isolation import account_report, drop_landing_columns, failed_accounts, without_failed
 from spendmill.operators.slices import SPREAD, replace_slices, with_spread
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
@@ -83,6 +83,7 @@ def load_fact(
     *,
     requests: DataFrame | None = None,
     window: DateWindow | None = None,
+    account_windows: DataFrame | None = None,
     excluded: DataFrame | Iterable[str] = EXCLUDED_ACCOUNTS,
     lookback_days: int = LOOKBACK_DAYS,
     floor: date = FIRST_RUN_FLOOR,
@@ -90,11 +91,14 @@ def load_fact(
 ) -> LoadResult:
     """Replace the slices of every account that delivered good rows; leave all other rows as they are.
 
-    `window` overrides the lookback rule (a backfill). With `requests` (the request log) the replaced slices are the
-    answered ones, so a date chunk whose request failed keeps its earlier rows; in reports that are not chunked a
-    failed request fails its account. Rows without a date go to quarantine.
+    `window` overrides the lookback rule (a backfill); `account_windows` (see `plan_account_windows`) gives each account
+    its own. With `requests` (the request log) the replaced slices are the answered ones, so a date chunk whose request
+    failed keeps its earlier rows; in reports that are not chunked a failed request fails its account. Rows without a
+    date go to quarantine.
     """
     store.create_fact(spec)
+    if account_windows is not None and window is None:
+        window = _reach(account_windows)
     window = (
         (store.recorded_window(run, spec.table) if run.resumes else None)
         or window
@@ -123,10 +127,10 @@ def load_fact(
 
     delivered = without_failed(report, report) if totals["failed"] else report
     delivered = delivered.where("account_id IS NOT NULL AND row_count > null_dates")
-    by_chunk = requests is not None and spec.chunked
-    if by_chunk:
+    slices = requests.where("ok") if requests is not None and spec.chunked else account_windows
+    if slices is not None:
         # Nothing outside the window is loaded, so nothing outside it may be replaced either.
-        answered = requests.where("ok").select(
+        answered = slices.select(
             F.col("requested_account").alias("_asked"),
             F.greatest("slice_start", F.lit(window.start)).alias("slice_start"),
             F.least("slice_end", F.lit(window.end)).alias("slice_end"),
@@ -136,15 +140,14 @@ def load_fact(
         inside = F.col("date").between(F.col("slice_start"), F.col("slice_end"))
         good = store.stage(good.join(answered, asked & inside, "left_semi"), run, spec.table, "answered")
         active = good.select("requested_account", "account_id").distinct()
-        slices = active.join(answered, asked).select("account_id", "slice_start", "slice_end").distinct()
-        scope = store.stage(slices, run, spec.table, "scope")
-        ends = scope.agg(F.min("slice_start").alias("start"), F.max("slice_end").alias("end")).first()
-        reach = DateWindow(ends["start"], ends["end"]) if ends["start"] else None
+        replaced = active.join(answered, asked).select("account_id", "slice_start", "slice_end").distinct()
+        scope = store.stage(replaced, run, spec.table, "scope")
+        reach = _reach(scope)
     else:
         # Still the size of the stored report: Catalyst broadcasts it only while that is small.
         ends = {"slice_start": F.lit(window.start), "slice_end": F.lit(window.end)}
         scope = delivered.select("account_id").withColumns(ends)
-        reach = window if totals["rows"] else None
+        reach = None if delivered.isEmpty() else window
 
     dropped: list[date] = []
     if reach:
@@ -160,6 +163,40 @@ def load_fact(
     return result
 
 
+def plan_account_windows(
+    store: Store,
+    spec: ReportSpec,
+    accounts: DataFrame,
+    run: Run,
+    lookback_days: int = LOOKBACK_DAYS,
+    floor: date = FIRST_RUN_FLOOR,
+) -> DataFrame:
+    """Lookback window per listed account, from that account's own newest date.
+
+    An account that failed for longer than the lookback, or that is new, is loaded from where it stopped; with the
+    default window of the whole table such an account would keep a gap.
+    """
+    earlier = store.staged(run, spec.table, "account_windows") if run.resumes else None
+    if earlier is not None:
+        return earlier
+    store.create_fact(spec)
+    marks = account_marks(store.read(spec)).withColumnRenamed("account_id", "_account")
+    listed = accounts.select(F.col("key").alias("requested_account"))
+    account = F.col("requested_account")
+    if spec.platform == "meta":
+        account = without_prefix(account, META_ACCOUNT_PREFIX)
+    windows = window_of_marks(
+        listed.join(marks, account == F.col("_account"), "left"), run.run_date, lookback_days, floor
+    )
+    planned = windows.select("requested_account", "slice_start", "slice_end")
+    return store.stage(planned, run, spec.table, "account_windows")
+
+
+def _reach(slices: DataFrame) -> DateWindow | None:
+    ends = slices.agg(F.min("slice_start").alias("start"), F.max("slice_end").alias("end")).first()
+    return DateWindow(ends["start"], ends["end"]) if ends["start"] else None
+
+
 def refresh_dimension(
     store: Store,
     spec: ReportSpec,

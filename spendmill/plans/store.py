@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +14,6 @@ from spendmill.operators.incremental import DateWindow
 from spendmill.operators.slices import partition_dates
 from spendmill.plans.spec import ReportSpec
 
-LEDGER_DDL = "run_id string, report string, event string, window_start date, window_end date, recorded_at timestamp"
-
 
 @dataclass(frozen=True)
 class Run:
@@ -83,6 +82,17 @@ class Store:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def staged(self, run: Run, table: str, part: str) -> DataFrame | None:
+        return self._read_if_written(self.run_path(run, table, part))
+
+    def _read_if_written(self, path: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     # Run ledger: a retry of a run uses the window the run recorded, not one computed from a half-loaded table.
 
     def record(self, run: Run, table: str, event: str, window: DateWindow) -> None:
@@ -91,16 +101,13 @@ class Store:
         row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in zip(names, values)])
         row.write.mode("append").parquet(f"{self.root}/ledger")
 
-    def ledger(self) -> DataFrame:
-        return self.spark.read.schema(LEDGER_DDL).parquet(f"{self.root}/ledger")
+    def ledger(self) -> DataFrame | None:
+        return self._read_if_written(f"{self.root}/ledger")
 
     def recorded_window(self, run: Run, table: str) -> DateWindow | None:
-        try:
-            ledger = self.ledger()
-        except Exception as error:  # noqa: BLE001 - only a missing folder means that nothing was recorded
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
+        ledger = self.ledger()
+        if ledger is None:
+            return None
         row = (
             ledger.where((F.col("run_id") == run.run_id) & (F.col("report") == table))
             .agg(F.min("window_start").alias("s"), F.max("window_end").alias("e"))
