@@ -1,7 +1,8 @@
 """Joins between facts and their dimensions. Keys were prepared for these joins; no report executes one itself.
 
 None of them hints a broadcast. A dimension is a stored table, so Catalyst knows its size: under the session's
-threshold it is broadcast, above it both sides are shuffled, and AQE splits the tasks of a key that is too frequent.
+threshold it is broadcast, above it both sides are shuffled, and AQE splits the tasks of a key (or of the null keys)
+that is too frequent. AQE can do so only while both join inputs are exchanges of their own.
 """
 
 from __future__ import annotations
@@ -45,8 +46,12 @@ def with_keyword(search_terms: DataFrame, keywords: DataFrame, columns: dict[str
     Keyword rows are daily and may repeat, so one row per key is kept (the smallest in the chosen attributes) before
     the join; the number of search-term rows does not change.
     """
-    named = _named(keywords, KEYWORD_KEYS, columns)
-    return search_terms.join(keep_first(named, KEYWORD_KEYS, list(columns.values())), KEYWORD_KEYS, "left")
+    named = keep_first(_named(keywords, KEYWORD_KEYS, columns), KEYWORD_KEYS, list(columns.values()))
+    # One more join key than the dedupe has: the join gets its own exchange on both sides instead of reusing the one of
+    # the dedupe, and with it skew handling for keywords (or missing keyword IDs) that hold a large share of the terms.
+    digest = F.xxhash64(*KEYWORD_KEYS)
+    left, right = search_terms.withColumn("_digest", digest), named.withColumn("_digest", digest)
+    return left.join(right, [*KEYWORD_KEYS, "_digest"], "left").drop("_digest")
 
 
 def with_audience(facts: DataFrame, audience_dim: DataFrame) -> DataFrame:
