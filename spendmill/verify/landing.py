@@ -117,8 +117,8 @@ META_LISTS = {
     "CAST(value AS STRING)), named_struct('action_type', 'purchase', 'value', '2.5')) END",
 }
 
-# A second delivery restates recent days: doubled amounts, some rows retracted, account 5 silent, account 3 broken.
-RESTATED_ROWS = "event_id % 11 <> 0 AND user_id % 12 <> 5"
+# A second delivery restates recent days: doubled amounts, errors retracted, account 5 silent, account 3 broken.
+RESTATED_ROWS = "event_type <> 'error' AND user_id % 12 <> 5"
 RESTATED_GOOGLE = {
     "metrics.cost_micros": f"({GOOGLE['metrics.cost_micros']}) * 2",
     "metrics.conversions_value": f"({GOOGLE['metrics.conversions_value']}) * 2",

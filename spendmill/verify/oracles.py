@@ -13,7 +13,6 @@ from spendmill.verify.landing import (
     GOOGLE,
     META,
     META_AD,
-    RESTATED_ROWS,
 )
 
 # Google facts.
@@ -260,7 +259,7 @@ def load_fact(table: str) -> str:
     """First delivery, then the restated one: 15 days are replaced, except for a silent and a broken account."""
     columns, _ = FACTS[table]
     doubled = {"cost_micros", "conversions_value"} if table in GOOGLE_FACTS else {"spend"}
-    inner = scan_fact(table, ", event_id AS _event, user_id % 12 AS _account, user_id AS _user")
+    inner = scan_fact(table, ", event_type AS _event, user_id % 12 AS _account")
     replaced = "date >= last_date - 14 AND _account NOT IN (3, 5)"
     names = ", ".join(
         f"CASE WHEN {replaced} THEN {name} * 2 ELSE {name} END AS {name}" if name in doubled else name
@@ -268,7 +267,7 @@ def load_fact(table: str) -> str:
     )
     return (
         f"WITH base AS ({inner}), mark AS (SELECT MAX(date) AS last_date FROM base) "
-        f"SELECT date, {names} FROM base CROSS JOIN mark WHERE NOT ({replaced} AND _event % 11 = 0)"
+        f"SELECT date, {names} FROM base CROSS JOIN mark WHERE NOT ({replaced} AND _event = 'error')"
     )
 
 
