@@ -2,29 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendmill.plans.spec import LANDING_COLUMNS, VIOLATION
 
+REQUEST_FAILED = "request failed"
+
+
 def account_report(staged: DataFrame, failed_requests: DataFrame | None = None) -> DataFrame:
-    """One row per requested and delivered account: row counts and the first violation, if any."""
+    """One row per requested and delivered account: rows, rows without a date, broken rows, and whether it failed to answer.
+
+    Only counts are taken, so Spark aggregates with a hash map in every task and sorts nothing.
+    """
     day = F.col("date").isNull() if "date" in staged.columns else F.lit(False)
     account = F.col("account_id") if "account_id" in staged.columns else F.lit(None).cast("string").alias("account_id")
     counts = staged.groupBy("requested_account", account).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(day).alias("null_dates"),
-        F.min(VIOLATION).alias("violation"),
+        F.count(VIOLATION).alias("broken_rows"),
+        F.lit(False).alias("unanswered"),
     )
     if failed_requests is None:
         return counts
-    unanswered = failed_requests.select("requested_account").distinct()
-    return counts.unionByName(unanswered.withColumn("violation", F.lit("request failed")), allowMissingColumns=True)
+    unanswered = failed_requests.select("requested_account").distinct().withColumn("unanswered", F.lit(True))
+    return counts.unionByName(unanswered, allowMissingColumns=True)
+
+
+def is_failure() -> Column:
+    return (F.coalesce("broken_rows", F.lit(0)) > 0) | F.col("unanswered")
 
 
 def failed_accounts(report: DataFrame) -> DataFrame:
-    """Requested accounts with at least one broken row, whatever account ID that row itself carries."""
-    return report.where("violation IS NOT NULL").select("requested_account").distinct()
+    """Requested accounts with a broken row, whatever account ID that row itself carries, or without an answer."""
+    return report.where(is_failure()).select("requested_account").distinct()
+
+
+def failure_messages(staged: DataFrame, report: DataFrame) -> DataFrame:
+    """One message per failed account. Reads broken rows only: elsewhere the staged column is null throughout."""
+    broken = staged.where(F.col(VIOLATION).isNotNull()).select("requested_account", F.col(VIOLATION).alias("violation"))
+    unanswered = report.where("unanswered").select("requested_account", F.lit(REQUEST_FAILED).alias("violation"))
+    return broken.unionByName(unanswered).groupBy("requested_account").agg(F.min("violation").alias("violation"))
 
 
 def without_failed(rows: DataFrame, report: DataFrame) -> DataFrame:

@@ -57,6 +57,8 @@ def replace_slices(
     window. Lists that reach the driver are calendar days of the window, never rows.
     """
     columns = spark.table(table).columns
+    # Analysed, not run: a batch that does not fit the table fails here, before anything is dropped.
+    spark.table(table).unionByName(batch.select(*columns))
     present = {day for day in partition_dates(spark, table) if window.start <= day <= window.end}
     arriving = {r["date"] for r in batch.select("date").distinct().collect()}
 

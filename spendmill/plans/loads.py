@@ -13,7 +13,14 @@ from spendmill.fixed_values import EXCLUDED_ACCOUNTS, FIRST_RUN_FLOOR, LOOKBACK_
 from spendmill.functions import without_prefix
 from spendmill.operators.dedupe import keep_first
 from spendmill.operators.incremental import DateWindow, account_marks, lookback_window, window_of_marks
-from spendmill.operators.isolation import account_report, drop_landing_columns, failed_accounts, without_failed
+from spendmill.operators.isolation import (
+    account_report,
+    drop_landing_columns,
+    failed_accounts,
+    failure_messages,
+    is_failure,
+    without_failed,
+)
 from spendmill.operators.slices import SPREAD, replace_slices, with_spread
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
@@ -28,23 +35,25 @@ class LoadFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did. `accounts` is the stored per-account report."""
+    """What a load did. `accounts` is the stored per-account report, `rows` the stored rows it was made from."""
 
     table: str
     accounts: DataFrame
+    rows: DataFrame
     row_count: int
-    failed_rows: int
+    failed: bool
     written: bool
+    unique_keys: int | None = None
     window: DateWindow | None = None
     dropped_dates: tuple[date, ...] = ()
 
     def failures(self) -> DataFrame:
-        broken = self.accounts.where("violation IS NOT NULL")
-        return broken.groupBy("requested_account").agg(F.min("violation").alias("violation"))
+        """One row per failed account, with one of its violations."""
+        return failure_messages(self.rows, self.accounts)
 
     def raise_for_failures(self) -> None:
         """The full list stays in `accounts`; the message shows the first few."""
-        if not self.failed_rows:
+        if not self.failed:
             return
         failures = self.failures()
         shown = failures.orderBy("requested_account").limit(MESSAGE_ACCOUNTS).collect()
@@ -115,7 +124,7 @@ def load_fact(
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("null_dates"), F.lit(0)).alias("null_dates"),
-        F.count("violation").alias("failed"),
+        F.count_if(is_failure()).alias("failed"),
     ).first()
 
     rows = with_spread(staged)
@@ -156,7 +165,14 @@ def load_fact(
         )
     store.record(run, spec.table, "committed", window)
     result = LoadResult(
-        spec.table, report, totals["rows"], totals["failed"], reach is not None, window, tuple(dropped)
+        spec.table,
+        report,
+        staged,
+        totals["rows"],
+        bool(totals["failed"]),
+        written=reach is not None,
+        window=window,
+        dropped_dates=tuple(dropped),
     )
     if raise_on_failure:
         result.raise_for_failures()
@@ -219,7 +235,7 @@ def refresh_dimension(
     report = store.stage(account_report(staged, failed_requests), run, spec.table, "accounts")
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
-        F.count("violation").alias("failed"),
+        F.count_if(is_failure()).alias("failed"),
     ).first()
 
     rows, order = staged, ["account_ord", "row_ord"]
@@ -235,12 +251,16 @@ def refresh_dimension(
                 order = ["_carried", *order]
         else:
             writable = False
+    unique_keys = None
     if writable:
         kept = drop_landing_columns(keep_first(rows, spec.dedupe_keys, order)).select(*spec.columns)
         location = store.new_version_path(spec.table)
         kept.write.mode("overwrite").parquet(location)
         store.point_to(spec, location)
-    result = LoadResult(spec.table, report, totals["rows"], totals["failed"], writable)
+        unique_keys = store.read(spec).count()  # from Parquet footers
+    result = LoadResult(
+        spec.table, report, staged, totals["rows"], bool(totals["failed"]), written=writable, unique_keys=unique_keys
+    )
     if raise_on_failure:
         result.raise_for_failures()
     return result

@@ -8,7 +8,7 @@ from spendmill.sources.accounts import (
     google_accounts,
     meta_accounts,
 )
-from spendmill.sources.landing import explode_batches, read_batches, read_landed, read_requests
+from spendmill.sources.landing import explode_batches, read_batches, read_landed, read_listing, read_requests
 
 __all__ = [
     "GOOGLE_ACCOUNT_DDL",
@@ -20,5 +20,6 @@ __all__ = [
     "meta_accounts",
     "read_batches",
     "read_landed",
+    "read_listing",
     "read_requests",
 ]

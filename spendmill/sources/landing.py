@@ -54,6 +54,11 @@ def explode_batches(batches: DataFrame) -> DataFrame:
     return rows.select("_row.*", "requested_account", "account_ord", row_ord.alias("row_ord"))
 
 
+def read_listing(spark: SparkSession, ddl: str, path: str, fmt: str = "json", drop: str | None = None) -> DataFrame:
+    """Account listing as it was delivered."""
+    return _scan(spark, ddl, path, fmt, drop)
+
+
 def read_requests(spark: SparkSession, path: str, fmt: str = "json", drop: str | None = None) -> DataFrame:
     """Request log: which account and date slice was asked for, and whether the answer is complete."""
     return _scan(spark, REQUEST_DDL, path, fmt, drop)

@@ -583,12 +583,11 @@ def loaded_geo(spark: SparkSession, sf_dir: str, restated_too: bool = True):
 def failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run report of a load in which one account breaks the contract (table contents: `load_google_ads_geo`)."""
     _, results = loaded_geo(spark, sf_dir)
-    report = results[-1].accounts
-    broken = failed_accounts(report).withColumn("failed", F.lit(True))
-    counts = report.groupBy("requested_account").agg(
-        F.sum("row_count").alias("row_count"), F.min("violation").alias("violation")
-    )
-    return counts.join(broken, "requested_account", "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+    result = results[-1]
+    broken = failed_accounts(result.accounts).withColumn("failed", F.lit(True))
+    counts = result.accounts.groupBy("requested_account").agg(F.sum("row_count").alias("row_count"))
+    flagged = counts.join(broken, "requested_account", "left").join(result.failures(), "requested_account", "left")
+    return flagged.withColumn("failed", F.coalesce("failed", F.lit(False)))
 
 
 META = FACTS["meta_ads_performance"]
@@ -657,7 +656,7 @@ def account_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_report(
         GEO, landed_fact(spark, sf_dir, GEO), fact_accounts(spark, sf_dir, "google"), excluded_keys("google")
     )
-    return account_report(flat).drop("violation")
+    return account_report(flat).drop("broken_rows", "unanswered")
 
 
 @query(
