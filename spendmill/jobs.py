@@ -84,7 +84,7 @@ def main() -> None:
     unknown = [w for w in options.reports if w not in REPORTS and w not in ("google", "meta")]
     if unknown:
         parser.error(f"unknown reports: {', '.join(unknown)}")
-    store = Store(build_session(), options.database, options.root)
+    store = Store(build_session(metastore=True), options.database, options.root)
     run = Run(options.run_date, run_id=options.resume, resumes=True) if options.resume else Run(options.run_date)
     print(f"run {run.run_id}: {', '.join(names)}")
     results = run_reports(

@@ -156,7 +156,8 @@ def load_fact(
         # Still the size of the stored report: Catalyst broadcasts it only while that is small.
         ends = {"slice_start": F.lit(window.start), "slice_end": F.lit(window.end)}
         scope = delivered.select("account_id").withColumns(ends)
-        reach = None if delivered.isEmpty() else window
+        some = not delivered.isEmpty() if totals["failed"] else totals["rows"] > totals["null_dates"]
+        reach = window if some else None
 
     dropped: list[date] = []
     if reach:

@@ -19,9 +19,16 @@ RECOMMENDED = {
 }
 
 
-def build_session(app: str = "spendmill", master: str | None = None, **settings: str) -> SparkSession:
-    """Session with the recommended settings; keyword names use `__` for dots."""
+def build_session(
+    app: str = "spendmill", master: str | None = None, metastore: bool = False, **settings: str
+) -> SparkSession:
+    """Session with the recommended settings; keyword names use `__` for dots.
+
+    `metastore` uses the cluster's Hive metastore as catalog, so that the next application finds the tables.
+    """
     builder = SparkSession.builder.appName(app)
+    if metastore:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     for key, value in RECOMMENDED.items():

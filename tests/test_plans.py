@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from spendmill.operators import lookups
 from spendmill.operators.dedupe import keep_first
 from spendmill.operators.incremental import DateWindow
+from spendmill.operators.isolation import account_report
 from spendmill.operators.slices import rows_outside_scope
 from spendmill.plans import marts
 from spendmill.plans.catalog import FACTS, REPORTS
@@ -139,3 +140,12 @@ def test_marts_aggregate_before_every_exchange(spark, tmp_path):
         first_exchange = text.rindex("Exchange hashpartitioning")
         assert "partial_sum" in text[first_exchange:]
         assert "ad_name" not in text.split("ReadSchema")[1]
+
+
+def test_account_report_sorts_no_rows(spark, tmp_path):
+    spec = FACTS["google_ads_geo"]
+    spark.createDataFrame([], spec.landed_schema).write.parquet(str(tmp_path / "l"))
+    landed = read_landed(spark, spec, str(tmp_path / "l"), "parquet")
+    flat = flatten_report(spec, landed, stored_listing(spark, "google", tmp_path))
+    text = plan(account_report(flat))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
