@@ -2,7 +2,7 @@
 
 Money and fractional counts are summed as integer micros: such sums are exact, so a figure does not change with the
 number of executors. Ratios are taken of sums, never averaged over rows. Amounts in different currencies are never
-added. Every window and every self-join works on rows that are already aggregated, so a campaign that holds a large
+added. Every window and every pairing works on rows that are already aggregated, so a campaign that holds a large
 share of all rows is reduced before it is shuffled.
 """
 
@@ -67,26 +67,32 @@ def daily_cost(facts: DataFrame) -> DataFrame:
 
 
 def year_over_year(facts: DataFrame) -> DataFrame:
-    """Each campaign day with the same date one year earlier (28 February for 29 February)."""
-    days = daily_cost(facts)
-    earlier = days.select(
-        *CAMPAIGN,
-        F.col("date").alias("previous_date"),
-        F.col("cost_micros").alias("previous_cost_micros"),
-        F.col("clicks").alias("previous_clicks"),
-    )
-    joined = days.withColumn("previous_date", F.add_months("date", -12)).join(
-        earlier, [*CAMPAIGN, "previous_date"], "left"
-    )
-    return joined.select(
-        *CAMPAIGN,
-        "date",
-        "cost_micros",
-        "previous_cost_micros",
-        "clicks",
-        "previous_clicks",
-        F.try_divide(F.col("cost_micros") - F.col("previous_cost_micros"), "previous_cost_micros").alias("cost_change"),
-    )
+    """Each campaign day with the same date one year earlier (28 February for 29 February).
+
+    A self-join would read the facts twice. Instead every aggregated day is emitted once as itself and once for each
+    day it is the earlier date of (none, one, or two around a leap day), and both meet in one more aggregation.
+    """
+    next_year = F.add_months("date", 12)
+    later = F.filter(
+        F.array(next_year, F.date_add(next_year, 1)), lambda day: F.add_months(day, -12) == F.col("date")
+    )
+    role = F.explode(
+        F.concat(
+            F.array(F.struct(F.col("date").alias("day"), F.lit(True).alias("own"))),
+            F.transform(later, lambda day: F.struct(day.alias("day"), F.lit(False).alias("own"))),
+        )
+    )
+    rows = daily_cost(facts).select(*CAMPAIGN, "cost_micros", "clicks", role.alias("_role"))
+    own = F.col("_role.own")
+    paired = rows.groupBy(*CAMPAIGN, F.col("_role.day").alias("date")).agg(
+        F.max(F.when(own, F.col("cost_micros"))).alias("cost_micros"),
+        F.max(F.when(~own, F.col("cost_micros"))).alias("previous_cost_micros"),
+        F.max(F.when(own, F.col("clicks"))).alias("clicks"),
+        F.max(F.when(~own, F.col("clicks"))).alias("previous_clicks"),
+        F.count_if(own).alias("_days"),
+    )
+    change = F.try_divide(F.col("cost_micros") - F.col("previous_cost_micros"), "previous_cost_micros")
+    return paired.where("_days > 0").drop("_days").withColumn("cost_change", change)
 
 
 def year_to_date(facts: DataFrame) -> DataFrame:

@@ -212,3 +212,26 @@ def test_no_refresh_without_account_column_when_one_failed(store, tmp_path):
     with pytest.raises(LoadFailed):
         refresh(store, AUDIENCES, [audience(1, 7), audience(2, None)], tmp_path, [1, 2])
     assert content(store, AUDIENCES) == before
+
+
+def test_a_crash_between_drop_and_overwrite_is_repaired_by_a_retry(store, tmp_path, monkeypatch):
+    from spendmill.operators import slices
+
+    load(store, GEO, [geo_row(a, d) for a in (1, 2) for d in ("2024-01-20", "2024-01-30")], tmp_path, [1, 2])
+    # Now the newest date disappears for good; the run dies after it was dropped.
+    rows = [geo_row(a, "2024-01-20", cost_micros=5) for a in (1, 2)]
+
+    def crash(*args, **settings):
+        raise OSError("lost")
+
+    run = Run(RUN)
+    with monkeypatch.context() as patched:
+        patched.setattr(slices, "scoped_conf", crash)
+        with pytest.raises(OSError, match="lost"):
+            load(store, GEO, rows, tmp_path, [1, 2], run=run)
+    assert [c[0] for c in costs(store)] == ["2024-01-20", "2024-01-20"]
+    result = load(store, GEO, rows, tmp_path, [1, 2], run=Run(RUN, run_id=run.run_id, resumes=True))
+    assert result.window.start == date(2024, 1, 16)
+    assert costs(store) == [("2024-01-20", "1", 5), ("2024-01-20", "2", 5)]
+    events = [r["event"] for r in store.ledger().where(f"run_id = '{run.run_id}'").orderBy("event").collect()]
+    assert events == ["committed", "started", "started"]

@@ -149,3 +149,10 @@ def test_account_report_sorts_no_rows(spark, tmp_path):
     flat = flatten_report(spec, landed, stored_listing(spark, "google", tmp_path))
     text = plan(account_report(flat))
     assert "HashAggregate" in text and "SortAggregate" not in text and "Sort " not in text
+
+
+def test_year_over_year_reads_the_facts_once(spark, tmp_path):
+    spec = FACTS["google_ads_performance"]
+    spark.createDataFrame([], spec.output_schema).write.parquet(str(tmp_path / "t"))
+    text = plan(marts.year_over_year(spark.read.parquet(str(tmp_path / "t"))))
+    assert text.count("FileScan") == 1 and "Join" not in text and "SortAggregate" not in text
