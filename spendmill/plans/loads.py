@@ -24,7 +24,7 @@ from spendmill.operators.isolation import (
 from spendmill.operators.slices import SPREAD, replace_slices, with_spread
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
-from spendmill.sources.accounts import attach_accounts, exclude_accounts
+from spendmill.sources.accounts import attach_accounts, exclude_accounts, request_key
 
 MESSAGE_ACCOUNTS = 20
 
@@ -106,6 +106,7 @@ def load_fact(
     date go to quarantine.
     """
     store.create_fact(spec)
+    requests, account_windows = (_by_request_key(frame, spec) for frame in (requests, account_windows))
     if account_windows is not None and window is None:
         window = _reach(account_windows)
     window = (
@@ -209,6 +210,12 @@ def plan_account_windows(
     return store.stage(planned, run, spec.table, "account_windows")
 
 
+def _by_request_key(frame: DataFrame | None, spec: ReportSpec) -> DataFrame | None:
+    if frame is None:
+        return None
+    return frame.withColumn("requested_account", request_key("requested_account", spec.platform))
+
+
 def _reach(slices: DataFrame) -> DateWindow | None:
     ends = slices.agg(F.min("slice_start").alias("start"), F.max("slice_end").alias("end")).first()
     return DateWindow(ends["start"], ends["end"]) if ends["start"] else None
@@ -232,7 +239,7 @@ def refresh_dimension(
     """
     flat = flatten_report(spec, landed, accounts, excluded)
     staged = store.stage(flat.withColumn(INGESTED_AT, F.lit(run.ingested_at)), run, spec.table, "rows")
-    failed_requests = requests.where(~F.col("ok")) if requests is not None else None
+    failed_requests = _by_request_key(requests.where(~F.col("ok")), spec) if requests is not None else None
     report = store.stage(account_report(staged, failed_requests), run, spec.table, "accounts")
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),

@@ -7,6 +7,7 @@ from spendmill.sources.accounts import (
     exclude_accounts,
     google_accounts,
     meta_accounts,
+    request_key,
 )
 from spendmill.sources.landing import explode_batches, read_batches, read_landed, read_listing, read_requests
 
@@ -22,4 +23,5 @@ __all__ = [
     "read_landed",
     "read_listing",
     "read_requests",
+    "request_key",
 ]

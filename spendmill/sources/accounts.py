@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendmill.fixed_values import DEFAULT_CURRENCY, META_ACCOUNT_PREFIX, UNNAMED_ACCOUNT
@@ -45,6 +45,13 @@ def exclude_accounts(accounts: DataFrame, excluded: DataFrame | Iterable[str]) -
     return accounts.where(~F.col("key").isin(*keys)) if keys else accounts
 
 
+def request_key(account: Column | str, platform: str) -> Column:
+    """Account ID in the form the listing uses."""
+    if platform == "meta":
+        return with_prefix(account, META_ACCOUNT_PREFIX)
+    return F.col(account) if isinstance(account, str) else account
+
+
 def attach_accounts(landed: DataFrame, accounts: DataFrame, platform: str) -> DataFrame:
     """Landed rows of listed accounts, with the listing entry as the struct column `account`.
 
@@ -52,14 +59,12 @@ def attach_accounts(landed: DataFrame, accounts: DataFrame, platform: str) -> Da
     hint: Catalyst broadcasts the listing while its size is under the session's threshold and otherwise shuffles,
     where AQE splits an account that is too large for one task.
     """
-    key = F.col("requested_account")
-    if platform == "meta":
-        key = with_prefix(key, META_ACCOUNT_PREFIX)
+    keyed = landed.withColumn("requested_account", request_key("requested_account", platform))
     listed = accounts.select(
         F.col("key").alias("_key"), F.struct("key", "name", "currency").alias("account")
     )
     return (
-        landed.join(listed, key == F.col("_key"), "left")
+        keyed.join(listed, F.col("requested_account") == F.col("_key"), "left")
         .where(F.col("_key").isNotNull() | F.col("requested_account").isNull())
         .drop("_key")
     )

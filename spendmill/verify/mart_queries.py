@@ -14,7 +14,7 @@ from spendmill.plans import marts
 from spendmill.verify.landing import table
 from spendmill.verify.operator_queries import query
 from spendmill.verify.oracles import ASSET_DIM, AUDIENCE_DIM, CREATIVE_DIM, META_AD_DIM, load_fact, scan_fact
-from spendmill.verify.queries import scan
+from spendmill.verify.queries import load_restated, scan
 
 PERFORMANCE = scan_fact("google_ads_performance")
 BUDGETS = scan_fact("google_ads_budget_pacing")
@@ -142,8 +142,6 @@ def weighted_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily cost and clicks per campaign after a restated batch was loaded."""
-    from spendmill.verify.queries import load_restated
-
     facts = load_restated("google_ads_geo", spark, sf_dir)
     return facts.groupBy("campaign_id", "date").agg(
         F.sum("cost_micros").alias("cost_micros"), F.sum("clicks").alias("clicks")

@@ -18,11 +18,19 @@ from spendmill.operators.slices import replace_slices
 from spendmill.plans.catalog import FACTS, REPORTS
 from spendmill.plans.loads import backfill, flatten_report, load_fact, refresh_dimension
 from spendmill.plans.spec import INGESTED_AT, ReportSpec, identifier, plain
-from spendmill.plans.store import Run, Store
+from spendmill.plans.store import Run
 from spendmill.sources import attach_accounts, exclude_accounts, google_accounts, meta_accounts
 from spendmill.sources.landing import explode_batches, read_batches
-from spendmill.verify.landing import derived_fact, excluded_keys, fact_accounts, landed_dimension, landed_fact, table
+from spendmill.verify.landing import (
+    derived_fact,
+    dimension_accounts,
+    excluded_keys,
+    fact_accounts,
+    landed_fact,
+    table,
+)
 from spendmill.verify.oracles import scan_fact
+from spendmill.verify.queries import new_store, scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,12 +48,6 @@ def query(name: str, oracle: str) -> Callable[[Query], Query]:
     return register
 
 
-def new_store(spark: SparkSession) -> Store:
-    from spendmill.verify.queries import new_store as make
-
-    return make(spark)
-
-
 # Events seen as a small ads fact.
 ADS = {
     "date": "CAST(ts AS DATE)",
@@ -323,11 +325,11 @@ GEO = FACTS["google_ads_geo"]
 
 @query("landed_batches", scan_fact("google_ads_geo"))
 def landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report landed as JSON response batches (here up to two rows each), scanned and flattened."""
+    """Report landed as JSON response batches (of one row each; `batch_order` has more), scanned and flattened."""
     rows = derived_fact(spark, sf_dir, GEO)
     members = F.struct(*[c for c in rows.columns if c not in ("requested_account", "account_ord", "row_ord")])
     batches = rows.select(
-        F.when(F.col("row_ord") % 2 == 0, F.array(members)).otherwise(F.array(members)).alias("results"),
+        F.array(members).alias("results"),
         "requested_account",
         "account_ord",
         F.col("row_ord").cast("int").alias("batch_ord"),
@@ -664,8 +666,6 @@ def account_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT 'google_ads_ad_dim' AS report, CAST(COUNT(DISTINCT p_partkey) AS BIGINT) AS unique_keys FROM part""",
 )
 def unique_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from spendmill.verify.queries import scan
-
     rows = scan("google_ads_ad_dim", spark, sf_dir)
     return rows.agg(F.count(F.lit(1)).alias("unique_keys")).withColumn("report", F.lit("google_ads_ad_dim"))
 
@@ -695,8 +695,6 @@ def failed_account_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def carried_dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account 1 fails in the second refresh: its rows of the first one stay, all others are replaced."""
-    from spendmill.verify.landing import dimension_accounts
-
     spec, store = REPORTS["meta_ads_ad_dim"], new_store(spark)
     accounts = dimension_accounts(spark, sf_dir, "meta")
     orders = table(spark, sf_dir, "orders")

@@ -105,6 +105,13 @@ def test_failed_chunk_keeps_its_rows(store, tmp_path):
     assert spend(store) == [("2024-01-18", "1", 9.0), ("2024-01-25", "1", 1.5)]
 
 
+def test_account_ids_with_and_without_prefix_are_the_same(store, tmp_path):
+    rows = [insight(1, "2024-01-18", requested_account="1"), insight(1, "2024-01-25", requested_account="act_1")]
+    requests = store.spark.createDataFrame([("1", day("2024-01-16"), day("2024-01-20"), True)], REQUESTS)
+    load(store, INSIGHTS, rows, tmp_path, [1], requests=requests)
+    assert spend(store) == [("2024-01-18", "1", 1.5)]
+
+
 def test_broken_insight_fails_its_account(store, tmp_path):
     rows = [insight(1, "2024-01-18"), insight(2, "2024-01-18"), insight(2, "2024-01-19", impressions="1.0")]
     with pytest.raises(LoadFailed, match="act_2: impressions is no integer"):
