@@ -57,8 +57,14 @@ def ascii_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+def lower_for_ascii(text: Column) -> Column:
+    """Lower case, for comparison with ASCII words: A-Z becomes a-z and no other character becomes an ASCII one.
+
+    `lower` does that for every character but two, the Kelvin sign and the dotted capital I; only texts that hold one of
+    them take the slow way, character by character.
+    """
+    odd = F.contains(text, F.lit("\u212a")) | F.contains(text, F.lit("\u0130"))
+    return F.when(odd, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
 def text_key(text: Column) -> list[Column]:

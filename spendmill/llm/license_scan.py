@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendmill.llm.common import lower_ascii
+from spendmill.llm.common import lower_for_ascii
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 MIN_VOTES = 2
@@ -66,7 +66,7 @@ TEMPLATES: dict[str, Template] = {
 
 def licence_words(text: Column) -> Column:
     """Words of a text in order: runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased."""
-    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), "")
+    return F.array_remove(F.split(lower_for_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
 def _quoted(word: str) -> str:
@@ -98,11 +98,11 @@ def rarest_first(words: DataFrame, templates: Mapping[str, Template]) -> list[st
     """
     vocabulary = sorted({w for t in templates.values() for w in t.words})
     counts = (
-        words.select(F.explode(F.array_intersect(F.array(*map(F.lit, vocabulary)), "words")).alias("word"))
+        words.select(F.explode_outer(F.array_intersect(F.array(*map(F.lit, vocabulary)), "words")).alias("word"))
         .groupBy("word")
         .agg(F.count("*").alias("docs"))
     )
-    found = {row["word"]: row["docs"] for row in counts.collect()}
+    found = {row["word"]: row["docs"] for row in counts.collect() if row["word"] is not None}
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
 

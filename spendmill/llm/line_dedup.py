@@ -75,7 +75,8 @@ def _first(columns: list[str]) -> Column:
 def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
     """(key, chunks to remove) of all documents that lose a chunk."""
     place = [*KEY, "start"]
-    split = chunked(docs).select(*KEY, "lines", F.explode("chunks").alias("c")).where("c.len > 1")
+    # explode_outer: for explode, the optimizer would add a filter on the whole chunking expression and compute it twice.
+    split = chunked(docs).select(*KEY, "lines", F.explode_outer("chunks").alias("c")).where("c.len > 1")
     hashed = work.write(split.select(*KEY, "c.start", F.md5(_chunk_text()).alias("hash")), "chunks")
     # Copies of one hash: map-side combining meets every hot chunk before the shuffle.
     twice = (
@@ -87,7 +88,7 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
     starts = hashed.join(twice, "hash", "left_semi").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
     candidates = work.write(
         _by_key(chunked(docs), starts, "inner")
-        .select(*KEY, "lines", F.explode(F.filter("chunks", lambda c: F.array_contains("starts", c.start))).alias("c"))
+        .select(*KEY, "lines", F.explode_outer(F.filter("chunks", lambda c: F.array_contains("starts", c.start))).alias("c"))
         .select(*KEY, F.col("c.start").alias("start"), F.col("c.len").alias("len"), _chunk_text().alias("chunk"))
         .withColumn("hash", F.md5("chunk")),
         "candidates",

@@ -13,6 +13,7 @@ A stratum with too few good labels to prove anything keeps every document that t
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,14 +45,14 @@ def _rows_of(columns: dict[str, Column], df: DataFrame) -> DataFrame:
     return df
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Counts of one text per row: `doc_id`, `lang` and the statistics. A null text has no words and no lines.
+def features(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Counts of one text per row: `doc_id`, `lang`, the statistics and the columns to `carry`. Null texts have no words.
 
-    A word of a repeated 3-word window is found by sorting window hashes: equal neighbours repeat. Positions are only
-    looked up in texts that have such neighbours, again by a sort, so that no text costs more than n log n.
+    Words of repeated 3-word windows: only texts with fewer distinct windows than windows are looked into; there the
+    windows are sorted by hash, and equal neighbours repeat. No text costs more than n log n.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.select("doc_id", "lang", text.alias("text")).withColumn("words", ascii_words(F.col("text")))
+    df = docs.select("doc_id", "lang", text.alias("text"), *carry).withColumn("words", ascii_words(F.col("text")))
     df = _rows_of(
         {
             "n_words": F.size("words").cast("long"),
@@ -63,15 +64,12 @@ def features(docs: DataFrame) -> DataFrame:
         },
         df,
     )
-    df = df.withColumn("sorted", F.sort_array("grams"))
-    df = df.withColumn(
-        "repeats", F.expr("exists(sequence(0, size(sorted)), i -> i > 0 and i < size(sorted) and sorted[i] = sorted[i - 1])")
-    )
+    df = df.withColumn("repeats", F.size(F.array_distinct("grams")) < F.size("grams"))
     # (hash, place) sorted: a window repeats if it equals its neighbour on either side.
     df = df.withColumn(
         "places",
         F.expr(
-            "if(repeats, array_sort(transform(grams, (g, i) -> named_struct('g', g, 'i', i))),"
+            "if(repeats, sort_array(transform(grams, (g, i) -> named_struct('g', g, 'i', i))),"
             " cast(array() as array<struct<g: bigint, i: int>>))"
         ),
     )
@@ -86,13 +84,14 @@ def features(docs: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         "n_words",
-        F.length(F.translate("text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.expr("cast(size(array_distinct(flatten(transform(again, p -> array(p.i, p.i + 1, p.i + 2))))) as bigint)").alias(
             "n_repeat_words"
         ),
         F.size("lines").cast("long").alias("n_lines"),
+        *carry,
     )
 
 
@@ -229,3 +228,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) ->
     measured = work.write(features(docs), "features")
     cutoffs = work.write(certified_cutoffs(measured, labels, risk), "cutoffs")
     return apply_cutoffs(measured, cutoffs)
+
+
+def keep_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
+    """The rows of `docs` that the base rule and the certified cutoffs keep, with all their columns.
+
+    The statistics are computed twice, first without the texts to find the cutoffs, then beside each row: that is cheaper
+    than to join the verdicts to the texts, and needs no unique document id.
+    """
+    work = Workspace(docs.sparkSession, "quality")
+    measured = work.write(features(docs.select("doc_id", "text", "lang")), "features")
+    cutoffs = work.write(certified_cutoffs(measured, labels, risk), "cutoffs")
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    judged = apply_cutoffs(features(docs.select("doc_id", "text", "lang", row), carry=["row"]), cutoffs)
+    return judged.where("kept").select("row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendmill.llm.common import table
 
@@ -24,6 +25,29 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", "line_dedup.text")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from spendmill.llm.token_counts import count_tokens
+
+    counted = count_tokens(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from spendmill.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.html_text import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spendmill.llm.quality_rules import score_documents
 
