@@ -140,5 +140,6 @@ FROM measured JOIN verdict USING (r)
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(),
     "op2_line_dedup": line_dedup(),
+    "op4_substring_dedup": substring_dedup(35),
     "op9_quality_rules": quality_rules(),
 }

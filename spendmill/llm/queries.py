@@ -25,6 +25,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", "line_dedup.text")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.decontamination import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.substring_dedup import remove_repeated_windows
+
+    return remove_repeated_windows(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -57,6 +69,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
