@@ -60,6 +60,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.suffix_dedup import remove_repeated_bytes
+
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spendmill.llm.quality_rules import score_documents
 

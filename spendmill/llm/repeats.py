@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendmill.llm.common import Workspace, text_key
+from spendmill.llm.windows import Prefix, owners
+
+_PLACE = ["k1", "place"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -28,9 +32,62 @@ def repeated(rows: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(there).alias("a"), F.max(there).alias("b")).where("a <> b").select(*keys)
 
 
-def candidates(
-    docs: DataFrame, anchors: DataFrame, work: Workspace
+def _anchors(units_of: Callable[[bytes], np.ndarray], gram: int, half: int, window: int):
+    def of(batch: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for k1, text in zip(batch["k1"], batch["text"]):
+            units = units_of(text.encode("utf-8", "surrogatepass"))
+            if len(units) < window:
+                continue
+            sums = Prefix(units)
+            for place, hashes, _, _ in owners(units, gram, window):
+                # Beyond an end of the text there is no extension; zero stands for it and is never counted.
+                right = np.where(place + half <= len(units), sums.of(place, np.minimum(place + half, len(units))), 0)
+                low = place + gram - half
+                left = np.where(low >= 0, sums.of(np.maximum(low, 0), place + gram), 0)
+                parts.append((k1, place, hashes, right, left))
+        columns = [np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in range(1, 5)]
+        return pd.DataFrame(
+            {
+                "k1": np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts]),
+                "place": columns[0].astype(np.int32),
+                **{n: c.astype(np.uint64).view(np.int64) for n, c in zip(("gram", "right", "left"), columns[1:])},
+            }
+        )
+
+    return of
+
+
+def repeated_anchors(
+    rows: DataFrame,
+    units_of: Callable[[bytes], np.ndarray],
+    gram: int,
+    half: int,
+    window: int,
+    work: Workspace,
 ) -> DataFrame:
+    """`k1` and `places` of all anchors whose window may repeat: their gram does, and so does its extension to one side.
+
+    `rows` is `keyed`; a window of `window` units holds, around its anchor of `gram` units, the `half` units that begin with
+    the anchor or the `half` units that end with it.
+    """
+    found = work.write(
+        rows.select("k1", "text").mapInPandas(
+            per_batch(_anchors(units_of, gram, half, window)), "k1 long, place int, gram long, right long, left long"
+        ),
+        "anchors",
+    )
+    first = work.write(found.join(repeated(found, ["gram"], _PLACE), "gram", "left_semi").drop("gram"), "level1")
+    sides = F.array(
+        F.struct(F.lit(1).alias("side"), F.col("right").alias("part")),
+        F.struct(F.lit(2).alias("side"), F.col("left").alias("part")),
+    )
+    halves = first.select("k1", "place", F.explode(sides).alias("s")).select("k1", "place", "s.*").where("part <> 0")
+    again = halves.join(repeated(halves, ["side", "part"], _PLACE), ["side", "part"], "left_semi")
+    return work.write(again.groupBy("k1").agg(F.collect_set("place").alias("places")), "places")
+
+
+def candidates(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """All rows of `docs` (`keyed`) with `copies` (rows of the same text), `leader` and the repeated `anchors` of their text.
 
     `anchors` has `k1` and `places`. One row (or a few equal ones) of each text leads: only leaders need be searched further.

@@ -16,44 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendmill.llm.common import Workspace
-from spendmill.llm.repeats import candidates, keyed, per_batch, repeated
+from spendmill.llm.repeats import candidates, keyed, per_batch, repeated, repeated_anchors
 from spendmill.llm.windows import Prefix, owners, word_spans, word_units
 
 WINDOW = 35
-_PLACE = ["k1", "place"]
 
 
-def _anchors(window: int):
+def lengths(window: int) -> tuple[int, int]:
+    """Words of the first and the second level."""
     gram = (window + 3) // 4
-    half = min(2 * gram, (window + 1) // 2)
-
-    def of(batch: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for k1, text in zip(batch["k1"], batch["text"]):
-            units = word_units(text.encode("utf-8", "surrogatepass"))
-            if len(units) < window:
-                continue
-            sums = Prefix(units)
-            for place, hashes, _, _ in owners(units, gram, window):
-                # Beyond an end of the text there is no extension; zero stands for it and is never counted.
-                right = np.where(place + half <= len(units), sums.of(place, np.minimum(place + half, len(units))), 0)
-                low = place + gram - half
-                left = np.where(low >= 0, sums.of(np.maximum(low, 0), place + gram), 0)
-                parts.append((k1, place, hashes, right, left))
-        columns = [np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in range(1, 5)]
-        return pd.DataFrame(
-            {
-                "k1": np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts]),
-                "place": columns[0].astype(np.int32),
-                **{n: c.astype(np.uint64).view(np.int64) for n, c in zip(("gram", "right", "left"), columns[1:])},
-            }
-        )
-
-    return of
+    return gram, min(2 * gram, (window + 1) // 2)
 
 
 def _full_windows(window: int):
-    gram = (window + 3) // 4
+    gram, _ = lengths(window)
 
     def of(batch: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -143,18 +119,8 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     work = Workspace(docs.sparkSession, "substrings")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = keyed(docs)
-    found = work.write(
-        rows.select("k1", "text").mapInPandas(per_batch(_anchors(window)), "k1 long, place int, gram long, right long, left long"),
-        "anchors",
-    )
-    first = work.write(found.join(repeated(found, ["gram"], _PLACE), "gram", "left_semi").drop("gram"), "level1")
-    # Twice the length, on either side.
-    sides = first.select("k1", "place", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("right").alias("half")), F.struct(F.lit(2).alias("side"), F.col("left").alias("half")))).alias("s")).select(
-        "k1", "place", "s.*"
-    ).where("half <> 0")
-    second = sides.join(repeated(sides, ["side", "half"], _PLACE), ["side", "half"], "left_semi")
-    places = work.write(second.groupBy("k1").agg(F.collect_set("place").alias("places")), "level2")
-    settled = candidates(rows, places, work).mapInPandas(
+    places = repeated_anchors(rows, word_units, *lengths(window), window, work)
+    settled = candidates(rows, places).mapInPandas(
         per_batch(_settle(window)),
         f"doc_id {id_type}, k1 long, k2 long, n_words long, n_removed long, kept_sha256 string, text string,"
         " leader boolean, places array<int>",
