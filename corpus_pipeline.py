@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendmill.llm.common import Workspace, fresh_name, table
+from spendmill.llm.common import Workspace, fresh_name, rows_where, table
+from spendmill.llm.decontamination import drop_leaks
 from spendmill.llm.line_dedup import remove_repeated_lines
+from spendmill.llm.packing import pack_documents
 from spendmill.llm.quality_rules import keep_documents
+from spendmill.llm.simhash import drop_near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # The stages hash and rank with functions that SQL engines do not share; tests hold run() against brute force.
@@ -32,12 +36,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.col(out)["text"]
     lost_all = (F.col(out)["n_removed"] > 0) & ~text.rlike("[^\\x20\\x09-\\x0D]")
     columns = {"text": F.when(F.col("text").isNotNull(), text), "n_chars": F.length(text).cast("long")}
-    return after.where(~lost_all).select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return rows_where(after, ~lost_all, [columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by fingerprints of five-word shingles."""
+    return drop_near_duplicates(docs, shingle=5)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenized documents, packed into training sequences of 2048 tokens."""
+    return pack_documents(docs, path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
 

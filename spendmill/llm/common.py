@@ -28,6 +28,16 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def rows_where(df: DataFrame, keep: Column, columns: list[Column]) -> DataFrame:
+    """`columns` of the rows for which `keep` holds, with `keep` computed once and where it stands.
+
+    A plain filter is moved below the projections that `keep` is made of, with their expressions put into it, even into the
+    functions of arrays, where they would be computed for every element. Generated rows are not moved.
+    """
+    kept = F.explode_outer(F.when(keep, F.array(F.struct(*columns)))).alias("row")
+    return df.select(kept).where("row is not null").select("row.*")
+
+
 class Workspace:
     """A folder of this run in the shared folder, for tables between the steps of an operator.
 

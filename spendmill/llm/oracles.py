@@ -100,19 +100,19 @@ FROM docs LEFT JOIN kept USING (r)
 def suffix_dedup(size: int) -> str:
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
-starts AS (SELECT r, unnest(range(octet_length(b) - {size - 1})) AS i, hex(b) AS h FROM docs WHERE octet_length(b) >= {size}),
-windows AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, {2 * size})) AS w FROM starts),
+starts AS (SELECT r, unnest(range(octet_length(b) - {size - 1})) AS i, b FROM docs WHERE octet_length(b) >= {size}),
+windows AS (SELECT r, i, md5_number(b[i + 1:i + {size}]::VARCHAR) AS w FROM starts),
 again AS (SELECT r, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
 runs AS (SELECT r, i, sum((coalesce(i - before, {size} + 1) > {size})::INT) OVER (PARTITION BY r ORDER BY i) AS run
   FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM again)),
 spans AS (SELECT r, min(i) AS a, max(i) + {size} AS z FROM runs GROUP BY r, run),
 gaps AS (SELECT r, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS low, a AS high FROM spans
   UNION ALL SELECT r, max(z), NULL FROM spans GROUP BY r),
-kept AS (SELECT r, string_agg(substr(hex(b), 2 * low + 1, 2 * (coalesce(high, octet_length(b)) - low)), '' ORDER BY low) AS h
-  FROM gaps JOIN docs USING (r) GROUP BY r),
+kept AS (SELECT r, string_agg(hex(b[low + 1:coalesce(high, octet_length(b))]), '' ORDER BY low) AS h
+  FROM gaps JOIN docs USING (r) WHERE low < coalesce(high, octet_length(b)) GROUP BY r),
 sums AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
 SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  CASE WHEN kept.r IS NULL THEN sha256(b) ELSE sha256(unhex(h)) END AS kept_sha256
+  CASE WHEN sums.r IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(h, ''))) END AS kept_sha256
 FROM docs LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 """
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendmill.llm.common import Workspace, ascii_words
+from spendmill.llm.common import Workspace, ascii_words, rows_where
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -241,4 +241,4 @@ def keep_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> D
     cutoffs = work.write(certified_cutoffs(measured, labels, risk), "cutoffs")
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
     judged = apply_cutoffs(features(docs.select("doc_id", "text", "lang", row), carry=["row"]), cutoffs)
-    return judged.where("kept").select("row.*")
+    return rows_where(judged, F.col("kept"), [F.col("row")[name].alias(name) for name in docs.columns])

@@ -17,10 +17,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from spendmill.llm.common import Workspace
+from spendmill.llm.common import Workspace, fresh_name
 from spendmill.llm.components import connected_components
 
 MAX_BITS = 4
@@ -193,7 +195,7 @@ def fingerprint_links(distinct: DataFrame, work: Workspace) -> DataFrame:
 
 
 def components_of(prints: DataFrame, work: Workspace) -> DataFrame:
-    """`fp` and `component_id`, the smallest document id among all rows of its component (nulls count last)."""
+    """`fp`, its component's `root` and `component_id`, the smallest document id of all its rows (null if it has no other)."""
     distinct = work.write(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = connected_components(fingerprint_links(distinct.select("fp"), work), work)
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
@@ -201,7 +203,7 @@ def components_of(prints: DataFrame, work: Workspace) -> DataFrame:
     )
     rooted = work.write(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -217,3 +219,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return prints.join(members, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of `docs`, all columns, of which one stays per component: the one with the smallest document id.
+
+    Nulls come last; of rows with that id, one stays. The rows are written once with their fingerprint and a row number, so
+    that the number of the row to keep means the same row when they are read again.
+    """
+    work = Workspace(docs.sparkSession, "simhash")
+    fp, number = fresh_name(docs, "fp"), fresh_name(docs, "row_number")
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            prints = pa.array([signed(fingerprint(text, shingle)) for text in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, fp])
+
+    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
+    numbered = docs.mapInArrow(marked, schema).withColumn(number, F.monotonically_increasing_id())
+    rows = work.write(numbered, "rows")
+    prints = rows.select(F.col("doc_id"), F.col(fp).alias("fp"), F.col(number).alias("row"))
+    members = work.write(components_of(prints.select("doc_id", "fp"), work), "members")
+    # The component's id is its smallest document id, so only rows that have it compete; null only if there is no other.
+    first = (
+        prints.join(members, "fp")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("row").alias(number))
+    )
+    keep = work.write(first.select(number), "keep")
+    return rows.join(keep, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

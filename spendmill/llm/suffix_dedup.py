@@ -140,8 +140,8 @@ def _sorted_groups(window: int, bound: int):
 
     def typed(frame: pd.DataFrame) -> pd.DataFrame:
         if "spans" not in frame:
-            frame["spans"] = None
-        return frame.astype({"c1": "Int64", "c2": "Int64", "w1": "Int64", "w2": "Int64", "at": "Int32"})[
+            frame["spans"] = [None] * len(frame)
+        return frame.astype({"c1": "Int64", "c2": "Int64", "spans": object, "w1": "Int64", "w2": "Int64", "at": "Int32"})[
             ["c1", "c2", "spans", "w1", "w2", "at"]
         ]
 
