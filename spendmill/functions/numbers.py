@@ -20,9 +20,10 @@ def micros_to_units(micros: Column | str) -> Column:
 def to_micros(amount: Column | str) -> Column:
     """Integer micros of a fractional amount.
 
-    Sums over the result are exact, so a total does not depend on how Spark splits and orders the rows.
+    Sums over the result are exact, so a total does not depend on how Spark splits and orders the rows. An amount that is
+    not finite, or too large for a whole number, has no micros: it gives null and does not fail the query.
     """
-    return F.rint(_col(amount) * F.lit(float(MICROS_PER_UNIT))).cast("bigint")
+    return F.rint(_col(amount) * F.lit(float(MICROS_PER_UNIT))).try_cast("bigint")
 
 
 def _whole(text: Column) -> Column:

@@ -49,7 +49,10 @@ def run_report(
 
 
 def run_reports(store: Store, names: Iterable[str], landing: str, run: Run, **options) -> dict[str, LoadResult]:
-    """Load several tables; a failing one does not stop the others, and all failures are raised at the end."""
+    """Load several tables; a failing one does not stop the others, and all failures are raised at the end.
+
+    That holds for any error of a report, such as a landing folder that is not there.
+    """
     results: dict[str, LoadResult] = {}
     failures: list[str] = []
     for name in names:
@@ -57,6 +60,8 @@ def run_reports(store: Store, names: Iterable[str], landing: str, run: Run, **op
             results[name] = run_report(store, name, landing, run, **options)
         except LoadFailed as failure:
             failures.append(str(failure))
+        except Exception as error:  # noqa: BLE001 - raised at the end, with the report's name
+            failures.append(f"{name}: {type(error).__name__}: {str(error).splitlines()[0]}")
     if failures:
         raise LoadFailed("; ".join(failures))
     return results

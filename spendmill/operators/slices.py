@@ -26,13 +26,22 @@ def with_spread(stored: DataFrame) -> DataFrame:
     return stored.withColumn(SPREAD, F.col("_metadata.row_index"))
 
 
-def rows_outside_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
-    """Target rows that no scope slice (`account_id`, `slice_start`, `slice_end`) covers."""
+def _against_scope(target: DataFrame, scope: DataFrame, how: str) -> DataFrame:
     slices = scope.select(F.col("account_id").alias("_account"), "slice_start", "slice_end")
     covered = (F.col("account_id") == F.col("_account")) & F.col("date").between(
         F.col("slice_start"), F.col("slice_end")
     )
-    return target.join(slices, covered, "left_anti")
+    return target.join(slices, covered, how)
+
+
+def rows_outside_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
+    """Target rows that no scope slice (`account_id`, `slice_start`, `slice_end`) covers."""
+    return _against_scope(target, scope, "left_anti")
+
+
+def rows_in_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
+    """Target rows that a scope slice covers."""
+    return _against_scope(target, scope, "left_semi")
 
 
 def replace_slices(
@@ -55,16 +64,30 @@ def replace_slices(
     data has no row for it, so a retracted date would survive. Dropping first is also the safe order: the dropped rows
     are rows this run deletes anyway, and a crash in between can only move the newest date back, which widens the next
     window. Lists that reach the driver are calendar days of the window, never rows.
+
+    Only dates that the batch or the scope touches are rewritten; the files of all other dates stay as they are. A batch
+    row without a date, outside the window or outside the scope is an error, raised before anything is dropped: the
+    overwrite would replace whatever else stands at its date.
     """
     columns = spark.table(table).columns
     # Analysed, not run: a batch that does not fit the table fails here, before anything is dropped.
     spark.table(table).unionByName(batch.select(*columns))
-    present = {day for day in partition_dates(spark, table) if window.start <= day <= window.end}
     arriving = {r["date"] for r in batch.select("date").distinct().collect()}
+    strays = sorted(str(day) for day in arriving if day is None or not window.start <= day <= window.end)
+    if strays:
+        raise ValueError(f"{table}: batch has rows outside {window.start}..{window.end}: {', '.join(strays)}")
+    if not rows_outside_scope(batch.select("account_id", "date"), scope).isEmpty():
+        raise ValueError(f"{table}: batch has rows outside its scope")
+    existing = {day for day in partition_dates(spark, table) if window.start <= day <= window.end}
+    untouched = existing - arriving
+    if untouched:
+        covered = rows_in_scope(spark.table(table).where(window.contains("date")).select("account_id", "date"), scope)
+        untouched -= {r["date"] for r in covered.select("date").distinct().collect()}
+    present = existing - untouched
 
     def kept(dates: set[date]) -> DataFrame:
         target = spark.table(table).where(window.contains("date"))
-        if len(dates) < len(present):
+        if len(dates) < len(existing):
             target = target.where(F.col("date").isin(sorted(dates)))
         return rows_outside_scope(with_spread(target), scope)
 
@@ -80,7 +103,7 @@ def replace_slices(
     total = batch.count() if batch_rows is None else batch_rows
     if remaining:
         # A count by partition comes from Parquet footers.
-        total += spark.table(table).where(window.contains("date")).count()
+        total += spark.table(table).where(F.col("date").isin(sorted(remaining))).count()
         rows = kept(remaining).select(*columns, SPREAD).unionByName(rows)
     dates = len(arriving | remaining)
     if not dates:

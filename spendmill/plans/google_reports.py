@@ -21,6 +21,7 @@ from spendmill.plans.spec import (
     plain,
     resource_tail,
     whole,
+    whole_or_zero,
 )
 
 DAY = (lenient_day("date", "segments.date"),)
@@ -108,7 +109,7 @@ FACTS = (
             identifier("keyword_id", "ad_group_criterion.criterion_id"),
             plain("keyword_text", "ad_group_criterion.keyword.text"),
             plain("keyword_match_type", "ad_group_criterion.keyword.match_type"),
-            whole("quality_score", "ad_group_criterion.quality_info.quality_score"),
+            whole_or_zero("quality_score", "ad_group_criterion.quality_info.quality_score"),
         ),
         "account_id campaign_id ad_group_id keyword_id",
         row_filter=lambda: F.col("ad_group_criterion.type") == KEYWORD_CRITERION,

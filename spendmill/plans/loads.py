@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -26,11 +26,13 @@ from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
 from spendmill.sources.accounts import attach_accounts, exclude_accounts, request_key
 
-MESSAGE_ACCOUNTS = 20
-
 
 class LoadFailed(RuntimeError):
-    """Raised after the commit when some accounts could not be loaded."""
+    """Raised after the commit when some accounts could not be loaded. `results` holds what the loads did."""
+
+    def __init__(self, message: str, results: tuple[LoadResult, ...] = ()):
+        super().__init__(message)
+        self.results = results
 
 
 @dataclass(frozen=True)
@@ -52,13 +54,13 @@ class LoadResult:
         return failure_messages(self.rows, self.accounts)
 
     def raise_for_failures(self) -> None:
-        """The full list stays in `accounts`; the message shows the first few."""
+        """The message names the first failed account; the error's `results` give the `failures` of all of them."""
         if not self.failed:
             return
-        failures = self.failures()
-        shown = failures.orderBy("requested_account").limit(MESSAGE_ACCOUNTS).collect()
-        listed = "; ".join(f"{r['requested_account']}: {r['violation']}" for r in shown)
-        raise LoadFailed(f"{self.table}: {failures.count()} accounts failed ({listed})")
+        first = F.min(F.struct("requested_account", "violation")).alias("first")
+        row = self.failures().agg(F.count("*").alias("failed"), first).first()
+        example = f"{row['first']['requested_account']}: {row['first']['violation']}"
+        raise LoadFailed(f"{self.table}: {row['failed']} accounts failed ({example})", (self,))
 
 
 def flatten_report(
@@ -68,7 +70,8 @@ def flatten_report(
     excluded: DataFrame | Iterable[str] = EXCLUDED_ACCOUNTS,
 ) -> DataFrame:
     """Typed rows of all listed accounts, with landing columns and contract violation."""
-    return spec.project(attach_accounts(landed, exclude_accounts(accounts, excluded), spec.platform))
+    listed = exclude_accounts(accounts, excluded, spec.platform)
+    return spec.project(attach_accounts(landed, listed, spec.platform))
 
 
 def clean_rows(spec: ReportSpec, flat: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def load_fact(
     date go to quarantine.
     """
     store.create_fact(spec)
-    requests, account_windows = (_by_request_key(frame, spec) for frame in (requests, account_windows))
+    requests, account_windows = _answers(requests, spec), _by_request_key(account_windows, spec)
     if account_windows is not None and window is None:
         window = _reach(account_windows)
     window = (
@@ -216,6 +219,14 @@ def _by_request_key(frame: DataFrame | None, spec: ReportSpec) -> DataFrame | No
     return frame.withColumn("requested_account", request_key("requested_account", spec.platform))
 
 
+def _answers(requests: DataFrame | None, spec: ReportSpec) -> DataFrame | None:
+    """One row per account and slice: answered if any attempt was; an attempt without a verdict was not."""
+    if requests is None:
+        return None
+    keys = [name for name in ("requested_account", "slice_start", "slice_end") if name in requests.columns]
+    return _by_request_key(requests, spec).groupBy(*keys).agg(F.max(F.coalesce("ok", F.lit(False))).alias("ok"))
+
+
 def _reach(slices: DataFrame) -> DateWindow | None:
     ends = slices.agg(F.min("slice_start").alias("start"), F.max("slice_end").alias("end")).first()
     return DateWindow(ends["start"], ends["end"]) if ends["start"] else None
@@ -239,7 +250,8 @@ def refresh_dimension(
     """
     flat = flatten_report(spec, landed, accounts, excluded)
     staged = store.stage(flat.withColumn(INGESTED_AT, F.lit(run.ingested_at)), run, spec.table, "rows")
-    failed_requests = _by_request_key(requests.where(~F.col("ok")), spec) if requests is not None else None
+    answers = _answers(requests, spec)
+    failed_requests = answers.where(~F.col("ok")) if answers is not None else None
     report = store.stage(account_report(staged, failed_requests), run, spec.table, "accounts")
     totals = report.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
@@ -291,9 +303,29 @@ def backfill(
     accounts: DataFrame,
     run: Run,
     years: tuple[int, int],
+    raise_on_failure: bool = True,
     **options,
-) -> LoadResult:
-    """Load whole calendar years, ending at the run date. Running it again gives the same table."""
+) -> list[LoadResult]:
+    """Load whole calendar years, ending at the run date, one commit per year. Running it again gives the same table.
+
+    In every year only the accounts that delivered rows of that year are replaced, so a year without a delivery stays. A
+    failed account does not stop the later years. Each year is a run of its own in the ledger (`<run_id>-<year>`).
+    """
     first, last = years
-    window = DateWindow(date(first, 1, 1), min(date(last, 12, 31), run.run_date))
-    return load_fact(store, spec, landed, accounts, run, window=window, **options)
+    results = []
+    for year in range(first, min(last, run.run_date.year) + 1):
+        window = DateWindow(date(year, 1, 1), min(date(year, 12, 31), run.run_date))
+        own = replace(run, run_id=f"{run.run_id}-{year}")
+        results.append(
+            load_fact(store, spec, landed, accounts, own, window=window, raise_on_failure=False, **options)
+        )
+    if raise_on_failure:
+        messages = []
+        for result in results:
+            try:
+                result.raise_for_failures()
+            except LoadFailed as failure:
+                messages.append(f"{result.window.start.year}: {failure}")
+        if messages:
+            raise LoadFailed("; ".join(messages), tuple(results))
+    return results

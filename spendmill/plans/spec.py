@@ -131,6 +131,11 @@ def whole(name: str, path: str) -> Field:
     return Field(name, "bigint", lambda: F.col(path), ((path, "bigint"),), (missing,))
 
 
+def whole_or_zero(name: str, path: str) -> Field:
+    """Integer that the platform leaves out when it is unset."""
+    return Field(name, "bigint", lambda: F.coalesce(F.col(path), F.lit(0)), ((path, "bigint"),))
+
+
 def measure(name: str, path: str) -> Field:
     return plain(name, path, "double")
 

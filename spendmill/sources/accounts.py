@@ -12,36 +12,48 @@ from pyspark.sql import functions as F
 
 from spendmill.fixed_values import DEFAULT_CURRENCY, META_ACCOUNT_PREFIX, UNNAMED_ACCOUNT
 from spendmill.functions import default_if_blank, with_prefix
+from spendmill.operators.dedupe import keep_first
 
 GOOGLE_ACCOUNT_DDL = "id bigint, descriptive_name string, status string, manager boolean, account_ord int"
 META_ACCOUNT_DDL = "id string, name string, currency string, account_ord int"
 
 
 def google_accounts(listing: DataFrame) -> DataFrame:
-    """Accounts that are no managers; a missing or empty name gets the default."""
-    return listing.where(~F.col("manager")).select(
+    """Accounts that are no managers, each once; a missing or empty name gets the default.
+
+    A client below two managers is listed twice: its first entry counts, so that its rows are not doubled.
+    """
+    accounts = listing.where(~F.col("manager")).select(
         F.col("id").cast("string").alias("key"),
         default_if_blank("descriptive_name", UNNAMED_ACCOUNT).alias("name"),
         F.lit(None).cast("string").alias("currency"),
         "account_ord",
     )
+    return keep_first(accounts, ["key"], ["account_ord"])
 
 
 def meta_accounts(listing: DataFrame) -> DataFrame:
-    """All accounts; only a missing name or currency gets the default, an empty one stays."""
-    return listing.select(
+    """All accounts, each once; only a missing name or currency gets the default, an empty one stays."""
+    accounts = listing.select(
         with_prefix("id", META_ACCOUNT_PREFIX).alias("key"),
         F.coalesce("name", F.lit(UNNAMED_ACCOUNT)).alias("name"),
         F.coalesce("currency", F.lit(DEFAULT_CURRENCY)).alias("currency"),
         "account_ord",
     )
+    return keep_first(accounts, ["key"], ["account_ord"])
 
 
-def exclude_accounts(accounts: DataFrame, excluded: DataFrame | Iterable[str]) -> DataFrame:
-    """Accounts without the excluded keys, given as a short list or as a DataFrame with a `key` column."""
+def exclude_accounts(
+    accounts: DataFrame, excluded: DataFrame | Iterable[str], platform: str = "google"
+) -> DataFrame:
+    """Accounts without the excluded keys, given as a short list or as a DataFrame with a `key` column.
+
+    Keys may be written with or without the platform's prefix.
+    """
     if isinstance(excluded, DataFrame):
-        return accounts.join(excluded.select("key"), "key", "left_anti")
-    keys = list(excluded)
+        return accounts.join(excluded.select(request_key("key", platform).alias("key")), "key", "left_anti")
+    prefix = META_ACCOUNT_PREFIX if platform == "meta" else ""
+    keys = [key if key.startswith(prefix) else prefix + key for key in excluded]
     return accounts.where(~F.col("key").isin(*keys)) if keys else accounts
 
 

@@ -384,12 +384,14 @@ def lookback_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "account_windows",
-    f"""SELECT account_id, MAX(date) - 14 AS slice_start, DATE '2024-01-30' AS slice_end
-        FROM ({ADS_SQL}) WHERE cost_micros > 100000000 GROUP BY account_id""",
+    f"""SELECT account_id, MAX(date - CAST(CAST(account_id AS INTEGER) % 5 AS INTEGER)) - 14 AS slice_start,
+          DATE '2024-01-30' AS slice_end FROM ({ADS_SQL}) GROUP BY account_id""",
 )
 def account_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-water mark per account instead of per table."""
-    marks = incremental.account_marks(ads_fact(spark, sf_dir).where("cost_micros > 100000000"))
+    # Accounts stop on different days.
+    stopped = F.date_sub("date", F.col("account_id").cast("int") % 5)
+    marks = incremental.account_marks(ads_fact(spark, sf_dir).withColumn("date", stopped))
     return incremental.window_of_marks(marks, RUN_DATE).drop("last_date")
 
 

@@ -242,3 +242,43 @@ def test_a_crash_between_drop_and_overwrite_is_repaired_by_a_retry(store, tmp_pa
     assert costs(store) == [("2024-01-20", "1", 5), ("2024-01-20", "2", 5)]
     events = [r["event"] for r in store.ledger().where(f"run_id = '{run.run_id}'").orderBy("event").collect()]
     assert events == ["committed", "started", "started"]
+
+
+def test_backfill_leaves_a_silent_year(store, tmp_path):
+    accounts = google_listing(store.spark, 1, 2)
+    both = [geo_row(a, f"{y}-03-0{a}") for a in (1, 2) for y in (2023, 2024)]
+    backfill(store, GEO, land(store.spark, GEO, both, tmp_path / "a"), accounts, Run(date(2024, 6, 1)), (2023, 2024))
+    later = land(store.spark, GEO, [geo_row(1, "2024-03-05")], tmp_path / "b")
+    results = backfill(store, GEO, later, accounts, Run(date(2024, 6, 1)), (2023, 2024))
+    assert [r.written for r in results] == [False, True]
+    days = sorted((str(r.date), r.account_id) for r in store.read(GEO).select("date", "account_id").collect())
+    assert days == [("2023-03-01", "1"), ("2023-03-02", "2"), ("2024-03-02", "2"), ("2024-03-05", "1")]
+
+
+def test_repeated_listing_does_not_double_rows(store, tmp_path):
+    landed = land(store.spark, GEO, [geo_row(1, "2024-01-18")], tmp_path / "a")
+    load_fact(store, GEO, landed, google_listing(store.spark, 1, 1), Run(RUN))
+    assert store.read(GEO).count() == 1
+
+
+def test_keyword_without_score_loads_as_zero(store, tmp_path):
+    spec = FACTS["google_ads_keywords"]
+    row = geo_row(1, "2024-01-18") | {"ad_group_criterion": {"criterion_id": 5, "type": "KEYWORD"}}
+    load_fact(store, spec, land(store.spark, spec, [row], tmp_path / "a"), google_listing(store.spark, 1), Run(RUN))
+    assert [r.quality_score for r in store.read(spec).collect()] == [0]
+
+
+def test_bare_id_excludes_a_prefixed_account(store, tmp_path):
+    landed = land(store.spark, INSIGHTS, [insight(8, "2024-01-18"), insight(9, "2024-01-18")], tmp_path / "a")
+    load_fact(store, INSIGHTS, landed, meta_listing(store.spark, 8, 9), Run(RUN), excluded=("8",))
+    assert [r.account_id for r in store.read(INSIGHTS).collect()] == ["9"]
+
+
+def test_last_attempt_of_a_request_counts(store, tmp_path):
+    landed = land(store.spark, GEO, [geo_row(1, "2024-01-18"), geo_row(2, "2024-01-18")], tmp_path / "a")
+    tried = [("1", date(2024, 1, 1), RUN, False), ("1", date(2024, 1, 1), RUN, True), ("2", date(2024, 1, 1), RUN, None)]
+    requests = store.spark.createDataFrame(tried, "requested_account string, slice_start date, slice_end date, ok boolean")
+    with pytest.raises(LoadFailed, match="1 accounts failed .2: request failed") as error:
+        load_fact(store, GEO, landed, google_listing(store.spark, 1, 2), Run(RUN), requests=requests)
+    assert [r.requested_account for r in error.value.results[0].failures().collect()] == ["2"]
+    assert [r.account_id for r in store.read(GEO).collect()] == ["1"]

@@ -1,7 +1,4 @@
-"""All registered queries against their oracles.
-
-The table loads are many and slow, so one of each kind runs by default; `SPENDMILL_ALL_LOADS=1` runs all of them.
-"""
+"""All registered queries against their oracles."""
 
 import os
 
@@ -11,18 +8,7 @@ from spendmill.verify.compare import differences
 from spendmill.verify.registry import oracle_sql, queries
 
 SF_DIR = os.environ.get("SPENDMILL_SF_DIR", "/root/testdata/sf0.001")
-TYPICAL_LOADS = {
-    "load_google_ads_geo",
-    "load_google_ads_conversion_action",
-    "load_meta_ads_age_gender",
-    "load_google_ads_ad_dim",
-    "load_meta_ads_creative_dim",
-}
-NAMES = [
-    name
-    for name in queries()
-    if not name.startswith("load_") or name in TYPICAL_LOADS or os.environ.get("SPENDMILL_ALL_LOADS")
-]
+NAMES = list(queries())
 
 
 def test_every_query_has_an_oracle():

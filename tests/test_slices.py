@@ -123,3 +123,23 @@ def test_overwrite_mode_is_put_back(store):
     before = store.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     replace(store, name, [(FIRST, "a", 1)], [("a", FIRST, FIRST)], DateWindow(FIRST, FIRST))
     assert store.spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_other_dates_keep_their_files(store):
+    name = create(store, [(FIRST + timedelta(days=i), "a", i) for i in range(4)])
+    window = DateWindow(FIRST, FIRST + timedelta(days=9))
+    files = lambda: {f for f in store.spark.table(name).inputFiles()}
+    before = files()
+    replace(store, name, [(FIRST + timedelta(days=2), "b", 7)], [("b", window.start, window.end)], window)
+    assert len(before & files()) == 3
+    assert len(table_rows(store, name)) == 5
+
+
+@pytest.mark.parametrize("day, account", [(20, "b"), (2, "c"), (None, "b")])
+def test_stray_rows_are_refused_before_anything_is_dropped(store, day, account):
+    name = create(store, [(FIRST, "b", 1), (FIRST + timedelta(days=20), "a", 1)])
+    window = DateWindow(FIRST, FIRST + timedelta(days=9))
+    stray = (FIRST + timedelta(days=day) if day is not None else None, account, 9)
+    with pytest.raises(ValueError, match="outside"):
+        replace(store, name, [stray], [("b", window.start, window.end)], window)
+    assert len(table_rows(store, name)) == 2
