@@ -85,6 +85,8 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
         .where(~F.col("a").eqNullSafe(F.col("b")))
         .select("hash")
     )
+    # Written first, as `kept` below: joins of two plain exchanges let AQE split a hot chunk.
+    twice = work.write(twice, "twice")
     starts = hashed.join(twice, "hash", "left_semi").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
     candidates = work.write(
         _by_key(chunked(docs), starts, "inner")
@@ -100,7 +102,7 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
         .where(~F.col("first").eqNullSafe(F.col("last")))
         .select("hash", "chunk", "first")
     )
-    removed = candidates.join(kept, ["hash", "chunk"]).where(~_first(place).eqNullSafe(F.col("first")))
+    removed = candidates.join(work.write(kept, "kept"), ["hash", "chunk"]).where(~_first(place).eqNullSafe(F.col("first")))
     return removed.groupBy(*KEY).agg(F.collect_set(F.struct("start", "len")).alias("removed"))
 
 

@@ -131,7 +131,8 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     full = work.write(
         leaders.mapInPandas(per_batch(_full_windows(window), 64), "w1 long, w2 long, k1 long, k2 long, place int"), "level3"
     )
-    again = full.join(repeated(full, ["w1", "w2"], ["k1", "k2", "place"]), ["w1", "w2"], "left_semi")
+    twice = work.write(repeated(full, ["w1", "w2"], ["k1", "k2", "place"]), "twice")
+    again = full.join(twice, ["w1", "w2"], "left_semi")
     starts = work.write(again.groupBy("k1", "k2").agg(F.collect_set("place").alias("starts")), "starts")
     open_rows = settled.where("n_removed is null").select("doc_id", "k1", "k2", "n_words", "text")
     cut = open_rows.join(starts, ["k1", "k2"], "left").mapInPandas(

@@ -210,7 +210,7 @@ def repeated_spans(leaders: DataFrame, work: Workspace, window: int, bound: int)
     )
     large = solved.where("w1 is not null").select("c1", "c2", "w1", "w2", "at")
     counted = (
-        large.join(repeated(large, ["w1", "w2"], ["c1", "c2", "at"]), ["w1", "w2"], "left_semi")
+        large.join(work.write(repeated(large, ["w1", "w2"], ["c1", "c2", "at"]), "large"), ["w1", "w2"], "left_semi")
         .groupBy("c1", "c2")
         .agg(F.collect_set(F.struct(F.col("at").alias("start"), F.lit(window).alias("len"))).alias("spans"))
     )
