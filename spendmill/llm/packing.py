@@ -8,9 +8,12 @@ unpacked ones that together fit the widened gap more tightly. A group wastes abo
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil
+from unicodedata import normalize
 
 import numpy as np
 import pandas as pd
@@ -21,15 +24,35 @@ from pyspark.sql import functions as F
 from spendmill.llm.common import Workspace
 
 MEMO_WORDS = 500_000
+LINE_PARTS = 100
 GROUP_ITEMS = 8192
 # Characters that the tokenizer's own pattern treats as white space, without those that only Python does.
 PYTHON_ONLY_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+# ASCII punctuation but the apostrophe, which can begin a token with letters.
+TAIL = string.punctuation.replace("'", "")
+
+
+class Numbered(dict):
+    """Numbers in order of first sight; `new` holds the keys numbered since it was last taken."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.new.append(key)
+        number = self[key] = len(self)
+        return number
+
+    def take_new(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
 
 
 class WordIds:
-    """Ids of texts by way of their words, each tokenized once and kept in a bounded memo.
+    """Ids of texts by way of the parts of their words, each tokenized once and kept in a bounded memo.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its words one after another.
+    The tokenizer drops white space and no token spans it, so a text's ids are those of its words one after another. Nor
+    does a token span the border between letters and the punctuation after them, so such a word has two parts.
     """
 
     def __init__(self, model_file: str):
@@ -37,11 +60,16 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(model_file)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._empty()
 
     def _empty(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.words_seen, self.parts_seen = Numbered(), Numbered()
+        self.parts_of = np.zeros((0, 2), np.int32)
+        # Of each part: where its ids start in `ids`, and how many they are.
+        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def words(self, text: str) -> list[str]:
         if any(c in text for c in PYTHON_ONLY_SPACE):
@@ -53,24 +81,57 @@ class WordIds:
         return text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.words(t) for t in texts]
-        if len(self.index) > MEMO_WORDS:
+        if len(self.words_seen) > MEMO_WORDS:
             self._empty()
-        new = {w for words in split for w in words}.difference(self.index)
-        if new:
-            new = list(new)
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-            self.ids = np.concatenate([self.ids, flat])
-        return [self._joined(words) for words in split]
-
-    def _joined(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        number = self.words_seen.__getitem__
+        numbers = [np.fromiter(map(number, words), np.int64, len(words)) for words in map(self.words, texts)]
+        self._learn(self.words_seen.take_new())
+        return [self._joined(at) for at in numbers]
+
+    def _learn(self, words: list[str]) -> None:
+        part = self.parts_seen.__getitem__
+        known = len(self.starts)
+        parts_of = np.full((len(words), 2), -1, np.int32)
+        whole: list[int] = []
+        for at, word in enumerate(words):
+            letters = word.rstrip(TAIL)
+            # The tokenizer composes and lower-cases first; both can turn a letter into a letter and a mark.
+            plain = letters.lower() if letters.isascii() else normalize("NFC", letters).lower()
+            if plain.isalpha():
+                parts_of[at, 0] = part(plain if letters.isascii() else letters)
+                if len(letters) < len(word):
+                    parts_of[at, 1] = part(word[len(letters) :])
+            else:
+                parts_of[at, 0] = part(word)
+                whole.append(parts_of[at, 0])
+        self.parts_of = np.concatenate([self.parts_of, parts_of])
+        new = self.parts_seen.take_new()
+        alone = np.zeros(len(new), bool)
+        alone[[n - known for n in whole if n >= known]] = True
+        self.starts, self.lengths = (np.append(c, np.zeros(len(new), np.int64)) for c in (self.starts, self.lengths))
+        for own, tokenized in ((np.flatnonzero(~alone), self._of_plain), (np.flatnonzero(alone), self._of_each)):
+            ids, lengths = tokenized([new[i] for i in own])
+            self.starts[known + own] = len(self.ids) + np.cumsum(lengths) - lengths
+            self.lengths[known + own] = lengths
+            self.ids = np.concatenate([self.ids, ids])
+
+    def _of_each(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts one after another, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _of_plain(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts that are one word to the tokenizer, many of them in a line: each ends with a token that says so."""
+        ids, _ = self._of_each([" ".join(parts[at : at + LINE_PARTS]) for at in range(0, len(parts), LINE_PARTS)])
+        ends = np.flatnonzero(self.ends_word[ids])
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(parts) else self._of_each(parts)
+
+    def _joined(self, words: np.ndarray) -> np.ndarray:
+        at = self.parts_of[words].ravel()
+        at = at[at >= 0]
         first = self.starts[at]
-        lengths = self.starts[at + 1] - first
+        lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         steps = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)
         return self.ids[steps]
