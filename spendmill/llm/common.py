@@ -61,6 +61,13 @@ class Workspace:
         self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Deletes tables of this run that no later step reads."""
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def ascii_words(text: Column) -> Column:
     """Words between ASCII white space, in order; null has none."""

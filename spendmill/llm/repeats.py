@@ -80,6 +80,7 @@ def repeated_anchors(
     # Written first: joins of two plain exchanges let AQE split an anchor that a third of all rows share.
     grams = work.write(repeated(found, ["gram"], _PLACE), "grams")
     first = work.write(found.join(grams, "gram", "left_semi").drop("gram"), "level1")
+    work.drop("anchors", "grams")
     sides = F.array(
         F.struct(F.lit(1).alias("side"), F.col("right").alias("part")),
         F.struct(F.lit(2).alias("side"), F.col("left").alias("part")),
@@ -87,7 +88,9 @@ def repeated_anchors(
     halves = first.select("k1", "place", F.explode(sides).alias("s")).select("k1", "place", "s.*").where("part <> 0")
     parts = work.write(repeated(halves, ["side", "part"], _PLACE), "parts")
     again = halves.join(parts, ["side", "part"], "left_semi")
-    return work.write(again.groupBy("k1").agg(F.collect_set("place").alias("places")), "places")
+    places = work.write(again.groupBy("k1").agg(F.collect_set("place").alias("places")), "places")
+    work.drop("level1", "parts")
+    return places
 
 
 def candidates(docs: DataFrame, anchors: DataFrame) -> DataFrame:

@@ -134,6 +134,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     twice = work.write(repeated(full, ["w1", "w2"], ["k1", "k2", "place"]), "twice")
     again = full.join(twice, ["w1", "w2"], "left_semi")
     starts = work.write(again.groupBy("k1", "k2").agg(F.collect_set("place").alias("starts")), "starts")
+    work.drop("places", "level3", "twice")
     open_rows = settled.where("n_removed is null").select("doc_id", "k1", "k2", "n_words", "text")
     cut = open_rows.join(starts, ["k1", "k2"], "left").mapInPandas(
         per_batch(_cut(window)), f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, kept string"

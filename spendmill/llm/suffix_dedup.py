@@ -275,6 +275,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, group_bound: in
         " leader boolean, places array<int>",
     )
     settled = work.write(settled, "settled")
+    work.drop("places")
     leaders = settled.where("leader and text is not null").select("k1", "k2", "text", "places")
     spans = work.write(repeated_spans(leaders, work, window, group_bound), "spans")
     open_rows = settled.where("n_removed is null").select("doc_id", "k1", "k2", "text")
