@@ -10,9 +10,16 @@ import argparse
 from collections.abc import Iterable
 from datetime import date, datetime, timezone
 
-from spendmill.fixed_values import EXCLUDED_ACCOUNTS
+from spendmill.fixed_values import EXCLUDED_ACCOUNTS, LOOKBACK_DAYS
 from spendmill.plans.catalog import REPORTS
-from spendmill.plans.loads import LoadFailed, LoadResult, load_fact, refresh_dimension
+from spendmill.plans.loads import (
+    LoadFailed,
+    LoadResult,
+    backfill,
+    load_fact,
+    plan_account_windows,
+    refresh_dimension,
+)
 from spendmill.plans.store import Run, Store
 from spendmill.session import build_session
 from spendmill.sources import (
@@ -35,8 +42,15 @@ def run_report(
     drop: str | None = None,
     logged_requests: bool = False,
     excluded: Iterable[str] = EXCLUDED_ACCOUNTS,
-) -> LoadResult:
-    """Load or refresh one table from its landing folder. Raises `LoadFailed` after the commit."""
+    years: tuple[int, int] | None = None,
+    account_windows: bool = False,
+    lookback_days: int = LOOKBACK_DAYS,
+) -> dict[str, LoadResult]:
+    """Load or refresh one table from its landing folder. Raises `LoadFailed` after the commit.
+
+    Facts load their lookback window; with `years` (first and last) whole calendar years, which give one result each
+    (`<name> <year>`), and with `account_windows` each account from its own newest date.
+    """
     spark, spec = store.spark, REPORTS[name]
     ddl, typed = (
         (GOOGLE_ACCOUNT_DDL, google_accounts) if spec.platform == "google" else (META_ACCOUNT_DDL, meta_accounts)
@@ -44,8 +58,13 @@ def run_report(
     accounts = typed(read_listing(spark, ddl, f"{landing}/accounts/{spec.platform}", drop=drop))
     landed = read_landed(spark, spec, f"{landing}/{name}", drop=drop)
     requests = read_requests(spark, f"{landing}/requests/{name}", drop=drop) if logged_requests else None
-    action = load_fact if spec.is_fact else refresh_dimension
-    return action(store, spec, landed, accounts, run, requests=requests, excluded=excluded)
+    delivery, options = (store, spec, landed, accounts, run), {"requests": requests, "excluded": excluded}
+    if not spec.is_fact:
+        return {name: refresh_dimension(*delivery, **options)}
+    if years:
+        return {f"{name} {result.window.start.year}": result for result in backfill(*delivery, years, **options)}
+    windows = plan_account_windows(store, spec, accounts, run, lookback_days) if account_windows else None
+    return {name: load_fact(*delivery, account_windows=windows, lookback_days=lookback_days, **options)}
 
 
 def run_reports(store: Store, names: Iterable[str], landing: str, run: Run, **options) -> dict[str, LoadResult]:
@@ -57,7 +76,7 @@ def run_reports(store: Store, names: Iterable[str], landing: str, run: Run, **op
     failures: list[str] = []
     for name in names:
         try:
-            results[name] = run_report(store, name, landing, run, **options)
+            results.update(run_report(store, name, landing, run, **options))
         except LoadFailed as failure:
             failures.append(str(failure))
         except Exception as error:  # noqa: BLE001 - raised at the end, with the report's name
@@ -78,6 +97,10 @@ def main() -> None:
     parser.add_argument("--logged-requests", action="store_true", help="read the request logs")
     parser.add_argument("--exclude", action="append", help="account to leave out (default: the known test account)")
     parser.add_argument("--resume", metavar="RUN_ID", help="repeat an interrupted run")
+    parser.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
+    reach = parser.add_mutually_exclusive_group()
+    reach.add_argument("--years", nargs=2, type=int, metavar=("FIRST", "LAST"), help="load whole calendar years of facts")
+    reach.add_argument("--account-windows", action="store_true", help="load each account from its own newest date")
     options = parser.parse_args()
 
     names = [
@@ -100,6 +123,9 @@ def main() -> None:
         drop=options.drop,
         logged_requests=options.logged_requests,
         excluded=options.exclude or EXCLUDED_ACCOUNTS,
+        years=tuple(options.years) if options.years else None,
+        account_windows=options.account_windows,
+        lookback_days=options.lookback_days,
     )
     for name, result in results.items():
         print(f"{name}: {result.row_count} rows landed, written: {result.written}")

@@ -83,13 +83,21 @@ class Store:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def staged(self, run: Run, table: str, part: str) -> DataFrame | None:
-        return self._read_if_written(self.run_path(run, table, part))
+        """What the run stored under this name, if that write came to its end."""
+        path = self.run_path(run, table, part)
+        return self._read_if_written(path) if self._complete(path) else None
+
+    def _complete(self, path: str) -> bool:
+        context = self.spark.sparkContext
+        marker = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return marker.getFileSystem(context._jsc.hadoopConfiguration()).exists(marker)
 
     def _read_if_written(self, path: str) -> DataFrame | None:
+        """A folder that is not there, or in which a write died before its first file, counts as not written."""
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 

@@ -4,6 +4,7 @@ import json
 import subprocess
 import sys
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,30 @@ def test_results(store, landing):
     assert (results["meta_ads_ad_dim"].row_count, results["meta_ads_ad_dim"].unique_keys) == (2, 1)
 
 
+def test_years_give_one_result_each(store, landing):
+    results = run_reports(store, [GEO.table, "meta_ads_ad_dim"], landing, RUN, drop="d1", years=(2023, 2024))
+    written = {name: result.written for name, result in results.items()}
+    assert written == {f"{GEO.table} 2023": False, f"{GEO.table} 2024": True, "meta_ads_ad_dim": True}
+    assert [str(r["date"]) for r in store.read(GEO).collect()] == ["2024-01-20"]
+
+
+def test_windows_per_account(store, landing):
+    write(Path(landing) / "accounts" / "google" / "drop=d0", [{"id": 1, "manager": False, "account_ord": 1}])
+    run_reports(store, [GEO.table], landing, Run(date(2024, 1, 10)), drop="d0")
+    run_reports(store, [GEO.table], landing, RUN, drop="d1", account_windows=True, lookback_days=0)
+    assert sorted(str(r["date"]) for r in store.read(GEO).collect()) == ["2024-01-20"]  # its own last day was asked again
+    assert store.recorded_window(RUN, GEO.table) == DateWindow(date(2024, 1, 1), date(2024, 1, 31))
+
+
+def test_a_write_that_died_counts_as_not_written(store, landing):
+    run = Run(date(2024, 1, 31), resumes=True)
+    for part in (store.run_path(run, GEO.table, "account_windows"), f"{store.root}/ledger"):
+        (Path(part) / "_temporary" / "0").mkdir(parents=True)
+    assert store.staged(run, GEO.table, "account_windows") is None and store.ledger() is None
+    run_reports(store, [GEO.table], landing, run, drop="d1", account_windows=True)
+    assert store.read(GEO).count() == 1
+
+
 def test_command_line_names():
     command = [sys.executable, "-m", "spendmill.jobs", "nothing", "--landing", "x", "--root", "y"]
     done = subprocess.run(command, cwd=ROOT, capture_output=True, text=True, timeout=60)
