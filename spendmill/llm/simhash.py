@@ -33,14 +33,14 @@ CHOICES = list(combinations(range(8), 4))
 _U = np.uint64
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Bits set in over half of the XXH64 values of all word shingles, A-Z lower-cased; no words: zero."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 values (big-endian) of all word shingles in order, A-Z lower-cased; too few words give one shingle of all."""
     import xxhash
 
     # bytes.lower and bytes.split know ASCII letters and ASCII white space only.
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, ">u8")
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -49,7 +49,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], ">u8")
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], ">u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Bits set in over half of the XXH64 values of all word shingles, A-Z lower-cased; no words: zero."""
+    hashes = shingle_hashes(text, shingle)
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1)

@@ -73,6 +73,19 @@ def components(prints, bits=4):
     return {fp: least.get(find(fp)) for fp in values}
 
 
+def near_copies(rows, shingle):
+    """Smallest ids of the groups of texts that links of a shingle similarity of 0.8 or more connect."""
+    sets = []
+    for _, text in rows:
+        words = SPACE.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else set())
+    groups = []
+    for i, own in enumerate(sets):
+        near = [g for g in groups if any(own == sets[j] or 5 * len(own & sets[j]) >= 4 * len(own | sets[j]) for j in g)]
+        groups = [g for g in groups if g not in near] + [[i, *(j for g in near for j in g)]]
+    return [min((rows[i][0] for i in g), key=lambda d: (d is None, d or 0)) for g in groups]
+
+
 def tiles(text: list[str], item: list[str], least: int) -> int:
     """Item tokens covered by greedy string tiling."""
     in_text, in_item = [False] * len(text), [False] * len(item)

@@ -9,7 +9,7 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from spendmill.llm import decontamination, html_text, packing, quality_rules, simhash, windows
+from spendmill.llm import decontamination, html_text, near_copies, packing, quality_rules, simhash, windows
 from spendmill.llm.line_dedup import remove_repeated_lines
 from spendmill.llm.license_scan import scan_licences, summarise
 from spendmill.llm.oracles import ORACLES
@@ -132,6 +132,53 @@ def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     assert ids == sorted(set(groups.values()) | {None}, key=repr)  # one text stands under a null id only
 
 
+def near_copy_rows():
+    """Groups of copies with a few words changed, chains of them, texts around the bound, and odd texts."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(900)}" for _ in range(n)]
+    rows, doc = odd_rows(), 100
+    for changes in range(9):
+        base = text(120)
+        for copy in range(6):
+            own = list(base)
+            for _ in range(changes * (copy > 0)):
+                own[rng.randrange(len(own))] = f"v{rng.random()}"
+            rows.append((doc, " ".join(own)))
+            doc += 1
+    chain = text(150)
+    for step in range(12):
+        chain = [*chain[4:], *text(4)]
+        rows.append((doc + step, " ".join(chain)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("bound", [64, 2])
+def test_near_copies_of_similarity_08_go(spark, bound, monkeypatch):
+    monkeypatch.setattr(near_copies, "LIST_BOUND", bound)
+    rows = near_copy_rows()
+    docs = docs_of(spark, rows)
+    expected = brute.near_copies(rows, 5)
+    kept = near_copies.drop_near_copies(docs, 5)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+    fingerprints = brute.components([(i, brute.simhash(text, 5)) for i, (_, text) in enumerate(rows)])
+    assert len(expected) < len(set(fingerprints.values()))
+    assert near_copies.drop_near_copies(docs_of(spark, []), 5).count() == 0
+
+
+def test_pipeline_leaves_no_near_copies(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = near_copy_rows()
+    spark.createDataFrame([(7, "no such item in any of these texts")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_of(spark, rows)
+    for _, stage in corpus_pipeline.STAGES[2:4]:
+        docs = corpus_pipeline.Workspace(spark, "test").write(stage(spark, docs, str(tmp_path)), "near")
+    left = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert len(brute.near_copies(left, 5)) == len(left) < len({text for _, text in rows})
+
+
 @pytest.mark.parametrize("name", ["op5", "op6", "op7"])
 def test_empty_tables(spark, name):
     empty = docs_of(spark, [])
