@@ -1,9 +1,9 @@
 """Licence statements found by a positional index of rare words (built-in functions only).
 
-The licence templates are indexed by word and position. Every text looks up its `top` rarest licence words (document
-frequency over the whole corpus). Each occurrence votes, through each posting of its word, for a template standing at
-(place in text - place in template); a start with `MIN_VOTES` votes is a candidate, and counts if the template's mandatory
-key phrase stands there word for word. The index is small and fixed by the templates, so it travels inside the expressions:
+The licence templates are indexed by word and position. The voters of a template are the rarest words of its mandatory key
+phrase (document frequency over the whole corpus), as many as give `MIN_VOTES` places. Each occurrence of a voter votes for
+its template standing at (place in text - place in template); a start with `MIN_VOTES` votes is a candidate, and counts if
+the key phrase stands there word for word. So no statement depends on what else a text holds. The index is small and fixed by the templates, so it travels inside the expressions:
 no shuffle and no join takes part in the scan.
 """
 
@@ -19,7 +19,7 @@ from spendmill.llm.common import lower_for_ascii
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 MIN_VOTES = 2
-TOP = 12
+TOP = 12  # licence words per text in the SQL; the scan has no such bound
 # Phrases whose places are counted, and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -106,8 +106,18 @@ def rarest_first(words: DataFrame, templates: Mapping[str, Template]) -> list[st
     return sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
 
 
+def voters(template: Template, order: list[str]) -> set[str]:
+    """The rarest words of the key phrase with `MIN_VOTES` places in it; if it has fewer places, all words of the template."""
+    key, chosen = template.key.split(), set()
+    for word in sorted(set(key), key=order.index):
+        chosen.add(word)
+        if sum(w in chosen for w in key) >= MIN_VOTES:
+            return chosen
+    return set(template.words)
+
+
 def scan_licences(
-    docs: DataFrame, templates: Mapping[str, Template] | None = None, base: Mapping[str, str] | None = None, top: int = TOP
+    docs: DataFrame, templates: Mapping[str, Template] | None = None, base: Mapping[str, str] | None = None
 ) -> DataFrame:
     """One row per row of `docs`: `doc_id`, `n_words`, `base_places` (phrase label and start of each place), `found`
     (template, start and matched share of its words for each statement).
@@ -119,10 +129,12 @@ def scan_licences(
     base = BASE_PHRASES if base is None else base
     words = docs.select("doc_id", licence_words(F.col("text")).alias("words"))
     order = rarest_first(words, templates)
+    voting = {name: voters(t, order) for name, t in templates.items()}
     postings = ", ".join(
         f"named_struct('word', {_quoted(w)}, 'template', {_quoted(name)}, 'at', {at})"
         for name, t in templates.items()
         for at, w in enumerate(t.words)
+        if w in voting[name]
     )
     details = ", ".join(
         f"named_struct('template', {_quoted(name)}, 'words', {_array(t.words)}, 'key', {_array(t.key.split())},"
@@ -144,11 +156,12 @@ def scan_licences(
             )
         ),
     )
-    # Licence words of the text, the rarest first; texts without the first word of any key phrase are done here.
+    # Voters in the text; texts without the first word of any key phrase are done here.
+    every = sorted(set().union(*voting.values()))
     df = df.withColumn(
         "rare",
         F.expr(
-            f"if(arrays_overlap(words, {_array(keys)}), slice(array_intersect({_array(order)}, words), 1, {int(top)}),"
+            f"if(arrays_overlap(words, {_array(keys)}), array_intersect({_array(every)}, words),"
             " cast(array() as array<string>))"
         ),
     )

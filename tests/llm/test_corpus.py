@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from spendmill.llm import decontamination, html_text, near_copies, packing, quality_rules, simhash, windows
 from spendmill.llm.line_dedup import remove_repeated_lines
-from spendmill.llm.license_scan import scan_licences, summarise
+from spendmill.llm.license_scan import TEMPLATES, scan_licences, summarise
 from spendmill.llm.oracles import ORACLES
 from spendmill.llm.queries import QUERIES
 from spendmill.llm.substring_dedup import remove_repeated_windows
@@ -327,6 +327,18 @@ def test_licences(spark):
     assert summarise(scan_licences(docs_of(spark, []))).count() == 0
 
 
+def test_licences_of_a_text_with_all_statements(spark):
+    words = " ".join(sorted({w for t in TEMPLATES.values() for w in t.words} - {"mit"}))
+    rows = [(1, "\n".join(f"x {t.text} y" for t in TEMPLATES.values())), (2, f"{words} x released under the MIT license")]
+    rows += [(10 + i, "the mit license version by 4 0 general public software") for i in range(20)]
+    out = {r.doc_id: r for r in summarise(scan_licences(docs_of(spark, rows))).collect()}
+    assert set(out[1].labels.split(",")) >= set(TEMPLATES) and out[1].score == 1.0
+    assert out[1].n_found == sum(
+        " ".join(rows[0][1].split()).count(f" {t.key} ") for t in TEMPLATES.values()
+    )
+    assert "mit" in out[2].labels.split(",") and out[2].n_found == 1 and out[2].score == 1.0
+
+
 @pytest.mark.parametrize("n, k, alpha", [(10, 0, 0.02), (400, 3, 0.02), (400, 8, 0.02), (50_000, 900, 0.02), (100, 50, 0.02), (30, 1, 0.1)])
 def test_binomial_tail(spark, n, k, alpha):
     from math import comb
