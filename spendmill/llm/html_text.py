@@ -2,8 +2,9 @@
 
 The standard-library parser streams a page into lines, one per block of text. Lines inside menus, forms, notices and the
 like are dropped at once. Every other line has a ratio of text characters to tags; the smoothed ratios that reach the
-threshold form clusters, and the container that holds most of the clustered text is the article. All lines of that
-container belong to it, short ones as well.
+threshold form clusters. Clustered text counts for its container and all containers around that one; the smallest that
+holds nearly all of it is the article, an `article` or `main` before others. All lines in that container and in those
+inside it belong to the article, short ones as well.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ CLOSES_P = frozenset(
 SAME_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
 SIGMA = 1.0
+NEARLY = 0.9
 
 
 def _dropped(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -74,16 +76,21 @@ class PageLines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # tag, dropped (also by an ancestor), container
         self.lines: list[tuple[str, int, int]] = []
-        self.containers = 0
+        self.containers: list[tuple[str, int]] = [("", 0)]  # tag and the container around it
+        self.titled: set[int] = set()  # containers that hold a line of a first-level heading
         self.text: list[str] = []
         self.tags = 0
         self.article = 0
+        self.heading = 0
 
     def _line(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, self.tags, self.stack[-1][2] if self.stack else 0))
+                container = self.stack[-1][2] if self.stack else 0
+                self.lines.append((line, self.tags, container))
+                if self.heading:
+                    self.titled.add(container)
             self.text = []
         self.tags = 0
 
@@ -103,10 +110,12 @@ class PageLines(HTMLParser):
             return
         _, dropped, container = self.stack[-1] if self.stack else ("", False, 0)
         if tag in CONTAINERS:
-            self.containers += 1
-            container = self.containers
+            self.containers.append((tag, container))
+            container = len(self.containers) - 1
         if tag == "article":
             self.article += 1
+        if tag == "h1":
+            self.heading += 1
         self.stack.append((tag, dropped or _dropped(tag, attrs, self.article > 0), container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -125,6 +134,7 @@ class PageLines(HTMLParser):
             name = self.stack[at][0]
             if name == tag:
                 self.article -= sum(1 for n, _, _ in self.stack[at:] if n == "article")
+                self.heading -= sum(1 for n, _, _ in self.stack[at:] if n == "h1")
                 del self.stack[at:]
                 return
             if name in limits:
@@ -162,17 +172,63 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = smoothed(np.array([len(text) / max(tags, 1) for text, tags, _ in lines], float))
     threshold = min(ratios.mean(), ratios.max() / 2)
-    weight: Counter[int] = Counter()
+    clustered: Counter[int] = Counter()
     for (text, _, container), ratio in zip(lines, ratios):
         if ratio >= threshold:
-            weight[container] += len(text)
-    # The container with most clustered text; a tie goes to the first. Its lines are the article, and so are those of
-    # containers inside it, which open after its first line and before its last.
-    best = max(sorted(weight), key=lambda c: weight[c])
-    own = [i for i, line in enumerate(lines) if line[2] == best]
-    return "\n".join(
-        text for i, (text, _, container) in enumerate(lines) if own[0] <= i <= own[-1] and container >= best or container == best
+            clustered[container] += len(text)
+    article = article_containers(parser, clustered)
+    return "\n".join(text for text, _, container in lines if container in article)
+
+
+def subtree_sums(parser: PageLines, weight: Counter[int]) -> list[int]:
+    """Weight of every container with those inside it. A container opens after the one around it."""
+    sums = [weight[c] for c in range(len(parser.containers))]
+    for c in range(len(sums) - 1, 0, -1):
+        sums[parser.containers[c][1]] += sums[c]
+    return sums
+
+
+def article_containers(parser: PageLines, clustered: Counter[int]) -> set[int]:
+    """The containers whose lines are the article, by their clustered text."""
+    tags, around = zip(*parser.containers)
+    inside = [False] * len(tags)  # of an article or main, or being one
+    for c in range(1, len(tags)):
+        inside[c] = tags[c] in ("article", "main") or inside[around[c]]
+    # If most clustered text stands in articles, the other does not count.
+    marked = Counter({c: n for c, n in clustered.items() if inside[c]})
+    only_marked = 2 * marked.total() > clustered.total()
+    sums = subtree_sums(parser, marked if only_marked else clustered)
+    # Holders of more than half lie inside each other, so the last one to open is the smallest. A quotation and a part of an
+    # article are never the whole.
+    best = max(
+        c
+        for c in range(len(tags))
+        if sums[c] >= NEARLY * sums[0]
+        and tags[c] != "blockquote"
+        and not (only_marked and inside[around[c]] and tags[c] not in ("article", "main"))
     )
+    # A heading beside the text belongs to it, if little else stands beside it.
+    everything = subtree_sums(parser, _lengths(parser))
+    titled = subtree_sums(parser, Counter(parser.titled))
+    outer = best
+    while not inside[best] and not titled[best] and tags[outer] not in ("", "body"):
+        outer = around[outer]
+        if tags[outer] in ("", "body") or everything[best] < NEARLY * everything[outer]:
+            break
+        if titled[outer]:
+            best = outer
+    kept = {best}
+    for c in range(best + 1, len(tags)):
+        if around[c] in kept:
+            kept.add(c)
+    return {c for c in kept if inside[c]} if only_marked else kept
+
+
+def _lengths(parser: PageLines) -> Counter[int]:
+    lengths: Counter[int] = Counter()
+    for text, _, container in parser.lines:
+        lengths[container] += len(text)
+    return lengths
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

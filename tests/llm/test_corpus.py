@@ -260,6 +260,25 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A long paragraph of real text stands here and goes on for a while."
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<article><section><p>{LONG} One.</section><section><p>{LONG} Two.</section><div><p>Three.</div></article>", f"{LONG} One.\n{LONG} Two.\nThree."),
+        (f"<article><h1>Title</h1><p>Lead</p><div class=body><p>{LONG}<p>{LONG}</div></article>", f"Title\nLead\n{LONG}\n{LONG}"),
+        (f"<div class=story><h1>Title</h1><div><p>{LONG}<p>{LONG}</div></div>", f"Title\n{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}<p>{LONG}<blockquote>Last word</blockquote></article>", f"{LONG}\n{LONG}\nLast word"),
+        (f"<article><table><tr><td>a<td>b</table><p>{LONG}<p>{LONG}</article>", f"a\nb\n{LONG}\n{LONG}"),
+        (f"<table><tr><td>{LONG}<td>{LONG}</table>", f"{LONG}\n{LONG}"),
+        (f"<div>{LONG}</div><article><p>{LONG}<p>{LONG}</article><article><p>{LONG}</article>", f"{LONG}\n{LONG}\n{LONG}"),
+    ],
+)
+def test_main_text_of_nested_containers(body, text):
+    assert html_text.main_text(f"<body><nav>Menu</nav>{body}<footer>&copy;</footer>") == text
+
+
 def test_tiling_equals_brute_force():
     rng = random.Random(9)
     for _ in range(60):
