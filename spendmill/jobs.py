@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from spendmill.fixed_values import EXCLUDED_ACCOUNTS, LOOKBACK_DAYS
 from spendmill.plans.catalog import REPORTS
@@ -18,6 +18,7 @@ from spendmill.plans.loads import (
     backfill,
     load_fact,
     plan_account_windows,
+    plan_refill,
     refresh_dimension,
 )
 from spendmill.plans.store import Run, Store
@@ -44,12 +45,14 @@ def run_report(
     excluded: Iterable[str] = EXCLUDED_ACCOUNTS,
     years: tuple[int, int] | None = None,
     account_windows: bool = False,
+    refill: bool = False,
     lookback_days: int = LOOKBACK_DAYS,
 ) -> dict[str, LoadResult]:
     """Load or refresh one table from its landing folder. Raises `LoadFailed` after the commit.
 
     Facts load their lookback window; with `years` (first and last) whole calendar years, which give one result each
-    (`<name> <year>`), and with `account_windows` each account from its own newest date.
+    (`<name> <year>`), with `account_windows` each account from its own newest date, and with `refill` the lookback window and
+    all windows that earlier runs asked for in vain.
     """
     spark, spec = store.spark, REPORTS[name]
     ddl, typed = (
@@ -63,26 +66,33 @@ def run_report(
         return {name: refresh_dimension(*delivery, **options)}
     if years:
         return {f"{name} {result.window.start.year}": result for result in backfill(*delivery, years, **options)}
-    windows = plan_account_windows(store, spec, accounts, run, lookback_days) if account_windows else None
+    windows = None
+    if account_windows:
+        windows = plan_account_windows(store, spec, accounts, run, lookback_days)
+    elif refill:
+        windows = plan_refill(store, spec, accounts, run, lookback_days)
     return {name: load_fact(*delivery, account_windows=windows, lookback_days=lookback_days, **options)}
 
 
 def run_reports(store: Store, names: Iterable[str], landing: str, run: Run, **options) -> dict[str, LoadResult]:
     """Load several tables; a failing one does not stop the others, and all failures are raised at the end.
 
-    That holds for any error of a report, such as a landing folder that is not there.
+    That holds for any error of a report, such as a landing folder that is not there. The error carries the results of all
+    reports that came to their commit, and names the table of all account outcomes (`Store.outcomes`).
     """
     results: dict[str, LoadResult] = {}
     failures: list[str] = []
+    failed: list[LoadResult] = []
     for name in names:
         try:
             results.update(run_report(store, name, landing, run, **options))
         except LoadFailed as failure:
             failures.append(str(failure))
+            failed.extend(failure.results)
         except Exception as error:  # noqa: BLE001 - raised at the end, with the report's name
             failures.append(f"{name}: {type(error).__name__}: {str(error).splitlines()[0]}")
     if failures:
-        raise LoadFailed("; ".join(failures))
+        raise LoadFailed("; ".join(failures), (*results.values(), *failed), store.outcomes_path())
     return results
 
 
@@ -101,6 +111,8 @@ def main() -> None:
     reach = parser.add_mutually_exclusive_group()
     reach.add_argument("--years", nargs=2, type=int, metavar=("FIRST", "LAST"), help="load whole calendar years of facts")
     reach.add_argument("--account-windows", action="store_true", help="load each account from its own newest date")
+    reach.add_argument("--refill", action="store_true", help="load what earlier runs asked for in vain as well")
+    parser.add_argument("--expire-days", type=int, help="afterwards delete files that were replaced that many days ago")
     options = parser.parse_args()
 
     names = [
@@ -125,10 +137,16 @@ def main() -> None:
         excluded=options.exclude or EXCLUDED_ACCOUNTS,
         years=tuple(options.years) if options.years else None,
         account_windows=options.account_windows,
+        refill=options.refill,
         lookback_days=options.lookback_days,
     )
     for name, result in results.items():
         print(f"{name}: {result.row_count} rows landed, written: {result.written}")
+    if options.expire_days is not None:
+        before = run.ingested_at - timedelta(days=options.expire_days)
+        for name in names:
+            print(f"{name}: {store.expire(REPORTS[name], before)} old folders deleted")
+        print(f"{store.expire_runs(before)} staged runs deleted")
 
 
 if __name__ == "__main__":

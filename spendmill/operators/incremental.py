@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendmill.fixed_values import CHUNK_DAYS, FIRST_RUN_FLOOR, LOOKBACK_DAYS
@@ -82,3 +82,53 @@ def year_slices(windows: DataFrame) -> DataFrame:
         )
         .drop("_year")
     )
+
+
+def merged_windows(slices: DataFrame, keys: tuple[str, ...] = ("requested_account",)) -> DataFrame:
+    """Windows of the days that any slice holds: slices that overlap or touch become one. See `missing_windows`."""
+    return missing_windows(slices, slices.where(F.lit(False)), keys)
+
+
+def missing_windows(
+    requested: DataFrame, answered: DataFrame, keys: tuple[str, ...] = ("requested_account",)
+) -> DataFrame:
+    """Interval subtraction: the days that some requested slice holds and no answered one, merged into maximal windows.
+
+    Both sides have the keys, `slice_start` and `slice_end` (inclusive); a slice that ends before it starts holds no day, one
+    without a start or an end is left out. A sweep over interval ends: every slice adds one where it starts and takes one away
+    behind its end, for its side. Changes are summed per key and day before anything is sorted, so the window sees at most
+    one row per key and day, however many slices and repeated requests there are.
+    """
+    keys = list(keys)
+
+    def changes(slices: DataFrame, side: str) -> DataFrame:
+        other = "answered" if side == "requested" else "requested"
+        ends = F.explode(
+            F.array(
+                F.struct(F.col("slice_start").alias("day"), F.lit(1).alias("change")),
+                F.struct(F.date_add("slice_end", 1).alias("day"), F.lit(-1).alias("change")),
+            )
+        )
+        rows = slices.where("slice_start <= slice_end").select(*keys, ends.alias("_end"))
+        return rows.select(
+            *keys, "_end.day", F.col("_end.change").alias(side), F.lit(0).alias(other)
+        )
+
+    swept = (
+        changes(requested, "requested")
+        .unionByName(changes(answered, "answered"))
+        .groupBy(*keys, "day")
+        .agg(F.sum("requested").alias("requested"), F.sum("answered").alias("answered"))
+    )
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_days = (F.sum("requested").over(so_far) > 0) & (F.sum("answered").over(so_far) == 0)
+    # One segment from each day of change to the next; segments that are missing and touch form an island.
+    segments = swept.withColumns({"missing": open_days, "next_day": F.lead("day").over(by_day)})
+    starts = F.col("missing") & ~F.coalesce(F.lag("missing").over(by_day), F.lit(False))
+    islands = segments.withColumn("island", F.sum(starts.cast("int")).over(so_far)).where("missing")
+    return (
+        islands.groupBy(*keys, "island")
+        .agg(F.min("day").alias("slice_start"), F.date_sub(F.max("next_day"), 1).alias("slice_end"))
+        .drop("island")
+    )

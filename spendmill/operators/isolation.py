@@ -45,6 +45,24 @@ def failure_messages(staged: DataFrame, report: DataFrame) -> DataFrame:
     return broken.unionByName(unanswered).groupBy("requested_account").agg(F.min("violation").alias("violation"))
 
 
+def account_outcomes(staged: DataFrame, report: DataFrame) -> DataFrame:
+    """What became of every account: its counts, whether it failed, and one of its violations.
+
+    Nothing is collected: any number of failures can be stored and queried.
+    """
+    per_account = report.groupBy("requested_account").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_dates").alias("null_dates"),
+        F.sum("broken_rows").alias("broken_rows"),
+        F.max("unanswered").alias("unanswered"),
+        F.max(is_failure()).alias("failed"),
+    )
+    messages = failure_messages(staged, report).withColumnRenamed("requested_account", "_account")
+    # Rows that name no account have an outcome as well.
+    same = F.col("requested_account").eqNullSafe(F.col("_account"))
+    return per_account.join(messages, same, "left").drop("_account")
+
+
 def without_failed(rows: DataFrame, report: DataFrame) -> DataFrame:
     """Rows of accounts that did not fail. Rows that name no account are broken themselves and never pass."""
     return rows.where("requested_account IS NOT NULL").join(failed_accounts(report), "requested_account", "left_anti")

@@ -1,19 +1,30 @@
-"""Slice replace on a date-partitioned table: delete (account, dates), insert the batch, in one overwrite."""
+"""Slice replace on a date-partitioned table: delete (account, dates), insert the batch, date by date in one step each.
+
+New rows are written to a folder of their own; a commit record names the dates; then every date's partition is pointed to its
+new folder. A reader sees the old or the new rows of a date, and a commit that was cut off is finished by the next one.
+"""
 
 from __future__ import annotations
 
-from datetime import date
+import json
+import time
+from datetime import date, datetime, timezone
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendmill import files
 from spendmill.operators.incremental import DateWindow
+from spendmill.operators.schemas import require_same, storable
 from spendmill.session import scoped_conf
 
 ROWS_PER_TASK = 1_000_000
 # Row number within a stored file: it tells equal rows apart, the same way in every attempt of a task.
 SPREAD = "_spread"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Folder of the commits below the table's own folder; the underscore hides it from file listings.
+COMMITS = "_commits"
 
 
 def partition_dates(spark: SparkSession, table: str) -> set[date]:
@@ -26,11 +37,16 @@ def with_spread(stored: DataFrame) -> DataFrame:
     return stored.withColumn(SPREAD, F.col("_metadata.row_index"))
 
 
-def _against_scope(target: DataFrame, scope: DataFrame, how: str) -> DataFrame:
+def _slices(scope: DataFrame) -> tuple[DataFrame, Column]:
     slices = scope.select(F.col("account_id").alias("_account"), "slice_start", "slice_end")
     covered = (F.col("account_id") == F.col("_account")) & F.col("date").between(
         F.col("slice_start"), F.col("slice_end")
     )
+    return slices, covered
+
+
+def _against_scope(target: DataFrame, scope: DataFrame, how: str) -> DataFrame:
+    slices, covered = _slices(scope)
     return target.join(slices, covered, how)
 
 
@@ -44,6 +60,99 @@ def rows_in_scope(target: DataFrame, scope: DataFrame) -> DataFrame:
     return _against_scope(target, scope, "left_semi")
 
 
+def rows_by_date(rows: DataFrame, scope: DataFrame) -> dict[date | None, tuple[int, int]]:
+    """Rows per date inside and outside the scope: one job, reduced to accounts and days before the scope is joined.
+
+    What reaches the driver is one row per calendar day.
+    """
+    days = rows.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n"))
+    slices, covered = _slices(scope)
+    # An account may have several slices, which may overlap.
+    judged = (
+        days.join(slices, covered, "left")
+        .groupBy("account_id", "date")
+        .agg(F.max("n").alias("n"), F.count("_account").alias("slices"))
+    )
+    inside = F.col("slices") > 0
+    per_date = judged.groupBy("date").agg(
+        F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("inside"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outside"),
+    )
+    return {r["date"]: (r["inside"], r["outside"]) for r in per_date.collect()}
+
+
+# Commits.
+
+
+def table_folder(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
+def _commit_folders(spark: SparkSession, table: str) -> list[str]:
+    """Folders of the table's recorded commits, oldest first: their names begin with a time."""
+    base = f"{table_folder(spark, table)}/{COMMITS}"
+    folders = [f"{base}/{name}" for name in files.children(spark, base)]
+    return [folder for folder in folders if files.exists(spark, f"{folder}/record.json")]
+
+
+def _apply_commit(spark: SparkSession, table: str, folder: str) -> None:
+    """Point every date of a commit to the commit's files. Doing it again changes nothing."""
+    record = json.loads(files.read_text(spark, f"{folder}/record.json"))
+    current = {day.isoformat() for day in partition_dates(spark, table)}
+    emptied = [day for day in record["emptied"] if day in current]
+    for day in emptied:
+        # Dropping a partition may delete its folder: a reader of the old rows keeps its files this way.
+        nothing = f"{folder}/emptied/date={day}"
+        files.make_folder(spark, nothing)
+        spark.sql(f"ALTER TABLE {table} PARTITION (date = DATE'{day}') SET LOCATION '{nothing}'")
+    if emptied:
+        drops = ", ".join(f"PARTITION (date = DATE'{day}')" for day in emptied)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
+    # Sizes are not kept per partition; without this every statement would list the whole table for them.
+    with scoped_conf(spark, spark__sql__statistics__size__autoUpdate__enabled="false"):
+        new = [day for day in record["dates"] if day not in current]
+        if new:
+            added = " ".join(f"PARTITION (date = DATE'{day}') LOCATION '{folder}/rows/date={day}'" for day in new)
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+        for day in record["dates"]:
+            if day in current:
+                spark.sql(
+                    f"ALTER TABLE {table} PARTITION (date = DATE'{day}') SET LOCATION '{folder}/rows/date={day}'"
+                )
+    spark.catalog.refreshTable(table)
+    files.write_text(spark, f"{folder}/applied", "")
+
+
+def finish_commits(spark: SparkSession, table: str) -> int:
+    """Apply commits that were recorded and then cut off, oldest first. Returns how many there were."""
+    cut_off = [f for f in _commit_folders(spark, table) if not files.exists(spark, f"{f}/applied")]
+    for folder in cut_off:
+        _apply_commit(spark, table, folder)
+    return len(cut_off)
+
+
+def expire_commits(spark: SparkSession, table: str, before: datetime) -> int:
+    """Delete dates of commits that a later commit replaced before the given time. Returns how many were deleted.
+
+    A reader that began after that time, or reads the current rows, finds all its files.
+    """
+    finish_commits(spark, table)
+    cutoff = f"{int(before.replace(tzinfo=before.tzinfo or timezone.utc).timestamp() * 1e9):020d}"
+    replaced: set[str] = set()
+    deleted = 0
+    for folder in reversed(_commit_folders(spark, table)):
+        record = json.loads(files.read_text(spark, f"{folder}/record.json"))
+        for day in record["dates"]:
+            path = f"{folder}/rows/date={day}"
+            if day in replaced and files.exists(spark, path):
+                files.delete(spark, path)
+                deleted += 1
+        if folder.rsplit("/", 1)[1] < cutoff:
+            replaced.update(record["dates"], record["emptied"])
+    return deleted
+
+
 def replace_slices(
     spark: SparkSession,
     table: str,
@@ -60,64 +169,59 @@ def replace_slices(
     a stored scope has a known size, by which Catalyst decides whether to broadcast it. A batch that is more than a
     stored frame has to bring its `SPREAD` column along (`with_spread`). `batch_rows` saves counting it.
 
-    Dates that end up empty are dropped before the overwrite. A dynamic overwrite leaves a partition alone when the new
-    data has no row for it, so a retracted date would survive. Dropping first is also the safe order: the dropped rows
-    are rows this run deletes anyway, and a crash in between can only move the newest date back, which widens the next
-    window. Lists that reach the driver are calendar days of the window, never rows.
+    The batch has to have the columns of the table, no more and no fewer, with types that fit (`SchemaMismatch`). A row
+    without a date, outside the window or outside the scope is an error. All of that is raised before anything is written.
 
-    Only dates that the batch or the scope touches are rewritten; the files of all other dates stay as they are. A batch
-    row without a date, outside the window or outside the scope is an error, raised before anything is dropped: the
-    overwrite would replace whatever else stands at its date.
+    Only dates that the batch or the scope touches get new files. They are written beside the old ones and named in a commit
+    record; then dates that end up empty are dropped and each other date is pointed to its new files, one catalog change a
+    date. Readers see the old or the new rows of a date. If the driver dies on the way, `finish_commits`, which every replace
+    calls first, goes on from the record. Old files stay until `expire_commits`. One writer per table is assumed. Lists
+    that reach the driver are calendar days of the window, never rows.
     """
-    columns = spark.table(table).columns
-    # Analysed, not run: a batch that does not fit the table fails here, before anything is dropped.
-    spark.table(table).unionByName(batch.select(*columns))
-    arriving = {r["date"] for r in batch.select("date").distinct().collect()}
+    finish_commits(spark, table)
+    stored = spark.table(table).schema
+    require_same(f"{table}: batch", stored, batch.drop(SPREAD).schema, storable)
+    columns = stored.names
+    arriving = rows_by_date(batch.select("account_id", "date"), scope)
     strays = sorted(str(day) for day in arriving if day is None or not window.start <= day <= window.end)
     if strays:
         raise ValueError(f"{table}: batch has rows outside {window.start}..{window.end}: {', '.join(strays)}")
-    if not rows_outside_scope(batch.select("account_id", "date"), scope).isEmpty():
+    if any(outside for _, outside in arriving.values()):
         raise ValueError(f"{table}: batch has rows outside its scope")
+
+    def target(dates: set[date]) -> DataFrame:
+        return spark.table(table).where(window.contains("date") & F.col("date").isin(sorted(dates)))
+
     existing = {day for day in partition_dates(spark, table) if window.start <= day <= window.end}
-    untouched = existing - arriving
-    if untouched:
-        covered = rows_in_scope(spark.table(table).where(window.contains("date")).select("account_id", "date"), scope)
-        untouched -= {r["date"] for r in covered.select("date").distinct().collect()}
-    present = existing - untouched
-
-    def kept(dates: set[date]) -> DataFrame:
-        target = spark.table(table).where(window.contains("date"))
-        if len(dates) < len(existing):
-            target = target.where(F.col("date").isin(sorted(dates)))
-        return rows_outside_scope(with_spread(target), scope)
-
-    doubtful = present - arriving
-    surviving = {r["date"] for r in kept(doubtful).select("date").distinct().collect()} if doubtful else set()
-    emptied = sorted(doubtful - surviving)
-    if emptied:
-        drops = ", ".join(f"PARTITION (date = DATE'{day}')" for day in emptied)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {drops}")
+    silent = existing - set(arriving)
+    held = rows_by_date(target(silent).select("account_id", "date"), scope) if silent else {}
+    # A silent date loses rows only if the scope covers some; it goes if nothing else is left.
+    emptied = sorted(day for day in silent if held.get(day, (0, 0))[1] == 0)
+    remaining = {day for day in existing if day in arriving or (day in held and all(held[day]))}
 
-    remaining = present - set(emptied)
     rows = (batch if SPREAD in batch.columns else with_spread(batch)).select(*columns, SPREAD)
-    total = batch.count() if batch_rows is None else batch_rows
+    total = sum(inside for inside, _ in arriving.values()) if batch_rows is None else batch_rows
     if remaining:
         # A count by partition comes from Parquet footers.
-        total += spark.table(table).where(F.col("date").isin(sorted(remaining))).count()
-        rows = kept(remaining).select(*columns, SPREAD).unionByName(rows)
-    dates = len(arriving | remaining)
-    if not dates:
+        total += target(remaining).count()
+        kept = rows_outside_scope(with_spread(target(remaining)), scope)
+        rows = kept.select(*columns, SPREAD).unionByName(rows)
+    dates = sorted(set(arriving) | remaining)
+    if not dates and not emptied:
         return emptied
 
-    # Range partitioning keeps dates and clustering keys together, so few files per date and narrow min/max
-    # statistics. The row number makes keys distinct: no account, and no group of equal rows, is too big to split.
-    tasks = max(-(-total // rows_per_task), min(dates, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    laid_out = (
-        rows.repartitionByRange(tasks, "date", *cluster_by, SPREAD)
-        .sortWithinPartitions("date", *cluster_by)
-        .select(*columns)
-    )
-    # insertInto may read the partitions it replaces only when the mode is set on the session.
-    with scoped_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        laid_out.write.insertInto(table, overwrite=True)
+    folder = f"{table_folder(spark, table)}/{COMMITS}/{time.time_ns():020d}-{uuid4().hex[:8]}"
+    if dates:
+        # Range partitioning keeps dates and clustering keys together, so few files per date and narrow min/max
+        # statistics. The row number makes keys distinct: no account, and no group of equal rows, is too big to split.
+        tasks = max(-(-total // rows_per_task), min(len(dates), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        laid_out = (
+            rows.repartitionByRange(tasks, "date", *cluster_by, SPREAD)
+            .sortWithinPartitions("date", *cluster_by)
+            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored])
+        )
+        laid_out.write.partitionBy("date").parquet(f"{folder}/rows")
+    record = {"dates": [day.isoformat() for day in dates], "emptied": [day.isoformat() for day in emptied]}
+    files.write_text(spark, f"{folder}/record.json", json.dumps(record))
+    _apply_commit(spark, table, folder)
     return emptied

@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 from spendmill.fixed_values import EXCLUDED_ACCOUNTS, FIRST_RUN_FLOOR, LOOKBACK_DAYS, META_ACCOUNT_PREFIX
 from spendmill.functions import without_prefix
 from spendmill.operators.dedupe import keep_first
-from spendmill.operators.incremental import DateWindow, account_marks, lookback_window, window_of_marks
+from spendmill.operators.incremental import (
+    DateWindow,
+    account_marks,
+    lookback_window,
+    merged_windows,
+    missing_windows,
+    window_of_marks,
+    year_slices,
+)
 from spendmill.operators.isolation import (
+    account_outcomes,
     account_report,
     drop_landing_columns,
     failed_accounts,
@@ -24,15 +33,23 @@ from spendmill.operators.isolation import (
 from spendmill.operators.slices import SPREAD, replace_slices, with_spread
 from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
-from spendmill.sources.accounts import attach_accounts, exclude_accounts, request_key
+from spendmill.sources.accounts import attach_accounts, exclude_accounts, request_key, unique_accounts
+
+# Folder column of a staged backfill, and the folder of rows without a readable date.
+YEAR, UNDATED = "_year", 0
 
 
 class LoadFailed(RuntimeError):
-    """Raised after the commit when some accounts could not be loaded. `results` holds what the loads did."""
+    """Raised after the commit when some accounts could not be loaded.
+
+    `results` holds what the loads did, those that succeeded included; `outcomes_path` is the stored table of all account
+    outcomes, which the message names as well.
+    """
 
-    def __init__(self, message: str, results: tuple[LoadResult, ...] = ()):
-        super().__init__(message)
+    def __init__(self, message: str, results: tuple[LoadResult, ...] = (), outcomes_path: str | None = None):
+        super().__init__(f"{message}; all outcomes: {outcomes_path}" if outcomes_path else message)
         self.results = results
+        self.outcomes_path = outcomes_path
 
 
 @dataclass(frozen=True)
@@ -48,19 +65,26 @@ class LoadResult:
     unique_keys: int | None = None
     window: DateWindow | None = None
     dropped_dates: tuple[date, ...] = ()
+    outcomes_path: str | None = None
 
     def failures(self) -> DataFrame:
         """One row per failed account, with one of its violations."""
         return failure_messages(self.rows, self.accounts)
 
-    def raise_for_failures(self) -> None:
-        """The message names the first failed account; the error's `results` give the `failures` of all of them."""
+    def failure_message(self) -> str | None:
+        """How many accounts failed, and the first of them as an example."""
         if not self.failed:
-            return
+            return None
         first = F.min(F.struct("requested_account", "violation")).alias("first")
         row = self.failures().agg(F.count("*").alias("failed"), first).first()
         example = f"{row['first']['requested_account']}: {row['first']['violation']}"
-        raise LoadFailed(f"{self.table}: {row['failed']} accounts failed ({example})", (self,))
+        return f"{self.table}: {row['failed']} accounts failed ({example})"
+
+    def raise_for_failures(self) -> None:
+        """The message names the first failed account and the table of all; `results` give the `failures` as well."""
+        message = self.failure_message()
+        if message:
+            raise LoadFailed(message, (self,), self.outcomes_path)
 
 
 def flatten_report(
@@ -118,11 +142,40 @@ def load_fact(
         or lookback_window(store.last_date(spec.table), run.run_date, lookback_days, floor)
     )
     store.record(run, spec.table, "started", window)
+    flat = _dated_rows(store, spec, landed, accounts, run, excluded, window)
+    staged = store.stage(flat, run, spec.table, "rows")
+    result = _commit_fact(store, spec, staged, run, window, requests, account_windows)
+    if raise_on_failure:
+        result.raise_for_failures()
+    return result
 
+
+def _dated_rows(
+    store: Store,
+    spec: ReportSpec,
+    landed: DataFrame,
+    accounts: DataFrame,
+    run: Run,
+    excluded: DataFrame | Iterable[str],
+    window: DateWindow,
+) -> DataFrame:
+    """Typed rows of the window and rows without a date, from a listing that names each account once."""
+    listing = store.stage(unique_accounts(accounts), run, spec.table, "listing")
     in_window = F.col("date").isNull() | window.contains("date")
-    flat = flatten_report(spec, landed, accounts, excluded).where(in_window)
-    staged = store.stage(flat.withColumn(INGESTED_AT, F.lit(run.ingested_at)), run, spec.table, "rows")
+    flat = flatten_report(spec, landed, listing, excluded).where(in_window)
+    return flat.withColumn(INGESTED_AT, F.lit(run.ingested_at))
+
 
+def _commit_fact(
+    store: Store,
+    spec: ReportSpec,
+    staged: DataFrame,
+    run: Run,
+    window: DateWindow,
+    requests: DataFrame | None,
+    account_windows: DataFrame | None,
+) -> LoadResult:
+    """Check staged rows account by account, store the outcomes, and replace the slices that may be replaced."""
     failed_requests = requests.where(~F.col("ok")) if requests is not None and not spec.chunked else None
     report = store.stage(account_report(staged, failed_requests), run, spec.table, "accounts")
     totals = report.agg(
@@ -130,6 +183,7 @@ def load_fact(
         F.coalesce(F.sum("null_dates"), F.lit(0)).alias("null_dates"),
         F.count_if(is_failure()).alias("failed"),
     ).first()
+    store.record_outcomes(run, spec.table, account_outcomes(staged, report))
 
     rows = with_spread(staged)
     good = without_failed(rows, report) if totals["failed"] else rows
@@ -165,11 +219,15 @@ def load_fact(
 
     dropped: list[date] = []
     if reach:
+        typed = good.select(*spec.columns, SPREAD)
+        rows_to_write = None if slices is not None or totals["failed"] else totals["rows"] - totals["null_dates"]
         dropped = replace_slices(
-            store.spark, store.name(spec.table), good, scope, reach, spec.cluster_by, batch_rows=totals["rows"]
+            store.spark, store.name(spec.table), typed, scope, reach, spec.cluster_by, batch_rows=rows_to_write
         )
+    if requests is not None and "slice_start" in requests.columns:
+        _log_requests(store, spec, run, requests, report)
     store.record(run, spec.table, "committed", window)
-    result = LoadResult(
+    return LoadResult(
         spec.table,
         report,
         staged,
@@ -178,10 +236,53 @@ def load_fact(
         written=reach is not None,
         window=window,
         dropped_dates=tuple(dropped),
+        outcomes_path=store.outcomes_path(run.run_id),
     )
-    if raise_on_failure:
-        result.raise_for_failures()
-    return result
+
+
+def _log_requests(store: Store, spec: ReportSpec, run: Run, requests: DataFrame, report: DataFrame) -> None:
+    """Note which requested slices are in the table now: answered ones of accounts that did not fail."""
+    failed = failed_accounts(report).select(F.col("requested_account").alias("_failed"))
+    judged = requests.join(failed, F.col("requested_account") == F.col("_failed"), "left")
+    loaded = F.col("ok") & F.col("_failed").isNull()
+    store.log_requests(run, spec.table, judged.withColumn("loaded", loaded))
+
+
+def unanswered_windows(store: Store, spec: ReportSpec) -> DataFrame:
+    """Days that some run asked for and that no run has loaded, per account, merged into maximal windows.
+
+    The lookback repairs a failed chunk only while it is recent; this finds the holes of any age. The request log holds one
+    row per account, slice and run, and is summed to account and day before it is sorted.
+    """
+    log = store.logged_requests(spec.table)
+    if log is None:
+        ddl = "requested_account string, slice_start date, slice_end date"
+        return store.spark.createDataFrame([], ddl)
+    return missing_windows(log, log.where("loaded"))
+
+
+def plan_refill(
+    store: Store,
+    spec: ReportSpec,
+    accounts: DataFrame,
+    run: Run,
+    lookback_days: int = LOOKBACK_DAYS,
+    floor: date = FIRST_RUN_FLOOR,
+) -> DataFrame:
+    """Windows to ask for next: the table's lookback window for every listed account, and every hole of listed accounts.
+
+    Pass it as `account_windows` to `load_fact`, or cut it with `date_chunks` and request the chunks. A retry uses the windows
+    of its run.
+    """
+    earlier = store.staged(run, spec.table, "refill") if run.resumes else None
+    if earlier is not None:
+        return earlier
+    store.create_fact(spec)
+    recent = lookback_window(store.last_date(spec.table), run.run_date, lookback_days, floor)
+    listed = unique_accounts(accounts).select(F.col("key").alias("requested_account"))
+    due = listed.withColumns({"slice_start": F.lit(recent.start), "slice_end": F.lit(recent.end)})
+    holes = unanswered_windows(store, spec).join(listed, "requested_account", "left_semi")
+    return store.stage(merged_windows(due.unionByName(holes)), run, spec.table, "refill")
 
 
 def plan_account_windows(
@@ -248,7 +349,9 @@ def refresh_dimension(
     When an account failed, its earlier rows are carried over if the table says which account a row belongs to;
     without that the table is left as it is. A delivery without any row also leaves it as it is.
     """
-    flat = flatten_report(spec, landed, accounts, excluded)
+    store.require_schema(spec)
+    listing = store.stage(unique_accounts(accounts), run, spec.table, "listing")
+    flat = flatten_report(spec, landed, listing, excluded)
     staged = store.stage(flat.withColumn(INGESTED_AT, F.lit(run.ingested_at)), run, spec.table, "rows")
     answers = _answers(requests, spec)
     failed_requests = answers.where(~F.col("ok")) if answers is not None else None
@@ -257,6 +360,7 @@ def refresh_dimension(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
         F.count_if(is_failure()).alias("failed"),
     ).first()
+    store.record_outcomes(run, spec.table, account_outcomes(staged, report))
 
     rows, order = staged, ["account_ord", "row_ord"]
     writable = totals["rows"] > 0
@@ -279,7 +383,14 @@ def refresh_dimension(
         store.point_to(spec, location)
         unique_keys = store.read(spec).count()  # from Parquet footers
     result = LoadResult(
-        spec.table, report, staged, totals["rows"], bool(totals["failed"]), written=writable, unique_keys=unique_keys
+        spec.table,
+        report,
+        staged,
+        totals["rows"],
+        bool(totals["failed"]),
+        written=writable,
+        unique_keys=unique_keys,
+        outcomes_path=store.outcomes_path(run.run_id),
     )
     if raise_on_failure:
         result.raise_for_failures()
@@ -304,28 +415,44 @@ def backfill(
     run: Run,
     years: tuple[int, int],
     raise_on_failure: bool = True,
-    **options,
+    *,
+    requests: DataFrame | None = None,
+    excluded: DataFrame | Iterable[str] = EXCLUDED_ACCOUNTS,
 ) -> list[LoadResult]:
     """Load whole calendar years, ending at the run date, one commit per year. Running it again gives the same table.
 
-    In every year only the accounts that delivered rows of that year are replaced, so a year without a delivery stays. A
-    failed account does not stop the later years. Each year is a run of its own in the ledger (`<run_id>-<year>`).
+    The delivery is read and typed once: its rows are staged by year, and every commit reads the folder of its year. In every
+    year only the accounts that delivered rows of that year are replaced, so a year without a delivery stays. A failed account
+    does not stop the later years; a row without a readable date may be of any year and counts in each. Each year is a run of
+    its own in the ledger (`<run_id>-<year>`).
     """
     first, last = years
+    whole = DateWindow(date(first, 1, 1), min(date(last, 12, 31), run.run_date))
+    if whole.end < whole.start:
+        return []
+    store.create_fact(spec)
+    requests = _answers(requests, spec)
+    windows = store.spark.range(1).select(
+        F.lit(whole.start).alias("slice_start"), F.lit(whole.end).alias("slice_end")
+    )
+    slices = year_slices(windows).orderBy("slice_start").collect()  # one row per year
+    runs = [(replace(run, run_id=f"{run.run_id}-{s['slice_start'].year}"), s) for s in slices]
+    for own, s in runs:
+        store.record(own, spec.table, "started", DateWindow(s["slice_start"], s["slice_end"]))
+    flat = _dated_rows(store, spec, landed, accounts, run, excluded, whole)
+    by_year = flat.withColumn(YEAR, F.coalesce(F.year("date"), F.lit(UNDATED)))
+    staged = store.stage(by_year, run, spec.table, "years", partition_by=(YEAR,))
     results = []
-    for year in range(first, min(last, run.run_date.year) + 1):
-        window = DateWindow(date(year, 1, 1), min(date(year, 12, 31), run.run_date))
-        own = replace(run, run_id=f"{run.run_id}-{year}")
-        results.append(
-            load_fact(store, spec, landed, accounts, own, window=window, raise_on_failure=False, **options)
-        )
+    for own, s in runs:
+        window = DateWindow(s["slice_start"], s["slice_end"])
+        rows = staged.where(F.col(YEAR).isin(window.start.year, UNDATED)).drop(YEAR)
+        asked = requests
+        if requests is not None and "slice_start" in requests.columns:
+            # A request belongs to every year it reaches into; what it says of other years is no answer of this one.
+            asked = requests.where((F.col("slice_start") <= window.end) & (F.col("slice_end") >= window.start))
+        results.append(_commit_fact(store, spec, rows, own, window, asked, None))
     if raise_on_failure:
-        messages = []
-        for result in results:
-            try:
-                result.raise_for_failures()
-            except LoadFailed as failure:
-                messages.append(f"{result.window.start.year}: {failure}")
+        messages = [f"{r.window.start.year}: {message}" for r in results if (message := r.failure_message())]
         if messages:
-            raise LoadFailed("; ".join(messages), tuple(results))
+            raise LoadFailed("; ".join(messages), tuple(results), store.outcomes_path())
     return results

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from uuid import uuid4
@@ -10,8 +11,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendmill import files
 from spendmill.operators.incremental import DateWindow
-from spendmill.operators.slices import partition_dates
+from spendmill.operators.schemas import require_same
+from spendmill.operators.slices import expire_commits, finish_commits, partition_dates, table_folder
 from spendmill.plans.spec import ReportSpec
 
 
@@ -28,6 +31,17 @@ class Run:
     resumes: bool = False
 
 
+OUTCOMES_DDL = (
+    "requested_account string, row_count bigint, null_dates bigint, broken_rows bigint, unanswered boolean, "
+    "failed boolean, violation string, recorded_at timestamp, run_id string, report string"
+)
+REQUESTS_DDL = "requested_account string, slice_start date, slice_end date, loaded boolean, run_id string"
+
+
+def _nanoseconds(moment: datetime) -> int:
+    return int(moment.replace(tzinfo=moment.tzinfo or timezone.utc).timestamp() * 1e9)
+
+
 class Store:
     """Raw tables of one database. `root` has to be a folder that all executors share."""
 
@@ -48,11 +62,27 @@ class Store:
         return self.spark.table(self.name(spec.table)).select(*spec.columns)
 
     def create_fact(self, spec: ReportSpec) -> None:
-        """Date-partitioned table from the declared schema; nothing happens when it is there."""
+        """Date-partitioned table from the declared schema; one that is there has to have that schema.
+
+        A replace that was cut off in an earlier run is finished, so that the newest date is right.
+        """
+        if self.exists(spec.table):
+            self.require_schema(spec)
+            finish_commits(self.spark, self.name(spec.table))
+            return
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(spec.table)} ({spec.output_ddl}) USING parquet PARTITIONED BY (date)"
         )
 
+    def require_schema(self, spec: ReportSpec) -> None:
+        """The stored table holds exactly the declared columns with their types (`SchemaMismatch` otherwise).
+
+        A report that gained a column has to have its table changed first: nothing is dropped and nothing is added unseen.
+        """
+        if self.exists(spec.table):
+            name = self.name(spec.table)
+            require_same(f"{name}: stored table", spec.output_schema, self.spark.table(name).schema)
+
     def last_date(self, table: str) -> date | None:
         """Newest loaded date; a table that does not exist yet counts as empty, any other error is raised."""
         if not self.exists(table):
@@ -69,17 +99,62 @@ class Store:
             self.spark.sql(f"CREATE TABLE {table} ({spec.output_ddl}) USING parquet LOCATION '{location}'")
 
     def new_version_path(self, table: str) -> str:
-        """A folder no reader uses yet, also when a run is repeated."""
-        return f"{self.root}/versions/{table}/{uuid4().hex}"
+        """A folder no reader uses yet, also when a run is repeated; names sort by time."""
+        return f"{self.root}/versions/{table}/{time.time_ns():020d}-{uuid4().hex}"
+
+    def expire(self, spec: ReportSpec, before: datetime, keep: int = 2) -> int:
+        """Delete what no reader needs that began after `before`. Returns how many folders were deleted.
+
+        Of a full-refresh table, versions written before that time go, but never the current one nor the newest `keep`. Of a
+        fact, the files of dates go that a later commit replaced before that time.
+        """
+        if not self.exists(spec.table):
+            return 0
+        if spec.is_fact:
+            return expire_commits(self.spark, self.name(spec.table), before)
+        base = f"{self.root}/versions/{spec.table}"
+        current = table_folder(self.spark, self.name(spec.table)).rsplit("/", 1)[1]
+        cutoff = f"{_nanoseconds(before):020d}"
+        versions = files.children(self.spark, base)
+        old = [name for name in versions[: max(0, len(versions) - keep)] if name != current and name < cutoff]
+        for name in old:
+            files.delete(self.spark, f"{base}/{name}")
+        return len(old)
+
+    def expire_runs(self, before: datetime) -> int:
+        """Delete the staged rows of runs that committed all their facts before the given time. Returns how many.
+
+        Ledger, request log and account outcomes stay. A run that was cut off stays too: its retry reads what it staged.
+        """
+        ledger = self.ledger()
+        if ledger is None:
+            return 0
+        reports = ledger.groupBy("run_id", "report").agg(
+            F.max("recorded_at").alias("at"), F.count_if(F.col("event") == "committed").alias("committed")
+        )
+        runs = (
+            reports.groupBy("run_id")
+            .agg(F.min("committed").alias("committed"), F.max("at").alias("at"))
+            .where((F.col("committed") > 0) & (F.col("at") < F.lit(before)))
+        )
+        deleted = 0
+        for row in runs.select("run_id").toLocalIterator():
+            folder = f"{self.root}/runs/{row['run_id']}"
+            if files.exists(self.spark, folder):
+                files.delete(self.spark, folder)
+                deleted += 1
+        return deleted
 
     # Stored intermediate results: they cut lineage, survive lost executors, and have a known size.
 
     def run_path(self, run: Run, table: str, part: str) -> str:
         return f"{self.root}/runs/{run.run_id}/{table}/{part}"
 
-    def stage(self, rows: DataFrame, run: Run, table: str, part: str) -> DataFrame:
+    def stage(
+        self, rows: DataFrame, run: Run, table: str, part: str, partition_by: tuple[str, ...] = ()
+    ) -> DataFrame:
         path = self.run_path(run, table, part)
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def staged(self, run: Run, table: str, part: str) -> DataFrame | None:
@@ -88,14 +163,13 @@ class Store:
         return self._read_if_written(path) if self._complete(path) else None
 
     def _complete(self, path: str) -> bool:
-        context = self.spark.sparkContext
-        marker = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return marker.getFileSystem(context._jsc.hadoopConfiguration()).exists(marker)
+        return files.exists(self.spark, f"{path}/_SUCCESS")
 
-    def _read_if_written(self, path: str) -> DataFrame | None:
+    def _read_if_written(self, path: str, ddl: str | None = None) -> DataFrame | None:
         """A folder that is not there, or in which a write died before its first file, counts as not written."""
         try:
-            return self.spark.read.parquet(path)
+            reader = self.spark.read.schema(ddl) if ddl else self.spark.read
+            return reader.parquet(path)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
@@ -122,3 +196,25 @@ class Store:
             .first()
         )
         return DateWindow(row["s"], row["e"]) if row["s"] else None
+
+    # Run report: what became of every account, one folder per run and report, written again when a run is repeated.
+
+    def outcomes_path(self, run_id: str | None = None) -> str:
+        return f"{self.root}/outcomes" + (f"/run_id={run_id}" if run_id else "")
+
+    def record_outcomes(self, run: Run, table: str, outcomes: DataFrame) -> None:
+        rows = outcomes.withColumn("recorded_at", F.lit(run.ingested_at))
+        rows.write.mode("overwrite").parquet(f"{self.outcomes_path(run.run_id)}/report={table}")
+
+    def outcomes(self) -> DataFrame | None:
+        """Account outcomes of all runs: `run_id` and `report` are partitions, so one run reads its own files only."""
+        return self._read_if_written(self.outcomes_path(), OUTCOMES_DDL)
+
+    # Request log of all runs, by which holes are found that are older than the lookback.
+
+    def log_requests(self, run: Run, table: str, requests: DataFrame) -> None:
+        rows = requests.select("requested_account", "slice_start", "slice_end", "loaded")
+        rows.write.mode("overwrite").parquet(f"{self.root}/requests/{table}/run_id={run.run_id}")
+
+    def logged_requests(self, table: str) -> DataFrame | None:
+        return self._read_if_written(f"{self.root}/requests/{table}", REQUESTS_DDL)

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Temporary folders of local sessions, by application.
+_LOCAL_SHARED: dict[str, str] = {}
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -47,9 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        fallback = tempfile.mkdtemp(prefix="spendmill-")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        return fallback
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_SHARED:
+            _LOCAL_SHARED[application] = tempfile.mkdtemp(prefix="spendmill-")
+        return _LOCAL_SHARED[application]
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

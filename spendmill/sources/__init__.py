@@ -8,6 +8,7 @@ from spendmill.sources.accounts import (
     google_accounts,
     meta_accounts,
     request_key,
+    unique_accounts,
 )
 from spendmill.sources.landing import explode_batches, read_batches, read_landed, read_listing, read_requests
 
@@ -24,4 +25,5 @@ __all__ = [
     "read_listing",
     "read_requests",
     "request_key",
+    "unique_accounts",
 ]

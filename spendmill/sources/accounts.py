@@ -12,35 +12,38 @@ from pyspark.sql import functions as F
 
 from spendmill.fixed_values import DEFAULT_CURRENCY, META_ACCOUNT_PREFIX, UNNAMED_ACCOUNT
 from spendmill.functions import default_if_blank, with_prefix
-from spendmill.operators.dedupe import keep_first
 
 GOOGLE_ACCOUNT_DDL = "id bigint, descriptive_name string, status string, manager boolean, account_ord int"
 META_ACCOUNT_DDL = "id string, name string, currency string, account_ord int"
 
 
 def google_accounts(listing: DataFrame) -> DataFrame:
-    """Accounts that are no managers, each once; a missing or empty name gets the default.
-
-    A client below two managers is listed twice: its first entry counts, so that its rows are not doubled.
-    """
-    accounts = listing.where(~F.col("manager")).select(
+    """Accounts that are no managers; a missing or empty name gets the default."""
+    return listing.where(~F.col("manager")).select(
         F.col("id").cast("string").alias("key"),
         default_if_blank("descriptive_name", UNNAMED_ACCOUNT).alias("name"),
         F.lit(None).cast("string").alias("currency"),
         "account_ord",
     )
-    return keep_first(accounts, ["key"], ["account_ord"])
 
 
 def meta_accounts(listing: DataFrame) -> DataFrame:
-    """All accounts, each once; only a missing name or currency gets the default, an empty one stays."""
-    accounts = listing.select(
+    """All accounts; only a missing name or currency gets the default, an empty one stays."""
+    return listing.select(
         with_prefix("id", META_ACCOUNT_PREFIX).alias("key"),
         F.coalesce("name", F.lit(UNNAMED_ACCOUNT)).alias("name"),
         F.coalesce("currency", F.lit(DEFAULT_CURRENCY)).alias("currency"),
         "account_ord",
     )
-    return keep_first(accounts, ["key"], ["account_ord"])
+
+
+def unique_accounts(accounts: DataFrame) -> DataFrame:
+    """Each account once, by its first entry in listing order, so that no row is doubled.
+
+    A client below two managers is listed twice. One aggregation without a sort; loads store its result.
+    """
+    first = F.min(F.struct("account_ord", "name", "currency")).alias("first")
+    return accounts.groupBy("key").agg(first).select("key", "first.name", "first.currency", "first.account_ord")
 
 
 def exclude_accounts(
