@@ -45,10 +45,11 @@ def failure_messages(staged: DataFrame, report: DataFrame) -> DataFrame:
     return broken.unionByName(unanswered).groupBy("requested_account").agg(F.min("violation").alias("violation"))
 
 
-def account_outcomes(staged: DataFrame, report: DataFrame) -> DataFrame:
+def account_outcomes(staged: DataFrame, report: DataFrame, failures: bool = True) -> DataFrame:
     """What became of every account: its counts, whether it failed, and one of its violations.
 
-    Nothing is collected: any number of failures can be stored and queried.
+    Nothing is collected: any number of failures can be stored and queried. `failures` is false where the report is known to
+    have none; the staged rows are then not read again.
     """
     per_account = report.groupBy("requested_account").agg(
         F.sum("row_count").alias("row_count"),
@@ -57,6 +58,8 @@ def account_outcomes(staged: DataFrame, report: DataFrame) -> DataFrame:
         F.max("unanswered").alias("unanswered"),
         F.max(is_failure()).alias("failed"),
     )
+    if not failures:
+        return per_account.withColumn("violation", F.lit(None).cast("string"))
     messages = failure_messages(staged, report).withColumnRenamed("requested_account", "_account")
     # Rows that name no account have an outcome as well.
     same = F.col("requested_account").eqNullSafe(F.col("_account"))

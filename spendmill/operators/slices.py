@@ -89,16 +89,15 @@ def table_folder(spark: SparkSession, table: str) -> str:
     return described.first()["data_type"].rstrip("/")
 
 
-def _commit_folders(spark: SparkSession, table: str) -> list[str]:
+def _commit_folders(spark: SparkSession, base: str) -> list[str]:
     """Folders of the table's recorded commits, oldest first: their names begin with a time."""
-    base = f"{table_folder(spark, table)}/{COMMITS}"
+    base = f"{base}/{COMMITS}"
     folders = [f"{base}/{name}" for name in files.children(spark, base)]
     return [folder for folder in folders if files.exists(spark, f"{folder}/record.json")]
 
 
-def _apply_commit(spark: SparkSession, table: str, folder: str) -> None:
+def _apply_commit(spark: SparkSession, table: str, folder: str, record: dict[str, list[str]]) -> None:
     """Point every date of a commit to the commit's files. Doing it again changes nothing."""
-    record = json.loads(files.read_text(spark, f"{folder}/record.json"))
     current = {day.isoformat() for day in partition_dates(spark, table)}
     emptied = [day for day in record["emptied"] if day in current]
     for day in emptied:
@@ -124,11 +123,15 @@ def _apply_commit(spark: SparkSession, table: str, folder: str) -> None:
     files.write_text(spark, f"{folder}/applied", "")
 
 
-def finish_commits(spark: SparkSession, table: str) -> int:
-    """Apply commits that were recorded and then cut off, oldest first. Returns how many there were."""
-    cut_off = [f for f in _commit_folders(spark, table) if not files.exists(spark, f"{f}/applied")]
+def finish_commits(spark: SparkSession, table: str, base: str | None = None) -> int:
+    """Apply commits that were recorded and then cut off, oldest first. Returns how many there were.
+
+    `base` saves looking up the table's folder.
+    """
+    folders = _commit_folders(spark, base or table_folder(spark, table))
+    cut_off = [f for f in folders if not files.exists(spark, f"{f}/applied")]
     for folder in cut_off:
-        _apply_commit(spark, table, folder)
+        _apply_commit(spark, table, folder, json.loads(files.read_text(spark, f"{folder}/record.json")))
     return len(cut_off)
 
 
@@ -141,7 +144,7 @@ def expire_commits(spark: SparkSession, table: str, before: datetime) -> int:
     cutoff = f"{int(before.replace(tzinfo=before.tzinfo or timezone.utc).timestamp() * 1e9):020d}"
     replaced: set[str] = set()
     deleted = 0
-    for folder in reversed(_commit_folders(spark, table)):
+    for folder in reversed(_commit_folders(spark, table_folder(spark, table))):
         record = json.loads(files.read_text(spark, f"{folder}/record.json"))
         for day in record["dates"]:
             path = f"{folder}/rows/date={day}"
@@ -178,7 +181,8 @@ def replace_slices(
     calls first, goes on from the record. Old files stay until `expire_commits`. One writer per table is assumed. Lists
     that reach the driver are calendar days of the window, never rows.
     """
-    finish_commits(spark, table)
+    base = table_folder(spark, table)
+    finish_commits(spark, table, base)
     stored = spark.table(table).schema
     require_same(f"{table}: batch", stored, batch.drop(SPREAD).schema, storable)
     columns = stored.names
@@ -210,7 +214,7 @@ def replace_slices(
     if not dates and not emptied:
         return emptied
 
-    folder = f"{table_folder(spark, table)}/{COMMITS}/{time.time_ns():020d}-{uuid4().hex[:8]}"
+    folder = f"{base}/{COMMITS}/{time.time_ns():020d}-{uuid4().hex[:8]}"
     if dates:
         # Range partitioning keeps dates and clustering keys together, so few files per date and narrow min/max
         # statistics. The row number makes keys distinct: no account, and no group of equal rows, is too big to split.
@@ -223,5 +227,5 @@ def replace_slices(
         laid_out.write.partitionBy("date").parquet(f"{folder}/rows")
     record = {"dates": [day.isoformat() for day in dates], "emptied": [day.isoformat() for day in emptied]}
     files.write_text(spark, f"{folder}/record.json", json.dumps(record))
-    _apply_commit(spark, table, folder)
+    _apply_commit(spark, table, folder, record)
     return emptied

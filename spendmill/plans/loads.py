@@ -142,7 +142,7 @@ def load_fact(
         or lookback_window(store.last_date(spec.table), run.run_date, lookback_days, floor)
     )
     store.record(run, spec.table, "started", window)
-    flat = _dated_rows(store, spec, landed, accounts, run, excluded, window)
+    flat = _dated_rows(spec, landed, accounts, run, excluded, window)
     staged = store.stage(flat, run, spec.table, "rows")
     result = _commit_fact(store, spec, staged, run, window, requests, account_windows)
     if raise_on_failure:
@@ -151,7 +151,6 @@ def load_fact(
 
 
 def _dated_rows(
-    store: Store,
     spec: ReportSpec,
     landed: DataFrame,
     accounts: DataFrame,
@@ -159,10 +158,9 @@ def _dated_rows(
     excluded: DataFrame | Iterable[str],
     window: DateWindow,
 ) -> DataFrame:
-    """Typed rows of the window and rows without a date, from a listing that names each account once."""
-    listing = store.stage(unique_accounts(accounts), run, spec.table, "listing")
+    """Typed rows of the window and rows without a date. The listing is made unique here, once per load: the rows are staged."""
     in_window = F.col("date").isNull() | window.contains("date")
-    flat = flatten_report(spec, landed, listing, excluded).where(in_window)
+    flat = flatten_report(spec, landed, unique_accounts(accounts), excluded).where(in_window)
     return flat.withColumn(INGESTED_AT, F.lit(run.ingested_at))
 
 
@@ -183,7 +181,7 @@ def _commit_fact(
         F.coalesce(F.sum("null_dates"), F.lit(0)).alias("null_dates"),
         F.count_if(is_failure()).alias("failed"),
     ).first()
-    store.record_outcomes(run, spec.table, account_outcomes(staged, report))
+    store.record_outcomes(run, spec.table, account_outcomes(staged, report, bool(totals["failed"])))
 
     rows = with_spread(staged)
     good = without_failed(rows, report) if totals["failed"] else rows
@@ -350,8 +348,7 @@ def refresh_dimension(
     without that the table is left as it is. A delivery without any row also leaves it as it is.
     """
     store.require_schema(spec)
-    listing = store.stage(unique_accounts(accounts), run, spec.table, "listing")
-    flat = flatten_report(spec, landed, listing, excluded)
+    flat = flatten_report(spec, landed, unique_accounts(accounts), excluded)
     staged = store.stage(flat.withColumn(INGESTED_AT, F.lit(run.ingested_at)), run, spec.table, "rows")
     answers = _answers(requests, spec)
     failed_requests = answers.where(~F.col("ok")) if answers is not None else None
@@ -360,7 +357,7 @@ def refresh_dimension(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
         F.count_if(is_failure()).alias("failed"),
     ).first()
-    store.record_outcomes(run, spec.table, account_outcomes(staged, report))
+    store.record_outcomes(run, spec.table, account_outcomes(staged, report, bool(totals["failed"])))
 
     rows, order = staged, ["account_ord", "row_ord"]
     writable = totals["rows"] > 0
@@ -439,7 +436,7 @@ def backfill(
     runs = [(replace(run, run_id=f"{run.run_id}-{s['slice_start'].year}"), s) for s in slices]
     for own, s in runs:
         store.record(own, spec.table, "started", DateWindow(s["slice_start"], s["slice_end"]))
-    flat = _dated_rows(store, spec, landed, accounts, run, excluded, whole)
+    flat = _dated_rows(spec, landed, accounts, run, excluded, whole)
     by_year = flat.withColumn(YEAR, F.coalesce(F.year("date"), F.lit(UNDATED)))
     staged = store.stage(by_year, run, spec.table, "years", partition_by=(YEAR,))
     results = []

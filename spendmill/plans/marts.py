@@ -8,6 +8,8 @@ share of all rows is reduced before it is shuffled.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,19 +40,44 @@ def return_on_spend(facts: DataFrame, period: str = "month") -> DataFrame:
     )
 
 
-def budget_pacing(budgets: DataFrame) -> DataFrame:
-    """Month-to-date cost against the daily budgets of the days so far."""
+def budget_pacing(budgets: DataFrame, through: date | None = None) -> DataFrame:
+    """Month-to-date cost against the daily budgets of all days that have passed, one row per day.
+
+    A platform delivers no row for a day without any activity, but its budget was there to be spent. Every month in which a
+    campaign has a row is filled up: from the first of the month (in its first month from its first row) to its last row, or to
+    `through` in that day's month. Such a day costs nothing and has the last budget known before it.
+    """
     daily = budgets.groupBy(*CAMPAIGN, "date").agg(
         F.sum("cost_micros").alias("cost_micros"), F.max("daily_budget_micros").alias("budget_micros")
     )
-    month = (
+    by_day = Window.partitionBy(*CAMPAIGN).orderBy("date")
+    known = F.last("budget_micros", ignorenulls=True).over(
+        by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    rows = daily.withColumns({"budget_micros": known, "next_date": F.lead("date").over(by_day)})
+
+    # The days a row stands for: its own, those behind it in its month, and those of the next row's month before that row.
+    month, next_month = F.trunc("date", "month"), F.trunc("next_date", "month")
+    last_day = F.lit(through).cast("date")
+    until_now = (month == F.trunc(last_day, "month")) & (last_day > F.col("date"))
+    own_day, day_before = F.array("date"), F.date_sub("next_date", 1)
+    days = (
+        F.when(F.col("next_date").isNull() & until_now, F.sequence("date", last_day))
+        .when(F.col("next_date").isNull(), own_day)
+        .when(month == next_month, F.sequence("date", day_before))
+        .when(next_month < F.col("next_date"), F.concat(own_day, F.sequence(next_month, day_before)))
+        .otherwise(own_day)
+    )
+    filled = rows.select(
+        *CAMPAIGN, "budget_micros", F.col("date").alias("row_date"), "cost_micros", F.explode(days).alias("date")
+    )
+    so_far = (
         Window.partitionBy(*CAMPAIGN, F.trunc("date", "month"))
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = daily.withColumns(
-        {"cost_mtd": F.sum("cost_micros").over(month), "budget_mtd": F.sum("budget_micros").over(month)}
-    )
+    cost = F.when(F.col("date") == F.col("row_date"), F.col("cost_micros")).otherwise(0)
+    running = filled.withColumns({"cost_mtd": F.sum(cost).over(so_far), "budget_mtd": F.sum("budget_micros").over(so_far)})
     return running.select(
         *CAMPAIGN,
         "date",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
@@ -35,6 +36,7 @@ OUTCOMES_DDL = (
     "requested_account string, row_count bigint, null_dates bigint, broken_rows bigint, unanswered boolean, "
     "failed boolean, violation string, recorded_at timestamp, run_id string, report string"
 )
+LEDGER_DDL = "run_id string, report string, event string, window_start date, window_end date, recorded_at timestamp"
 REQUESTS_DDL = "requested_account string, slice_start date, slice_end date, loaded boolean, run_id string"
 
 
@@ -178,13 +180,21 @@ class Store:
     # Run ledger: a retry of a run uses the window the run recorded, not one computed from a half-loaded table.
 
     def record(self, run: Run, table: str, event: str, window: DateWindow) -> None:
-        values = (run.run_id, table, event, window.start, window.end, run.ingested_at)
-        names = ("run_id", "report", "event", "window_start", "window_end", "recorded_at")
-        row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in zip(names, values)])
-        row.write.mode("append").parquet(f"{self.root}/ledger")
+        """One small file per event, so that writers of different reports never meet."""
+        entry = {
+            "run_id": run.run_id,
+            "report": table,
+            "event": event,
+            "window_start": window.start.isoformat(),
+            "window_end": window.end.isoformat(),
+            "recorded_at": run.ingested_at.astimezone(timezone.utc).isoformat(),
+        }
+        name = f"{time.time_ns():020d}-{uuid4().hex[:8]}.json"
+        files.write_text(self.spark, f"{self.root}/ledger/{name}", json.dumps(entry))
 
     def ledger(self) -> DataFrame | None:
-        return self._read_if_written(f"{self.root}/ledger")
+        written = [n for n in files.children(self.spark, f"{self.root}/ledger") if n.endswith(".json")]
+        return self.spark.read.schema(LEDGER_DDL).json(f"{self.root}/ledger") if written else None
 
     def recorded_window(self, run: Run, table: str) -> DateWindow | None:
         ledger = self.ledger()

@@ -35,19 +35,60 @@ def roas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.return_on_spend(scan("google_ads_performance", spark, sf_dir))
 
 
+def pacing_sql(daily: str) -> str:
+    """Pacing over a calendar that SQL generates, from daily cost and budget."""
+    keys = "account_id, campaign_id, currency"
+    return f"""WITH daily AS ({daily}),
+        spans AS (SELECT {keys}, CAST(DATE_TRUNC('month', date) AS DATE) AS m, MAX(date) AS e FROM daily GROUP BY ALL),
+        firsts AS (SELECT {keys}, MIN(date) AS f FROM daily GROUP BY ALL),
+        days AS (SELECT {keys}, CAST(UNNEST(GENERATE_SERIES(GREATEST(m, f), e, INTERVAL 1 DAY)) AS DATE) AS date
+          FROM spans JOIN firsts USING ({keys})),
+        costs AS (SELECT d.*, COALESCE(c.cost, 0) AS cost FROM days d LEFT JOIN daily c USING ({keys}, date)),
+        filled AS (SELECT c.*, k.budget FROM costs c ASOF LEFT JOIN (SELECT * FROM daily WHERE budget IS NOT NULL) k
+          ON c.account_id = k.account_id AND c.campaign_id = k.campaign_id AND c.currency = k.currency AND c.date >= k.date),
+        running AS (SELECT *, CAST(SUM(cost) OVER w AS BIGINT) AS c, CAST(SUM(budget) OVER w AS BIGINT) AS b FROM filled
+          WINDOW w AS (PARTITION BY {keys}, DATE_TRUNC('month', date) ORDER BY date))
+        SELECT {keys}, date, c / 1e6 AS cost_to_date, b / 1e6 AS budget_to_date,
+          c / CAST(NULLIF(b, 0) AS DOUBLE) AS pacing FROM running"""
+
+
 @query(
     "q27_pacing",
-    f"""WITH daily AS (SELECT account_id, campaign_id, currency, date, CAST(SUM(cost_micros) AS BIGINT) AS cost,
-            MAX(daily_budget_micros) AS budget FROM ({BUDGETS}) GROUP BY ALL),
-        running AS (SELECT *, CAST(SUM(cost) OVER w AS BIGINT) AS c, CAST(SUM(budget) OVER w AS BIGINT) AS b FROM daily
-          WINDOW w AS (PARTITION BY account_id, campaign_id, currency, DATE_TRUNC('month', date) ORDER BY date))
-        SELECT account_id, campaign_id, currency, date, c / 1e6 AS cost_to_date, b / 1e6 AS budget_to_date,
-          c / CAST(NULLIF(b, 0) AS DOUBLE) AS pacing FROM running""",
+    pacing_sql(
+        f"""SELECT account_id, campaign_id, currency, date, CAST(SUM(cost_micros) AS BIGINT) AS cost,
+            MAX(daily_budget_micros) AS budget FROM ({BUDGETS}) GROUP BY ALL"""
+    ),
 )
 def pacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.budget_pacing(scan("google_ads_budget_pacing", spark, sf_dir))
 
 
+# Every customer as a campaign: most days have no row, and some rows no budget.
+SPARSE = {
+    "account_id": "CAST(o_custkey % 12 AS STRING)",
+    "campaign_id": "CAST(o_custkey AS STRING)",
+    "currency": "CASE WHEN o_custkey % 12 < 6 THEN 'USD' ELSE 'EUR' END",
+    "date": "CAST(o_orderdate AS DATE)",
+    "cost_micros": "CAST(ROUND(o_totalprice * 1000000) AS BIGINT)",
+    "daily_budget_micros": "CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE (o_orderkey % 40 + 1) * 1000000 END",
+}
+
+
+@query(
+    "pacing_sparse_days",
+    pacing_sql(
+        "SELECT account_id, campaign_id, currency, date, CAST(SUM(cost_micros) AS BIGINT) AS cost, "
+        "MAX(daily_budget_micros) AS budget FROM (SELECT "
+        + ", ".join(f"{sql} AS {name}" for name, sql in SPARSE.items())
+        + " FROM orders) GROUP BY ALL"
+    ),
+)
+def pacing_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaigns with few days of activity: the days between count with the last budget."""
+    rows = table(spark, sf_dir, "orders").selectExpr(*[f"{sql} AS {name}" for name, sql in SPARSE.items()])
+    return marts.budget_pacing(rows)
+
+
 # Seven years of orders seen as a daily fact, for the marts that compare years.
 YEARS = {
     "account_id": "CAST(o_custkey % 12 AS STRING)",

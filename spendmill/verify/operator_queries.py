@@ -598,20 +598,22 @@ META = FACTS["meta_ads_performance"]
 CHUNK_FAILS = "user_id % 12 = 2 AND CAST(ts AS DATE) BETWEEN DATE '2024-01-22' AND DATE '2024-01-28'"
 
 
+RESTATES = f"user_id % 12 NOT IN (3, 5) AND CAST(ts AS DATE) >= DATE '2024-01-16' AND NOT ({CHUNK_FAILS})"
+
+
 @query(
     "failed_chunk_isolation",
     f"""SELECT CAST(ts AS DATE) AS date, CAST(user_id % 12 AS VARCHAR) AS account_id,
          CAST(COUNT(*) AS BIGINT) AS row_count,
-         CAST(SUM(CAST(ROUND(CASE WHEN NOT ({CHUNK_FAILS}) AND CAST(ts AS DATE) >= DATE '2024-01-16'
-           THEN value * 2 ELSE value END * 1000000) AS BIGINT)) AS BIGINT) AS spend_micros
-       FROM events WHERE user_id % 12 NOT IN (3, 5, 8, 11)
-         AND NOT (event_type = 'error' AND CAST(ts AS DATE) >= DATE '2024-01-16' AND NOT ({CHUNK_FAILS}))
+         CAST(SUM(CAST(ROUND(CASE WHEN {RESTATES} THEN value * 2 ELSE value END * 1000000) AS BIGINT)) AS BIGINT)
+           AS spend_micros
+       FROM events WHERE user_id % 12 NOT IN (8, 11) AND NOT (event_type = 'error' AND {RESTATES})
        GROUP BY ALL""",
 )
 def failed_chunk_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests in 7-day chunks from 15 January, a day before the window; one chunk of account 2 fails and keeps its earlier rows.
 
-    Account 3 (broken) and 5 (silent) are left out of the result; see `load_meta_ads_performance` for them.
+    So do account 3, whose second delivery is broken, and account 5, which delivers nothing.
     """
     store, accounts = new_store(spark), fact_accounts(spark, sf_dir, "meta")
     options = {"excluded": excluded_keys("meta"), "raise_on_failure": False}
@@ -629,7 +631,6 @@ def failed_chunk_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         store.read(META)
-        .where("account_id NOT IN ('3', '5')")
         .groupBy("date", "account_id")
         .agg(F.count(F.lit(1)).alias("row_count"), F.sum(fn.to_micros("spend")).alias("spend_micros"))
     )

@@ -57,6 +57,19 @@ def test_pacing(spark):
     assert got == {"2024-01-01": 0.5, "2024-01-02": 1.5, "2024-02-01": None}
 
 
+def test_pacing_counts_days_without_a_row(spark):
+    rows = spark.createDataFrame(
+        [("a", "c", "EUR", date(2024, 1, 29), 10, 5), ("a", "c", "EUR", date(2024, 1, 31), None, 5), ("a", "c", "EUR", date(2024, 3, 3), 20, 8)],
+        "account_id string, campaign_id string, currency string, date date, daily_budget_micros bigint, cost_micros bigint",
+    )
+    got = {str(r["date"])[5:]: (r["cost_to_date"] * 1e6, r["budget_to_date"] * 1e6) for r in marts.budget_pacing(rows).collect()}
+    january = {"01-29": (5, 10), "01-30": (5, 20), "01-31": (10, 30)}
+    # February has no row and no line; March begins on its first with the budget known then.
+    assert got == january | {"03-01": (0, 10), "03-02": (0, 20), "03-03": (8, 40)}
+    later = {str(r["date"])[5:]: r["budget_to_date"] * 1e6 for r in marts.budget_pacing(rows, date(2024, 3, 5)).collect()}
+    assert (later["03-03"], later["03-05"]) == (40, 80) and len(later) == 8
+
+
 def test_weighted_ratios(spark):
     rows = facts(spark, ("EUR", "2024-01-01", 10, 5, 5_000_000, 0.0), ("EUR", "2024-01-01", 90, 5, 0, 0.0), ("USD", "2024-01-01", 0, 0, 0, 0.0))
     got = {r["currency"]: (r["ctr"], r["cpc"]) for r in marts.weighted_ratios(rows, ["account_id"]).collect()}
