@@ -157,10 +157,41 @@ FROM measured JOIN verdict USING (r)
 """
 
 
+def source_divergence(min_documents: int = 30, top: int = 50) -> str:
+    """All kept terms of all sources side by side: dense, without collapsed texts."""
+    smooth = "1 + (1000000000::HUGEINT * ({} + 5)) // ({} + 5 * v)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {min_documents}),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS held,
+    {smooth.format('coalesce(c.n, 0)', 'coalesce(totals.n, 0)')} AS p, {smooth.format('kept.n', 'sizes.n')} AS q
+  FROM g JOIN kept USING (lang) JOIN sizes USING (lang)
+  LEFT JOIN totals ON totals.lang = g.lang AND totals.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+distances AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE held > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS n FROM parts)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(n AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR n <= {top}
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(),
     "op2_line_dedup": line_dedup(),
     "op4_substring_dedup": substring_dedup(35),
     "op8_suffix_dedup": suffix_dedup(200),
     "op9_quality_rules": quality_rules(),
+    "op11_source_divergence": source_divergence(),
 }

@@ -81,6 +81,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spendmill.llm.source_divergence import audit_sources
+
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from spendmill.llm.token_alignment import align_tokens, count_links
+
+    aligned = align_tokens(
+        table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return count_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from spendmill.llm.byte_bpe import decode_ids, encode_texts
+
+    ranks = path("byte_bpe_50k.tiktoken")
+    decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
