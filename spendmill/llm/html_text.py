@@ -82,6 +82,15 @@ class PageLines(HTMLParser):
         self.tags = 0
         self.article = 0
         self.heading = 0
+        self.open: Counter[str] = Counter()  # open elements by tag, so that a stray end tag is not searched for
+
+    def parse_html_declaration(self, i: int) -> int:
+        """A declaration or marked section that the parser gives up on is read as a comment up to its end."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            end = self.rawdata.find(">", i + 2)
+            return end + 1 if end >= 0 else len(self.rawdata)
 
     def _line(self) -> None:
         if self.text:
@@ -116,6 +125,7 @@ class PageLines(HTMLParser):
             self.article += 1
         if tag == "h1":
             self.heading += 1
+        self.open[tag] += 1
         self.stack.append((tag, dropped or _dropped(tag, attrs, self.article > 0), container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -130,11 +140,14 @@ class PageLines(HTMLParser):
 
     def _close(self, tag: str, limits) -> None:
         """Pop up to the innermost open `tag`, but not through an element of `limits`."""
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             name = self.stack[at][0]
             if name == tag:
                 self.article -= sum(1 for n, _, _ in self.stack[at:] if n == "article")
                 self.heading -= sum(1 for n, _, _ in self.stack[at:] if n == "h1")
+                self.open.subtract(n for n, _, _ in self.stack[at:])
                 del self.stack[at:]
                 return
             if name in limits:
