@@ -119,6 +119,7 @@ FROM docs LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 
 def quality_rules() -> str:
     risk = Risk()
+    alpha = risk.alpha / len(LADDERS)
     ladder = _values((rule, k, c) for rule, cutoffs in LADDERS.items() for k, c in enumerate(cutoffs))
     stats = {
         "symbols_per_word": "n_symbols / greatest(n_words, 1)",
@@ -126,7 +127,7 @@ def quality_rules() -> str:
         "repeated_lines": "n_dup_lines / greatest(n_lines, 1)",
         "repeated_words": "n_repeat_words / greatest(n_words, 1)",
     }
-    long = " UNION ALL ".join(f"SELECT r, doc_id, lang, base_failed, '{k}' AS rule, {v} AS x FROM measured" for k, v in stats.items())
+    long = " UNION ALL ".join(f"SELECT r, doc_id, lang, t, base_failed, '{k}' AS rule, {v} AS x FROM measured" for k, v in stats.items())
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
@@ -135,18 +136,18 @@ grams AS (SELECT r, unnest(range(len(ws) - 2)) AS i, ws FROM docs WHERE len(ws)
 named AS (SELECT r, i, array_to_string(ws[i + 1:i + 3], ' ') AS g FROM grams),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM named) WHERE c > 1),
 repeats AS (SELECT r, count(DISTINCT i + j) AS n FROM again, range(3) AS o(j) GROUP BY r),
-counted AS (SELECT r, doc_id, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+counted AS (SELECT r, doc_id, lang, md5(text) AS t, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, len(ls) AS n_lines,
     len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM docs LEFT JOIN repeats USING (r)),
 measured AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
 long AS ({long}),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-held AS (SELECT long.* FROM long JOIN good USING (doc_id) WHERE NOT base_failed),
+held AS (SELECT DISTINCT long.lang, long.t, long.rule, long.x FROM long JOIN good USING (doc_id) WHERE NOT base_failed),
 ladder(rule, rung, cutoff) AS (VALUES {ladder}),
 counts AS (SELECT lang, rule, rung, cutoff, count(*) AS n, count(*) FILTER (x > cutoff) AS k
   FROM held JOIN ladder USING (rule) GROUP BY ALL),
 tested AS (SELECT *, list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-    + j * ln({risk.alpha}) + (n - j) * ln({1 - risk.alpha})))) <= {risk.delta} /
+    + j * ln({alpha}) + (n - j) * ln({1 - alpha})))) <= {risk.delta} /
     ((SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) * {len(LADDERS)}) AS ok FROM counts),
 chain AS (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY rung) AS good_so_far FROM tested),
 cutoffs AS (SELECT lang, rule, min(cutoff) AS cutoff FROM chain WHERE good_so_far GROUP BY lang, rule),

@@ -4,8 +4,10 @@ Each rule rejects a document whose statistic lies above a cutoff. The cutoffs of
 strict. On the labelled holdout, every stratum (language) and rule walks down its ladder and stops at the first cutoff for
 which the exact binomial test can no longer exclude a false rejection rate of `alpha` or more; the last cutoff passed is
 used. A fixed order needs no correction along the ladder; over strata and rules the error `delta` is divided (Bonferroni).
-So with probability 1 - delta, in no stratum does any rule reject more than `alpha` of the good documents, and all rules
-together reject at most `alpha` times the number of rules.
+`alpha` is divided over the rules as well: with probability 1 - delta, in no stratum do all rules together reject more than
+`alpha` of the good documents.
+
+The trials are the distinct texts of labelled documents: a document that is listed often, or copies of one text, is one trial.
 
 A stratum with too few good labels to prove anything keeps every document that the fixed base rule keeps.
 """
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendmill.llm.common import Workspace, ascii_words, rows_where
+from spendmill.llm.common import Workspace, ascii_words, rows_where, text_key
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -31,6 +33,8 @@ LADDERS: dict[str, list[float]] = {
     "repeated_lines": [0.8, 0.6, 0.5, 0.4, 0.3],
     "repeated_words": [0.45, 0.4, 0.35, 0.3, 0.25, 0.2],
 }
+# 128 bits that stand for a text.
+TEXT_KEY = ("text_k1", "text_k2")
 
 
 @dataclass(frozen=True)
@@ -91,6 +95,7 @@ def features(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
             "n_repeat_words"
         ),
         F.size("lines").cast("long").alias("n_lines"),
+        *[key.alias(name) for name, key in zip(TEXT_KEY, text_key(F.col("text")))],
         *carry,
     )
 
@@ -145,7 +150,8 @@ def certified_cutoffs(
     """One row per stratum: `lang` and a column per rule with its cutoff (null: the rule rejects nothing there).
 
     `measured` holds the `features`; `labels` has `doc_id` and `quality`. A document is good if all its labels say 1;
-    labels without document or quality are ignored, and so are good documents that the base rule rejects anyway.
+    labels without document or quality are ignored, and so are good documents that the base rule rejects anyway. Equal texts of a
+    stratum are one trial, however many rows and documents hold them.
     """
     ladders = ladders or LADDERS
     good = (
@@ -172,7 +178,9 @@ def certified_cutoffs(
     hits = (
         measured.where(~base_failed())
         .join(good, "doc_id")
-        .select("lang", F.explode(steps).alias("step"))
+        .select("lang", *TEXT_KEY, steps.alias("steps"))
+        .dropDuplicates(["lang", *TEXT_KEY])
+        .select("lang", F.explode("steps").alias("step"))
         .groupBy("lang", "step.rule", "step.rung")
         .agg(F.count("*").alias("hits"))
     )
@@ -195,7 +203,7 @@ def certified_cutoffs(
             "k",
             F.expr("aggregate(sequence(0, rung), 0L, (a, r) -> a + coalesce(at[r], 0L))"),
         )
-        .withColumn("p", binomial_tail("n", "k", risk.alpha))
+        .withColumn("p", binomial_tail("n", "k", risk.alpha / len(ladders)))
         .withColumn("passes", F.col("p") <= F.lit(risk.delta) / (F.col("strata") * len(ladders)))
     )
     down = Window.partitionBy("lang", "rule").orderBy("rung").rowsBetween(Window.unboundedPreceding, Window.currentRow)
