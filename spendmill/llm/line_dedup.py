@@ -11,6 +11,8 @@ stays: the one of the smallest document id (null last), then text key, then plac
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,11 @@ def chunks_of(lines: str, line_hashes: str) -> Column:
     )
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """Per row: its key (document id and text key) and the multi-line chunks with their hashes."""
+def chunked(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row: its key (document id and text key), the multi-line chunks with their hashes, and the columns to `carry`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return (
-        docs.select(F.col("doc_id").alias("d"), text.alias("text"))
+        docs.select(F.col("doc_id").alias("d"), text.alias("text"), *carry)
         .withColumns(dict(zip(("k1", "k2"), text_key(F.col("text")))))
         .withColumn("lines", F.split("text", "\n", -1))
         .withColumn(
@@ -88,8 +90,13 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
     # Written first, as `kept` below: joins of two plain exchanges let AQE split a hot chunk.
     twice = work.write(twice, "twice")
     starts = hashed.join(twice, "hash", "left_semi").groupBy(*KEY).agg(F.collect_set("start").alias("starts"))
+    # The plain texts are shuffled and split into lines again behind the join: lines and chunks take several times their room.
+    # Merge joins at any size: what is joined grows with the corpus.
+    keyed = docs.select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = keyed.withColumns(dict(zip(("k1", "k2"), text_key(F.col("text")))))
+    joined = _by_key(keyed, starts.hint("merge"), "inner")
     candidates = work.write(
-        _by_key(chunked(docs), starts, "inner")
+        chunked(joined.withColumnRenamed("d", "doc_id").drop("k1", "k2"), ["starts"])
         .select(*KEY, "lines", F.explode_outer(F.filter("chunks", lambda c: F.array_contains("starts", c.start))).alias("c"))
         .select(*KEY, F.col("c.start").alias("start"), F.col("c.len").alias("len"), _chunk_text().alias("chunk"))
         .withColumn("hash", F.md5("chunk")),
@@ -103,6 +110,7 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
         .select("hash", "chunk", "first")
     )
     removed = candidates.join(work.write(kept, "kept"), ["hash", "chunk"]).where(~_first(place).eqNullSafe(F.col("first")))
+    work.drop("chunks", "twice")
     return removed.groupBy(*KEY).agg(F.collect_set(F.struct("start", "len")).alias("removed"))
 
 
@@ -125,10 +133,11 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     work = Workspace(docs.sparkSession, "lines")
     spans = work.write(repeated_chunks(docs.select("doc_id", "text"), work), "removed")
+    work.drop("candidates", "kept")
     out = fresh_name(docs, "line_dedup")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
     keyed = row.withColumns(dict(zip(KEY, [F.col("doc_id"), *text_key(F.col("text"))]))).drop("doc_id")
-    joined = _by_key(keyed, spans, "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    joined = _by_key(keyed, spans.hint("merge"), "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     joined = joined.withColumn("gone", F.array_sort(F.coalesce("removed", F.expr("cast(array() as array<struct<start: int, len: int>>)"))))
     n_removed = F.aggregate("gone", F.lit(0), lambda a, s: a + s["len"])
     # The kept stretches lie between the removed ones.
