@@ -97,15 +97,10 @@ def audit_sources(docs: DataFrame) -> DataFrame:
     weighted = copies.join(texts, ["lang", "k1", "k2"]).select("lang", "source", "copies", "text")
     counted = weighted.mapInPandas(_count_terms, "lang string, source string, term string, n long, docs long")
     summed = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    counts = work.write(summed, "counts")
-
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= MIN_DOCUMENTS)
-        .drop("docs")
-    )
-    held = work.write(counts.drop("docs").join(kept, ["lang", "term"]), "held")
+    # A term has one row per source here, so its language figures are sums over few rows beside each other.
+    of_term = Window.partitionBy("lang", "term")
+    held = summed.withColumns({"n_lang": F.sum("n").over(of_term), "docs": F.sum("docs").over(of_term)})
+    held = work.write(held.where(F.col("docs") >= MIN_DOCUMENTS).drop("docs"), "held")
     # Every kept term occurs in some group, so language figures follow from the group figures of its terms.
     languages = (
         held.groupBy("lang", "term").agg(F.max("n_lang").alias("n"))
@@ -138,7 +133,7 @@ def audit_sources(docs: DataFrame) -> DataFrame:
         _smoothed(F.col("n_lang"), F.col("total_lang"), F.col("terms")).alias("q"),
     )
     terms = work.write(terms, "terms")
-    work.drop("copies", "counts", "held")
+    work.drop("copies", "held")
     return _top_terms(terms).unionByName(_pairs(terms, groups))
 
 
