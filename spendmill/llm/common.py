@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Sequence
+from typing import ClassVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendmill import files
 from spendmill.session import shared_dir
 
 # ASCII white space between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -45,9 +47,13 @@ class Workspace:
     it are of no more use; collecting the driver's garbage lets Spark delete them at once instead of at some later time.
     """
 
+    # Folders opened in this process, oldest first.
+    opened: ClassVar[list[Workspace]] = []
+
     def __init__(self, spark: SparkSession, operator: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/llm/{operator}-{uuid4().hex}"
+        Workspace.opened.append(self)
 
     def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{self.path}/{name}"
@@ -63,10 +69,18 @@ class Workspace:
 
     def drop(self, *names: str) -> None:
         """Deletes tables of this run that no later step reads."""
-        context = self.spark.sparkContext
         for name in names:
-            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            files.delete(self.spark, f"{self.path}/{name}")
+
+    @staticmethod
+    def release(works: list[Workspace], *read: DataFrame) -> list[Workspace]:
+        """Deletes the given folders, but for those from which a given frame still reads; returns these."""
+        files_read = [path for df in read for path in df.inputFiles()] if works else []
+        in_use = [work for work in works if any(f"/{work.path.rsplit('/', 1)[1]}/" in path for path in files_read)]
+        for work in works:
+            if work not in in_use:
+                files.delete(work.spark, work.path)
+        return in_use
 
 
 def ascii_words(text: Column) -> Column:

@@ -1,13 +1,17 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of `LEAST` = 0.8 or more.
 
-A text's signature has the minima of its shingle hashes under `BANDS` * `ROWS` = 128 multiplications. Each band of four minima
-is a positional key; a list holds the texts that share a key. Two texts of similarity 0.8 share a band with a probability of
-1 - (1 - 0.8 ** 4) ** 32, all but 5 in 100 million. Every link is verified by the exact similarity of the shingle sets.
-
-First each member of a list is compared with the smallest one, so a group of copies gives as many pairs as members. Lists
-whose members are then still in several components are compared in full, between the components only. A list longer than
-`LIST_BOUND` is listed again under each pair of its key and another key of the member, which all but 2 in a million pairs
-of similarity 0.8 share as well.
+Candidates are found in two steps. A text's signature has the minima of its shingle hashes under `BANDS` * `ROWS` = 128
+multiplications; two texts of similarity 0.8 share one of the 32 bands of four minima with a probability of
+1 - (1 - 0.8 ** 4) ** 32, all but 5 in 100 million. Only texts that share a band with another one go on.
+
+Those are joined by a prefix filter. Shingles have one order, rarest first, by the number of texts that hold them. Two sets of
+similarity 0.8 have a common shingle among the first n - ceil(4 n / 5) + 1 of the larger and the first n - ceil(8 n / 9) + 1 of
+the smaller one, so only these are listed. Shingles of one text alone come first and are listed nowhere: texts of one
+template, each with words of its own, never meet. A pair whose common shingle stands too far back in either set to leave 4/9 of
+both sizes is no candidate. Every link is verified by the exact similarity of the shingle sets.
+
+In each list every member is first compared with the smallest one, so a group of copies gives as many pairs as members. Lists
+whose members are then still in several components are compared between the components only. No list has a bound.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -26,7 +30,6 @@ from spendmill.llm.simhash import shingle_hashes
 
 LEAST = (4, 5)
 BANDS, ROWS = 32, 4
-LIST_BOUND = 64
 _RANDOM = np.random.default_rng(42)
 FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = _RANDOM.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -52,56 +55,87 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(31))) * FACTORS[:BANDS]).view(np.int64)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, number: str, shingle: int, work: Workspace, name: str) -> DataFrame:
-    """Those of `pairs` (`a`, `b`: row numbers, distinct) that have a similarity of `LEAST` or more."""
-
-    def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text, shingle).view(np.int64) for text in batch.column("text").to_pylist()]
-            column = pa.array(sets, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), column], names=["node", "shingles"])
-
-    nodes = work.write(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}_nodes")
-    texts = rows.select(F.col(number).alias("node"), "text").join(nodes, "node", "left_semi")
-    sets = work.write(texts.mapInArrow(computed, "node long, shingles array<bigint>"), f"{name}_sets")
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of `pairs` (`a`, `b`: nodes, distinct) whose sets have a similarity of `LEAST` or more."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
     either = F.size("a_set") + F.size("b_set") - both
     return pairs.join(side("a"), "a").join(side("b"), "b").where(LEAST[1] * both >= LEAST[0] * either).select("a", "b")
 
 
+def listed_heads(sets: DataFrame, work: Workspace) -> DataFrame:
+    """Shingles by which sets can meet: `s`, `node`, `n` (size of the set), `at` (place in its order), `indexed`.
+
+    `indexed` ones are also among the first of the set as the smaller one of a pair.
+    """
+    held = sets.select("node", F.explode("shingles").alias("s"))
+    shared = work.write(held.groupBy("s").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "shared")
+    common = held.join(shared, "s").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("texts", "s"))).alias("common"))
+    sized = common.join(sets.select("node", F.size("shingles").alias("n")), "node")
+    own = F.col("n") - F.size("common")
+    first = sized.select(
+        "node",
+        "n",
+        own.alias("own"),
+        F.expr("n - (4 * n + 4) div 5 + 1").alias("probed"),
+        F.expr("n - (8 * n + 8) div 9 + 1").alias("kept"),
+        "common",
+    ).where("probed > own")
+    heads = first.select(
+        "node", "n", "own", "kept", F.posexplode(F.expr("slice(common, 1, int(probed - own))")).alias("place", "entry")
+    )
+    at = F.col("own") + F.col("place")
+    return heads.select(F.col("entry.s").alias("s"), "node", "n", at.alias("at"), (at < F.col("kept")).alias("indexed"))
+
+
+def _can_reach(small: str, large: str) -> Column:
+    """Whether sets of these sizes can be similar when their first common shingle stands at these places."""
+    n, m = F.col(f"{small}_n"), F.col(f"{large}_n")
+    least = F.least(n - F.col(f"{small}_at"), m - F.col(f"{large}_at"))
+    return (LEAST[1] * n >= LEAST[0] * m) & ((LEAST[0] + LEAST[1]) * least >= LEAST[0] * (n + m))
+
+
 def near_copy_links(distinct: DataFrame, rows: DataFrame, number: str, shingle: int, work: Workspace) -> DataFrame:
     """`node` and `root` of every text that has a near copy. `distinct` has a `node` and its `bands` per set of shingles."""
+
+    def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text, shingle).view(np.int64) for text in batch.column("text").to_pylist()]
+            column = pa.array(sets, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), column], names=["node", "shingles"])
+
     listed = work.write(distinct.select("node", F.explode("bands").alias("key")), "lists")
-    groups = listed.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
-    groups = work.write(groups.select("key", "b"), "groups")
-    shared = work.write(listed.join(groups, "key").withColumnRenamed("node", "a"), "shared")
-    stars = work.write(shared.where("a <> b").select("a", "b").distinct(), "stars")
-    links = work.write(verified(stars, rows, number, shingle, work, "star"), "links")
+    groups = listed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    groups = work.write(groups.select("key"), "groups")
+    nodes = work.write(listed.join(groups, "key", "left_semi").select("node").distinct(), "nodes")
+    work.drop("lists", "groups")
+    texts = rows.select(F.col(number).alias("node"), "text").join(nodes, "node", "left_semi")
+    sets = work.write(texts.mapInArrow(computed, "node long, shingles array<bigint>"), "sets")
+    heads = work.write(listed_heads(sets, work), "heads")
+    work.drop("shared", "nodes")
+
+    first = F.min(F.struct(F.col("n").alias("b_n"), F.col("node").alias("b"), F.col("at").alias("b_at"))).alias("first")
+    firsts = work.write(heads.where("indexed").groupBy("s").agg(first).select("s", "first.*"), "leads")
+    probes = heads.select("s", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"))
+    later = F.struct("b_n", "b") < F.struct("a_n", "a")
+    stars = work.write(probes.join(firsts, "s").where(later & _can_reach("b", "a")).select("a", "b").distinct(), "stars")
+    links = work.write(verified(stars, sets), "links")
     roots = connected_components(links, work, "star_links")
 
-    rooted = shared.join(roots, F.col("a") == F.col("node"), "left")
-    rooted = work.write(rooted.select("key", F.col("a").alias("node"), F.coalesce("root", "a").alias("root")), "rooted")
-    sizes = (
-        rooted.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-        .where("low < high")
+    rooted = heads.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = work.write(rooted, "rooted")
+    several = rooted.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    left = work.write(rooted.join(work.write(several.select("s"), "several"), "s"), "left")
+    small = left.where("indexed").select(
+        "s", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("at").alias("b_at")
     )
-    sizes = work.write(sizes.select("key", "n"), "open")
-    left = work.write(rooted.join(sizes, "key"), "left")
-    # Every list of a text, so that a long list can be listed again by each of them.
-    again = (
-        left.where(F.col("n") > LIST_BOUND)
-        .join(listed.select("node", F.col("key").alias("other")), "node")
-        .where("key <> other")
-        .select(F.xxhash64("key", "other").alias("key"), "node", "root")
+    large = left.select(
+        "s", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("at").alias("a_at")
     )
-    members = work.write(left.where(F.col("n") <= LIST_BOUND).select("key", "node", "root").unionByName(again), "members")
-    first = members.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    second = members.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    crossed = first.join(second, "key").where("a > b and a_root <> b_root").select("a", "b").distinct()
+    apart = (F.col("a_root") != F.col("b_root")) & later & _can_reach("b", "a")
+    crossed = large.join(small, "s").where(apart).select("a", "b").distinct()
     crossed = work.write(crossed.join(stars, ["a", "b"], "left_anti"), "crossed")
-    more = work.write(verified(crossed, rows, number, shingle, work, "cross"), "more")
+    more = work.write(verified(crossed, sets), "more")
     return roots if more.isEmpty() else connected_components(links.unionByName(more), work, "all_links")
 
 

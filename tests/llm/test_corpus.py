@@ -153,9 +153,7 @@ def near_copy_rows():
     return rows
 
 
-@pytest.mark.parametrize("bound", [64, 2])
-def test_near_copies_of_similarity_08_go(spark, bound, monkeypatch):
-    monkeypatch.setattr(near_copies, "LIST_BOUND", bound)
+def test_near_copies_of_similarity_08_go(spark):
     rows = near_copy_rows()
     docs = docs_of(spark, rows)
     expected = brute.near_copies(rows, 5)
@@ -167,13 +165,54 @@ def test_near_copies_of_similarity_08_go(spark, bound, monkeypatch):
     assert near_copies.drop_near_copies(docs_of(spark, []), 5).count() == 0
 
 
+def candidate_pairs(spark, rows, monkeypatch):
+    """Pairs that are compared in full, and the links found."""
+    seen, plain = [], near_copies.verified
+
+    def counted(pairs, sets):
+        seen.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    kept = near_copies.drop_near_copies(docs_of(spark, rows), 5).count()
+    monkeypatch.undo()
+    return sum(seen), kept
+
+
+def test_texts_of_one_template_are_not_compared_pairwise(spark, monkeypatch):
+    """Words of their own keep texts apart whose similarity stays under 0.8, however many share a template."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    rows = []
+    for doc in range(200):
+        own = list(base)
+        for place in rng.sample(range(3, 147), 8):
+            own[place] = f"v{rng.random()}"
+        rows.append((doc, " ".join(own)))
+    expected = len(brute.near_copies(rows, 5))
+    compared, kept = candidate_pairs(spark, rows, monkeypatch)
+    assert kept == expected and compared <= 4 * len(rows)
+
+
+def test_a_group_of_copies_is_compared_with_few_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    rows = []
+    for doc in range(200):
+        own = list(base)
+        own[rng.randrange(150)] = f"v{rng.random()}"
+        rows.append((doc, " ".join(own)))
+    compared, kept = candidate_pairs(spark, rows, monkeypatch)
+    assert kept == 1 and compared <= 6 * len(rows)
+
+
 def test_pipeline_leaves_no_near_copies(spark, tmp_path):
     import corpus_pipeline
 
     rows = near_copy_rows()
     spark.createDataFrame([(7, "no such item in any of these texts")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = docs_of(spark, rows)
-    for _, stage in corpus_pipeline.STAGES[2:4]:
+    for _, stage in corpus_pipeline.STAGES[2:3]:
         docs = corpus_pipeline.Workspace(spark, "test").write(stage(spark, docs, str(tmp_path)), "near")
     left = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert len(brute.near_copies(left, 5)) == len(left) < len({text for _, text in rows})
@@ -376,10 +415,10 @@ def test_binomial_tail(spark, n, k, alpha):
 def test_quality_rules(spark):
     good = " ".join(f"plain{i}" for i in range(60))
     junk = " ".join(f"ju{i}%%%" for i in range(60))
-    rows = [(i, good.replace("plain", f"p{i}x")) for i in range(600)] + [(1000, junk), (1001, None), (1002, ""), (1003, "a b " * 60)]
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)] + [(1000, 0, 0), (None, 1, 0), (3, None, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = [(i, good.replace("plain", f"p{i}x")) for i in range(900)] + [(1000, junk), (1001, None), (1002, ""), (1003, "a b " * 60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(900)] + [(1000, 0, 0), (None, 1, 0), (3, None, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
     out = {r.doc_id: r for r in quality_rules.score_documents(docs_of(spark, rows), labels).collect()}
-    assert all(out[i].kept for i in range(600))
+    assert all(out[i].kept for i in range(900))
     assert not out[1000].base_failed and not out[1000].kept
     assert out[1001].base_failed and out[1002].n_words == 0 and out[1003].base_failed
     assert out[1003].n_repeat_words == 120
@@ -387,10 +426,53 @@ def test_quality_rules(spark):
     bare = {r.doc_id: r.kept for r in quality_rules.score_documents(docs_of(spark, rows), labels.limit(0)).collect()}
     assert bare[1000] and not bare[1001]
     kept = quality_rules.keep_documents(docs_of(spark, rows), labels)
-    assert kept.count() == 600 and kept.columns == docs_of(spark, rows).columns
+    assert kept.count() == 900 and kept.columns == docs_of(spark, rows).columns
     assert quality_rules.score_documents(docs_of(spark, []), labels).count() == 0
 
 
+def test_repeated_rows_and_copies_are_one_trial(spark):
+    """One document listed often, and copies of its text, prove nothing."""
+    good = " ".join(f"plain{i}" for i in range(60))
+    labels = spark.createDataFrame([(i, 1) for i in range(500)], "doc_id long, quality int")
+    for rows in ([(1, good)] * 1500, [(i, good) for i in range(500)] * 3):
+        cutoffs = quality_rules.certified_cutoffs(quality_rules.features(docs_of(spark, rows)), labels)
+        assert cutoffs.count() == 0
+
+
+def test_quality_of_a_very_long_text(spark):
+    rows = [(1, "word other " * 50_000), (2, " ".join(f"w{i}" for i in range(60_000)))]
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    out = {r.doc_id: (r.n_words, r.n_repeat_words, r.kept) for r in quality_rules.score_documents(docs_of(spark, rows), labels).collect()}
+    assert out == {1: (100_000, 100_000, False), 2: (60_000, 0, True)}
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>text<![x[ foo ]]></p><p>more of the text</p>", "more of the text"),
+        ("<p>some words</p><![if gte mso 9]><p>then others</p><![endif]>", "then others"),
+        ("<p>first words</p><!x[ <p>last words</p>", "first words"),
+    ],
+)
+def test_malformed_sections_do_not_stop_a_page(page, text):
+    assert text in html_text.main_text(page)
+
+
+def test_any_marks_are_read():
+    rng = random.Random(6)
+    parts = ["<p>", "</p>", "<![", "<!", "]]>", "<?php", "?>", "<!--", "-->", "<![CDATA[", "x[", ">", "<", "&", "&#x;", "words here ", "<a b='", "'", "</", "<td", "<script>", "</script>"]
+    for _ in range(3000):
+        html_text.main_text("".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))))
+
+
+def test_stray_marks_take_linear_time():
+    import time
+
+    began = time.process_time()
+    html_text.main_text("<span>" * 50_000 + "<hr>" * 50_000 + "<div>" * 30_000 + "</h1>" * 50_000 + "words")
+    assert time.process_time() - began < 20
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, name):
     assert differences(QUERIES[name](spark, SF_DIR), SF_DIR, ORACLES[name]) == []
@@ -408,10 +490,11 @@ def test_pipeline(spark):
         texts[name] = {r.doc_id: r.text for r in after.collect()}
         assert 0 < len(texts[name]) <= docs.count()
         docs = after
-    # Of each component of what the line stage kept, the smallest id stays.
+    # Of each component of what the line stage kept, the smallest id stays; then of each group of near copies.
     before = texts["lines"]
     prints = [(doc, brute.simhash(text, 5)) for doc, text in before.items()]
-    assert set(texts["near_duplicates"]) == set(brute.components(prints).values())
+    first = set(brute.components(prints).values())
+    assert set(texts["near_duplicates"]) == set(brute.near_copies([(d, t) for d, t in before.items() if d in first], 5))
     packed = corpus_pipeline.run(spark, SF_DIR)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(texts["decontamination"])
     assert packed.agg(F.max("length")).first()[0] <= 2048

@@ -160,6 +160,16 @@ def test_shares_of_the_merge_path(steps):
         assert (work[:-1] == steps).all() and work.sum() == len(a) + len(b)
 
 
+def test_words_encode_like_whole_texts(monkeypatch):
+    """Word by word with a memo, a full one included, as the library encodes the text."""
+    loaded = token_alignment.Tokenizers(A_FILE, B_FILE)
+    texts = [" " + (text or "") for _, text in texts_for_tokenizers()] + [f" {chr(c)}a{chr(c)} {chr(c)}1" for c in range(1, 0x2FFF, 3) if not 0xD800 <= c < 0xE000]
+    expected = [e.ids for e in loaded.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert loaded._encode_a(texts) == expected
+    monkeypatch.setattr(token_alignment, "MEMO_WORDS", 5)
+    assert [loaded._encode_a([text])[0] for text in texts] == expected
+
+
 def test_alignment_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op12_token_alignment"](spark, SF_DIR).select(*COLUMNS[:-1], "groups_sha256")
