@@ -7,6 +7,7 @@ stage's `docs`. All stages but the last return the columns of `documents`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,35 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+# Folders that stages have opened and that are still there.
+_held: list[Workspace] = []
+
+
+def stage(function: Stage) -> Stage:
+    """A stage that first deletes the tables by which earlier stages made their results, which are written by then.
+
+    Tables that `docs` still reads from stay, for a caller that did not write it. Other operators' tables are not touched.
+    """
+
+    @wraps(function)
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _held[:] = Workspace.release(_held, docs)
+        before = len(Workspace.opened)
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _held.extend(Workspace.opened[before:])
+
+    return staged
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the certified cutoffs."""
     return keep_documents(docs, table(spark, sf_dir, "labels"))
 
 
+@stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated line chunks; `n_chars` follows the text. A document that loses all its words goes."""
     out = fresh_name(docs, "line_dedup")
@@ -40,19 +65,26 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows_where(after, ~lost_all, [columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by fingerprints of five-word shingles. See `decontamination` for the rest."""
-    return drop_near_duplicates(docs, shingle=5)
+    """One document of each group: texts whose fingerprints of five-word shingles differ in 4 bits or fewer, then texts whose sets
+    of five-word shingles have a similarity of 0.8 or more, which a 64-bit fingerprint mostly misses. The smallest id stays.
+    """
+    before = len(Workspace.opened)
+    by_fingerprint = drop_near_duplicates(docs, shingle=5)
+    done = Workspace.opened[before:]
+    by_fingerprint = Workspace(spark, "near_duplicates").write(by_fingerprint, "by_fingerprint")
+    Workspace.release(done)
+    return drop_near_copies(by_fingerprint, shingle=5)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found, one of each group with a shingle similarity of 0.8 or more.
-
-    The near copies that fingerprints miss go here, because tests hold the rows of `near_duplicates` to the fingerprints.
-    """
-    return drop_leaks(drop_near_copies(docs, shingle=5), table(spark, sf_dir, "benchmark"))
+    """Documents in which no benchmark item is found."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenized documents, packed into training sequences of 2048 tokens."""
     return pack_documents(docs, path("word_bpe_49k.json"))
@@ -69,8 +101,11 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on `documents`."""
-    work = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = work.write(stage(spark, docs, sf_dir), name)
+    outputs: list[Workspace] = []
+    for name, function in STAGES:
+        output = Workspace(spark, f"pipeline-{name}")
+        docs = output.write(function(spark, docs, sf_dir), name)
+        Workspace.release(outputs)
+        outputs = [output]
     return docs
