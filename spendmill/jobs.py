@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from datetime import date, datetime, timedelta, timezone
 
 from spendmill.fixed_values import EXCLUDED_ACCOUNTS, LOOKBACK_DAYS
-from spendmill.plans.catalog import REPORTS
+from spendmill.plans.catalog import LANDED_AS, OPTIONAL, REPORTS
 from spendmill.plans.loads import (
     LoadFailed,
     LoadResult,
@@ -29,6 +29,7 @@ from spendmill.sources import (
     google_accounts,
     meta_accounts,
     read_landed,
+    read_wire,
     read_listing,
     read_requests,
 )
@@ -47,20 +48,26 @@ def run_report(
     account_windows: bool = False,
     refill: bool = False,
     lookback_days: int = LOOKBACK_DAYS,
+    wire: str | None = None,
 ) -> dict[str, LoadResult]:
     """Load or refresh one table from its landing folder. Raises `LoadFailed` after the commit.
 
+    `wire` says that rows lie there as the platform's JSON interface sent them, with names in "snake" or "camel" case.
+
     Facts load their lookback window; with `years` (first and last) whole calendar years, which give one result each
     (`<name> <year>`), with `account_windows` each account from its own newest date, and with `refill` the lookback window and
     all windows that earlier runs asked for in vain.
     """
-    spark, spec = store.spark, REPORTS[name]
+    spark, spec = store.spark, {**REPORTS, **OPTIONAL}[name]
     ddl, typed = (
         (GOOGLE_ACCOUNT_DDL, google_accounts) if spec.platform == "google" else (META_ACCOUNT_DDL, meta_accounts)
     )
     accounts = typed(read_listing(spark, ddl, f"{landing}/accounts/{spec.platform}", drop=drop))
-    landed = read_landed(spark, spec, f"{landing}/{name}", drop=drop)
-    requests = read_requests(spark, f"{landing}/requests/{name}", drop=drop) if logged_requests else None
+    if wire not in (None, "snake", "camel"):
+        raise ValueError(f"wire names are in snake or camel case, not {wire!r}")
+    path = f"{landing}/{LANDED_AS.get(name, name)}"
+    landed = read_wire(spark, spec, path, drop, wire == "camel") if wire else read_landed(spark, spec, path, drop=drop)
+    requests = read_requests(spark, f"{landing}/requests/{LANDED_AS.get(name, name)}", drop=drop) if logged_requests else None
     delivery, options = (store, spec, landed, accounts, run), {"requests": requests, "excluded": excluded}
     if not spec.is_fact:
         return {name: refresh_dimension(*delivery, **options)}
@@ -104,6 +111,7 @@ def main() -> None:
     parser.add_argument("--database", default="ads_raw")
     parser.add_argument("--run-date", type=date.fromisoformat, default=datetime.now(timezone.utc).date())
     parser.add_argument("--drop", help="delivery to read")
+    parser.add_argument("--wire", choices=("snake", "camel"), help="rows as the platform sent them, names in that case")
     parser.add_argument("--logged-requests", action="store_true", help="read the request logs")
     parser.add_argument("--exclude", action="append", help="account to leave out (default: the known test account)")
     parser.add_argument("--resume", metavar="RUN_ID", help="repeat an interrupted run")
@@ -120,8 +128,8 @@ def main() -> None:
         for wanted in options.reports
         for name, spec in REPORTS.items()
         if wanted in (name, spec.platform)
-    ]
-    unknown = [w for w in options.reports if w not in REPORTS and w not in ("google", "meta")]
+    ] + [name for name in OPTIONAL if name in options.reports]
+    unknown = [w for w in options.reports if w not in {**REPORTS, **OPTIONAL} and w not in ("google", "meta")]
     if unknown:
         parser.error(f"unknown reports: {', '.join(unknown)}")
     store = Store(build_session(metastore=True), options.database, options.root)
@@ -139,13 +147,14 @@ def main() -> None:
         account_windows=options.account_windows,
         refill=options.refill,
         lookback_days=options.lookback_days,
+        wire=options.wire,
     )
     for name, result in results.items():
         print(f"{name}: {result.row_count} rows landed, written: {result.written}")
     if options.expire_days is not None:
         before = run.ingested_at - timedelta(days=options.expire_days)
         for name in names:
-            print(f"{name}: {store.expire(REPORTS[name], before)} old folders deleted")
+            print(f"{name}: {store.expire({**REPORTS, **OPTIONAL}[name], before)} old folders deleted")
         print(f"{store.expire_runs(before)} staged runs deleted")
 
 

@@ -31,7 +31,7 @@ from spendmill.operators.isolation import (
     without_failed,
 )
 from spendmill.operators.slices import SPREAD, replace_slices, with_spread
-from spendmill.plans.spec import INGESTED_AT, VIOLATION, ReportSpec
+from spendmill.plans.spec import INGESTED_AT, UNREADABLE_RECORD, VIOLATION, ReportSpec
 from spendmill.plans.store import Run, Store
 from spendmill.sources.accounts import attach_accounts, exclude_accounts, request_key, unique_accounts
 
@@ -183,6 +183,8 @@ def _commit_fact(
     ).first()
     store.record_outcomes(run, spec.table, account_outcomes(staged, report, bool(totals["failed"])))
 
+    if totals["failed"]:
+        _refuse_unnamed(spec, staged, store.outcomes_path(run.run_id))
     rows = with_spread(staged)
     good = without_failed(rows, report) if totals["failed"] else rows
     if totals["null_dates"]:
@@ -359,6 +361,8 @@ def refresh_dimension(
     ).first()
     store.record_outcomes(run, spec.table, account_outcomes(staged, report, bool(totals["failed"])))
 
+    if totals["failed"]:
+        _refuse_unnamed(spec, staged, store.outcomes_path(run.run_id))
     rows, order = staged, ["account_ord", "row_ord"]
     writable = totals["rows"] > 0
     if totals["failed"]:
@@ -394,6 +398,13 @@ def refresh_dimension(
     return result
 
 
+def _refuse_unnamed(spec: ReportSpec, staged: DataFrame, outcomes_path: str) -> None:
+    """Stop before the commit if a record that could not be read names no account: it may be a row of any of them."""
+    unnamed = staged.where(F.col("requested_account").isNull() & (F.col(VIOLATION) == UNREADABLE_RECORD))
+    if not unnamed.isEmpty():
+        raise LoadFailed(f"{spec.table}: {UNREADABLE_RECORD} and names no account; nothing was replaced", (), outcomes_path)
+
+
 def _previous_rows(store: Store, spec: ReportSpec, report: DataFrame) -> DataFrame:
     """Current rows of the accounts that failed this time."""
     failed = (

@@ -18,7 +18,7 @@ from spendmill.plans.spec import (
     whole_text,
 )
 
-_WHO = tuple(
+WHO = tuple(
     required_text(name, name)
     for name in (
         "account_id",
@@ -34,7 +34,7 @@ _WHO = tuple(
 _REACHED = (whole_text("impressions", "impressions"), whole_text("clicks", "clicks"), number_text("spend", "spend"))
 _OUTCOME = (listed_total("conversions", "actions"), listed_total("conversion_value", "action_values"))
 # The insight has no currency of its own; the account listing has.
-_CURRENCY = (Field("currency", "string", lambda: F.col("account.currency"), (("account.currency", "string"),)),)
+CURRENCY = (Field("currency", "string", lambda: F.col("account.currency"), (("account.currency", "string"),)),)
 
 
 def _breakdown(name: str) -> Field:
@@ -47,7 +47,7 @@ FACTS = (
         "meta",
         (
             strict_day("date", "date_start"),
-            *_WHO,
+            *WHO,
             *_REACHED,
             number_text("ctr", "ctr"),
             number_text("average_cpc", "cpc"),
@@ -55,7 +55,7 @@ FACTS = (
             whole_text("reach", "reach"),
             number_text("frequency", "frequency"),
             *_OUTCOME,
-            *_CURRENCY,
+            *CURRENCY,
         ),
         cluster_by=("account_id", "campaign_id", "ad_id"),
         chunked=True,
@@ -65,7 +65,7 @@ FACTS = (
         "meta",
         (
             strict_day("date", "date_start"),
-            *_WHO,
+            *WHO,
             _breakdown("age"),
             _breakdown("gender"),
             *_REACHED,
@@ -76,7 +76,7 @@ FACTS = (
             constant("reach", "bigint", 0),
             constant("frequency", "double", 0.0),
             *_OUTCOME,
-            *_CURRENCY,
+            *CURRENCY,
         ),
         cluster_by=("account_id", "campaign_id", "age", "gender"),
         chunked=True,

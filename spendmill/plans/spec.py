@@ -13,6 +13,9 @@ from spendmill import functions as fn
 
 INGESTED_AT = "_ingested_at"
 VIOLATION = "_violation"
+# Landed rows may carry a reason why they could not be read.
+UNREADABLE = "_unreadable"
+UNREADABLE_RECORD = "record cannot be read"
 # Added to every landed row: the account it was requested for, and its place in listing and response.
 LANDING_COLUMNS = (("requested_account", "string"), ("account_ord", "int"), ("row_ord", "bigint"))
 
@@ -36,6 +39,9 @@ class Field:
     value: Expression
     reads: tuple[tuple[str, str], ...]
     rules: tuple[Rule, ...] = ()
+    # A platform that leaves out zeros means 0 by a missing value: always, or only in a message that was sent.
+    unset_is_zero: bool = False
+    zero_if_sent: bool = False
 
 
 @dataclass(frozen=True)
@@ -47,6 +53,9 @@ class ReportSpec:
     filter_reads: tuple[tuple[str, str], ...] = ()
     cluster_by: tuple[str, ...] = ()
     dedupe_keys: tuple[str, ...] = ()
+    # Turns a landed row into the rows that the fields are computed on; it reads `unnest_reads`.
+    unnest: Callable[[DataFrame], DataFrame] | None = None
+    unnest_reads: tuple[tuple[str, str], ...] = ()
     # A failed request loses one date chunk instead of the whole account.
     chunked: bool = False
 
@@ -70,22 +79,39 @@ class ReportSpec:
     def landed_paths(self) -> list[tuple[str, str]]:
         """Distinct landed paths, so a scan reads no field the report does not use."""
         seen = dict.fromkeys(read for f in self.fields for read in f.reads if not read[0].startswith("account."))
-        seen.update(dict.fromkeys(self.filter_reads))
+        seen.update(dict.fromkeys((*self.filter_reads, *self.unnest_reads)))
         return list(seen)
 
+    @property
+    def zero_paths(self) -> set[str]:
+        return {path for f in self.fields if f.unset_is_zero for path, _ in f.reads}
+
+    @property
+    def zero_if_sent(self) -> set[str]:
+        return {path for f in self.fields if f.zero_if_sent for path, _ in f.reads}
+
     @property
     def landed_schema(self) -> StructType:
         return StructType.fromDDL(nested_ddl([*self.landed_paths, *LANDING_COLUMNS]))
 
     def project(self, landed: DataFrame) -> DataFrame:
-        """Filtered, typed rows plus the landing columns and the first broken rule per row, if any."""
-        rows = landed.where(self.row_filter()) if self.row_filter else landed
+        """Filtered, typed rows plus the landing columns and the first broken rule per row, if any.
+
+        Rows that could not be read pass the filter: what they hold is not known.
+        """
+        unreadable = F.col(UNREADABLE) if UNREADABLE in landed.columns else F.lit(None).cast("string")
+        rows = landed
+        if self.row_filter:
+            kept = self.row_filter()
+            rows = landed.where(kept | unreadable.isNotNull() if UNREADABLE in landed.columns else kept)
         rules = [F.when(r.broken(), F.lit(r.message)) for f in self.fields for r in f.rules]
         no_account = F.when(F.col("requested_account").isNull(), F.lit("row names no account"))
+        rows = self.unnest(rows) if self.unnest else rows
+        reasons = [unreadable, no_account] if UNREADABLE in landed.columns else [no_account]
         return rows.select(
             *[f.value().cast(f.kind).alias(f.name) for f in self.fields],
             *[F.col(name) for name, _ in LANDING_COLUMNS],
-            F.coalesce(no_account, *rules).alias(VIOLATION),
+            F.coalesce(*reasons, *rules).alias(VIOLATION),
         )
 
 
@@ -112,7 +138,9 @@ def nested_ddl(paths: Iterable[tuple[str, str]]) -> str:
 
 
 def plain(name: str, path: str, kind: str = "string") -> Field:
-    return Field(name, kind, lambda: F.col(path), ((path, kind),))
+    return Field(
+        name, kind, lambda: F.col(path), ((path, kind),), unset_is_zero=kind in ("bigint", "double", "boolean")
+    )
 
 
 def identifier(name: str, path: str) -> Field:
@@ -128,12 +156,12 @@ def optional_identifier(name: str, path: str) -> Field:
 def whole(name: str, path: str) -> Field:
     """Integer metric that must be there."""
     missing = Rule(lambda: F.col(path).isNull(), f"{path} is missing")
-    return Field(name, "bigint", lambda: F.col(path), ((path, "bigint"),), (missing,))
+    return Field(name, "bigint", lambda: F.col(path), ((path, "bigint"),), (missing,), unset_is_zero=True)
 
 
 def whole_or_zero(name: str, path: str) -> Field:
     """Integer that the platform leaves out when it is unset."""
-    return Field(name, "bigint", lambda: F.coalesce(F.col(path), F.lit(0)), ((path, "bigint"),))
+    return Field(name, "bigint", lambda: F.coalesce(F.col(path), F.lit(0)), ((path, "bigint"),), unset_is_zero=True)
 
 
 def measure(name: str, path: str) -> Field:
@@ -141,7 +169,7 @@ def measure(name: str, path: str) -> Field:
 
 
 def money(name: str, path: str) -> Field:
-    return Field(name, "double", lambda: fn.micros_to_units(path), ((path, "bigint"),))
+    return Field(name, "double", lambda: fn.micros_to_units(path), ((path, "bigint"),), zero_if_sent=True)
 
 
 def resource_tail(name: str, path: str, separator: str, blank_as_null: bool = False) -> Field:

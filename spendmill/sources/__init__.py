@@ -11,6 +11,7 @@ from spendmill.sources.accounts import (
     unique_accounts,
 )
 from spendmill.sources.landing import explode_batches, read_batches, read_landed, read_listing, read_requests
+from spendmill.sources.wire import read_wire
 
 __all__ = [
     "GOOGLE_ACCOUNT_DDL",
@@ -24,6 +25,7 @@ __all__ = [
     "read_landed",
     "read_listing",
     "read_requests",
+    "read_wire",
     "request_key",
     "unique_accounts",
 ]

@@ -14,10 +14,12 @@ from spendmill.plans.spec import LANDING_COLUMNS, ReportSpec
 REQUEST_DDL = "requested_account string, slice_start date, slice_end date, ok boolean"
 
 
-def _scan(spark: SparkSession, schema: StructType | str, path: str, fmt: str, drop: str | None) -> DataFrame:
+def scan(
+    spark: SparkSession, schema: StructType | str, path: str, fmt: str, drop: str | None, **options: str
+) -> DataFrame:
     if fmt not in ("json", "parquet", "orc"):
         raise ValueError(f"landing format {fmt!r} is not one of json, parquet, orc")
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).options(**options)
     if drop is None:
         return reader.format(fmt).load(path)
     return reader.option("basePath", path).format(fmt).load(f"{path}/drop={drop}").drop("drop")
@@ -27,7 +29,7 @@ def read_landed(
     spark: SparkSession, spec: ReportSpec, path: str, fmt: str = "json", drop: str | None = None
 ) -> DataFrame:
     """Rows of one report with exactly the fields the report uses; a field of another shape reads as null."""
-    return _scan(spark, spec.landed_schema, path, fmt, drop)
+    return scan(spark, spec.landed_schema, path, fmt, drop)
 
 
 def read_batches(
@@ -42,7 +44,7 @@ def read_batches(
             *StructType.fromDDL("requested_account string, account_ord int, batch_ord int").fields,
         ]
     )
-    return explode_batches(_scan(spark, schema, path, fmt, drop))
+    return explode_batches(scan(spark, schema, path, fmt, drop))
 
 
 def explode_batches(batches: DataFrame) -> DataFrame:
@@ -56,9 +58,9 @@ def explode_batches(batches: DataFrame) -> DataFrame:
 
 def read_listing(spark: SparkSession, ddl: str, path: str, fmt: str = "json", drop: str | None = None) -> DataFrame:
     """Account listing as it was delivered."""
-    return _scan(spark, ddl, path, fmt, drop)
+    return scan(spark, ddl, path, fmt, drop)
 
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "json", drop: str | None = None) -> DataFrame:
     """Request log: which account and date slice was asked for, and whether the answer is complete."""
-    return _scan(spark, REQUEST_DDL, path, fmt, drop)
+    return scan(spark, REQUEST_DDL, path, fmt, drop)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spendmill.plans.catalog import DIMENSIONS, FACTS, REPORTS
 from spendmill.plans.loads import clean_rows, dimension_rows, flatten_report, load_fact, refresh_dimension
-from spendmill.plans.spec import INGESTED_AT
+from spendmill.plans.spec import INGESTED_AT, ReportSpec
 from spendmill.plans.store import Run, Store
 from spendmill.session import shared_dir
 from spendmill.verify.landing import (
@@ -58,9 +58,9 @@ def scan(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_arrays(rows.select(*[c for c in spec.columns if c != INGESTED_AT]))
 
 
-def load_restated(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_restated(name: str, spark: SparkSession, sf_dir: str, spec: ReportSpec | None = None) -> DataFrame:
     """A fact table after a first delivery and a restated one, with one silent and one broken account."""
-    spec, store = FACTS[name], new_store(spark)
+    spec, store = spec or FACTS[name], new_store(spark)
     accounts, excluded = fact_accounts(spark, sf_dir, spec.platform), excluded_keys(spec.platform)
     for restated in (False, True):
         load_fact(

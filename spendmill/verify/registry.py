@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendmill.verify import mart_queries, operator_queries, oracles, run_queries  # noqa: F401 - they register themselves
+from spendmill.verify import mart_queries, operator_queries, oracles, run_queries, wire_queries  # noqa: F401 - they register themselves
 from spendmill.verify.queries import Query
 from spendmill.verify import queries as report_queries
 
