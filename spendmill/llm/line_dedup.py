@@ -1,55 +1,55 @@
 """Removal of line blocks that the corpus repeats (built-in functions only).
 
-A text is cut into chunks of lines at places that its content chooses: a rolling hash over the hashes of the last `WINDOW`
-lines ends a chunk when it is divisible by `DIVISOR`. A line inserted anywhere therefore moves no boundary beyond its own
-neighbourhood. A boundary directly after another one does not count, so a chunk has two lines or more. Chunks of one line
-exist only in texts of one line and are never removed.
+A text is cut into chunks of lines at places that its content chooses: a rolling hash over the hashes of two neighbouring
+lines stands for the place between them, and a place is a boundary if its value is smaller than those beside it. A line
+inserted anywhere therefore moves no boundary beyond its own neighbourhood, and a chunk has two lines or more. A second
+chunking takes the largest values instead, so that a block whose ends fall badly in one is cut differently in the other. In a
+run of equal lines, which has no smallest value, every second place is a boundary. Chunks of one line exist only in texts of
+one line and at the ends of such runs; they are never removed.
 
 Chunks with equal hashes are compared byte by byte, in groups of (hash, chunk text). Of each group of equal chunks the first
-stays: the one of the smallest document id (null last), then text key, then place; all others are removed.
+stays: the one of the smallest document id (null last), then text key, then place; all others are removed. Chunks of the two
+chunkings may overlap; every removed line then has an equal line before it in that order, so one copy of each line stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendmill.llm.common import Workspace, fresh_name, text_key
 
-WINDOW = 3
-DIVISOR = 3
 BASE = 1_000_003
 PRIME = 2_147_483_647
 KEY = ["d", "k1", "k2"]
 
 
-def _rolling(line_hashes: str, at: str) -> str:
-    """Rabin-Karp value of the lines `at - WINDOW + 1 .. at` (missing ones count as 0)."""
-    terms = [
-        f"coalesce(get({line_hashes}, {at} - {back}), 0L) * {pow(BASE, back, PRIME)}L % {PRIME}L" for back in range(WINDOW)
-    ]
-    return f"(({' + '.join(terms)}) % {PRIME}L)"
-
-
 def chunks_of(lines: str, line_hashes: str) -> Column:
-    """Array of (start, len) covering all lines. `lines` and `line_hashes` name columns.
+    """Array of (start, len): the chunks of both chunkings, each of which covers all lines. Both arguments name columns.
 
-    The end of the text closes a chunk; the boundary one line before it does not count, which keeps the last chunk long.
+    The end of the text closes a chunk; a boundary one line after the start or before the end does not count, which keeps the
+    first and the last chunk long.
     """
     n = f"size({lines})"
-    cuts = f"transform(sequence(0, {n} - 1), i -> {_rolling(line_hashes, 'i')} % {DIVISOR} = 0)"
-    ends = (
-        f"filter(sequence(0, {n} - 1), i -> i = {n} - 1"
-        f" or (i > 0 and i < {n} - 2 and get(cuts, i) and not get(cuts, i - 1)))"
-    )
-    return F.expr(
-        f"transform(array({cuts}), cuts -> transform(array({ends}), ends ->"
-        " transform(ends, (e, k) -> named_struct('start', if(k = 0, 0, get(ends, k - 1) + 1),"
-        " 'len', e - if(k = 0, -1, get(ends, k - 1)))))[0])[0]"
+    values = (
+        f"zip_with(slice({line_hashes}, 1, {n} - 1), slice({line_hashes}, 2, {n} - 1), (a, b) -> (a * {BASE}L + b) % {PRIME}L)"
     )
 
+    def chunking(less: str) -> str:
+        here, before, after = "get(values, i)", "get(values, i - 1)", "get(values, i + 1)"
+        ends = (
+            f"filter(sequence(0, {n} - 1), i -> i = {n} - 1 or (i >= 1 and i <= {n} - 3 and"
+            f" (({here} {less} {before} and {here} {less}= {after}) or ({here} = {before} and i % 2 = 1))))"
+        )
+        return (
+            f"transform(array({ends}), ends -> transform(ends, (e, k) -> named_struct('start', if(k = 0, 0, get(ends, k - 1) + 1),"
+            " 'len', e - if(k = 0, -1, get(ends, k - 1)))))[0]"
+        )
+
+    return F.expr(f"transform(array({values}), values -> array_union({chunking('<')}, {chunking('>')}))[0]")
+
 
 def chunked(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Per row: its key (document id and text key), the multi-line chunks with their hashes, and the columns to `carry`."""
@@ -111,7 +111,18 @@ def repeated_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
     )
     removed = candidates.join(work.write(kept, "kept"), ["hash", "chunk"]).where(~_first(place).eqNullSafe(F.col("first")))
     work.drop("chunks", "twice")
-    return removed.groupBy(*KEY).agg(F.collect_set(F.struct("start", "len")).alias("removed"))
+    return _spans(removed).groupBy(*KEY).agg(F.collect_set(F.struct("start", "len")).alias("removed"))
+
+
+def _spans(removed: DataFrame) -> DataFrame:
+    """(key, start, len) of the maximal runs of lines that the given chunks cover. A window holds the chunks of one document."""
+    end = F.col("start") + F.col("len")
+    document = Window.partitionBy(*KEY).orderBy("start", "len")
+    reached = F.max(end).over(document.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > F.col("reached"), F.lit(True)).cast("int")
+    runs = removed.select(*KEY, "start", "len").withColumn("reached", reached)
+    runs = runs.withColumn("run", F.sum(opens).over(document.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*KEY, "run").agg(F.min("start").alias("start"), (F.max(end) - F.min("start")).alias("len"))
 
 
 def _by_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -127,7 +138,7 @@ def _by_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """Adds to every row of `docs` its kept text and counts, in a struct column `line_dedup`.
 
-    Struct: `text`, `n_lines`, `n_removed` and `removed` (start and length of each removed chunk, by start). A null or empty
+    Struct: `text`, `n_lines`, `n_removed` and `removed` (start and length of each removed run of lines, by start). A null or empty
     text has one empty line and stays empty. Rows that agree in document id and text are one document and get the same
     result. Other columns are passed on untouched, whatever their names.
     """

@@ -6,7 +6,7 @@ Operators that SQL cannot express have no entry; their tests hold them against b
 from __future__ import annotations
 
 from spendmill.llm.license_scan import BASE_PHRASES, MIN_VOTES, TEMPLATES, TOP
-from spendmill.llm.line_dedup import BASE, DIVISOR, PRIME, WINDOW
+from spendmill.llm.line_dedup import BASE, PRIME
 from spendmill.llm.quality_rules import LADDERS, Risk
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,24 +60,22 @@ LEFT JOIN (SELECT r, max(share) AS share, count(*) AS n_found FROM shares GROUP
 
 
 def line_dedup() -> str:
-    terms = " + ".join(
-        f"coalesce(lag(v, {b}) OVER d, 0) * {pow(BASE, b, PRIME)} % {PRIME}" if b else f"v % {PRIME}" for b in range(WINDOW)
-    )
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-lines AS (SELECT r, doc_id, md5(text) AS t, text, len(ls) AS n, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM docs),
-hashed AS (SELECT *, ('0x' || substr(md5(l), 1, 7))::BIGINT AS v FROM lines),
-cut AS (SELECT *, (({terms}) % {PRIME}) % {DIVISOR} = 0 AS c FROM hashed WINDOW d AS (PARTITION BY r ORDER BY i)),
-ends AS (SELECT *, i = n - 1 OR (i > 0 AND i < n - 2 AND c AND NOT lag(c) OVER d) AS e FROM cut
-  WINDOW d AS (PARTITION BY r ORDER BY i)),
-numbered AS (SELECT *, sum(e::INT) OVER (PARTITION BY r ORDER BY i) - e::INT AS chunk FROM ends),
-chunks AS (SELECT r, doc_id, t, chunk, min(i) AS start, count(*) AS len, string_agg(l, chr(10) ORDER BY i) AS body
-  FROM numbered GROUP BY r, doc_id, t, chunk),
+lines AS (SELECT r, doc_id, md5(text) AS t, len(ls) AS n, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM docs),
+hashed AS (SELECT *, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h FROM lines),
+rolled AS (SELECT *, (h * {BASE} + lead(h) OVER d) % {PRIME} AS v FROM hashed WINDOW d AS (PARTITION BY r ORDER BY i)),
+signed AS (SELECT * EXCLUDE (v), v * sign AS v, sign FROM rolled, (VALUES (1), (-1)) AS signs(sign)),
+beside AS (SELECT *, lag(v) OVER d AS p, lead(v) OVER d AS q FROM signed WINDOW d AS (PARTITION BY r, sign ORDER BY i)),
+ends AS (SELECT *, i = n - 1 OR (i > 0 AND i < n - 2 AND ((v < p AND v <= q) OR (v = p AND i % 2 = 1))) AS e FROM beside),
+numbered AS (SELECT *, sum(e::INT) OVER (PARTITION BY r, sign ORDER BY i) - e::INT AS chunk FROM ends),
+chunks AS (SELECT r, sign, doc_id, t, chunk, min(i) AS start, count(*) AS len, string_agg(l, chr(10) ORDER BY i) AS body
+  FROM numbered GROUP BY r, sign, doc_id, t, chunk),
 copies AS (SELECT *, dense_rank() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, start) AS k FROM chunks WHERE len > 1),
-gone AS (SELECT DISTINCT r, chunk FROM copies WHERE k > 1),
-kept AS (SELECT n.r, string_agg(l, chr(10) ORDER BY i) FILTER (g.chunk IS NULL) AS text, count(g.chunk) AS n_removed
-  FROM numbered n LEFT JOIN gone g ON g.r = n.r AND g.chunk = n.chunk GROUP BY n.r)
+gone AS (SELECT DISTINCT r, unnest(range(start, start + len)) AS i FROM copies WHERE k > 1),
+kept AS (SELECT n.r, string_agg(l, chr(10) ORDER BY n.i) FILTER (g.i IS NULL) AS text, count(g.i) AS n_removed
+  FROM lines n LEFT JOIN gone g ON g.r = n.r AND g.i = n.i GROUP BY n.r)
 SELECT doc_id, len(ls) AS n_lines, n_removed, coalesce(kept.text, '') AS text FROM docs JOIN kept USING (r)
 """
 

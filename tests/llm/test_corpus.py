@@ -366,6 +366,35 @@ def test_line_dedup(spark):
     assert remove_repeated_lines(docs_of(spark, [])).count() == 0
 
 
+def test_repeated_line_blocks_are_found(spark):
+    """Share of the lines of later copies that go, for blocks that stand in two texts between lines of their own."""
+    rng = random.Random(11)
+    line = lambda: f"{rng.getrandbits(60):x}"
+    for size, share in ((6, 0.5), (10, 0.7), (20, 0.85), (40, 0.92)):
+        rows, blocks = [], {}
+        for k in range(60):
+            blocks[k] = [line() for _ in range(size)]
+            for copy in (0, 1):
+                rows.append((2 * k + copy, "\n".join([*(line() for _ in range(15)), *blocks[k], *(line() for _ in range(15))])))
+        out = {r.doc_id: r.line_dedup_ for r in remove_repeated_lines(docs_of(spark, rows)).collect()}
+        assert all(out[2 * k].n_removed == 0 for k in blocks)
+        for k, block in blocks.items():
+            kept = out[2 * k + 1].text.split("\n")
+            assert kept == [x for x in rows[2 * k + 1][1].split("\n") if x not in block or x in kept]
+            assert len(kept) >= 30 and out[2 * k + 1].n_removed == 30 + size - len(kept)
+        assert sum(out[2 * k + 1].n_removed for k in blocks) >= share * size * len(blocks)
+
+
+def test_a_run_of_equal_lines_is_cut(spark):
+    run = ["a", *["same"] * 181, "b"]
+    rows = [(1, "\n".join(run)), (2, "\n".join(["c", "d", "e", *["same"] * 7, "f", "g"])), (2, None), (None, "\n".join(run))]
+    out = {(r.doc_id, r.text): r.line_dedup_ for r in remove_repeated_lines(docs_of(spark, rows)).collect()}
+    first, second, last = out[1, rows[0][1]], out[2, rows[1][1]], out[None, rows[3][1]]
+    assert first.n_removed >= 170 and {"a", "same", "b"} == set(first.text.split("\n"))
+    assert second.n_removed >= 4 and set("cdefg") <= set(second.text.split("\n"))
+    assert last.n_removed == 183 and last.text == "" and out[2, None].text == ""
+
+
 def test_licences(spark):
     rows = [
         (1, "x\nLicensed under the Apache License, Version 2.0."),
