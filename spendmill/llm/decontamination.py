@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 SEED = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8_000_000
-_TOKENS = re.compile(r"[^\W_]+")
+# Pairs of seeds that are looked at together.
+_PAIRS_AT_ONCE = 1_000_000
+# Scripts that are written without spaces: each character is a token.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_TOKENS = re.compile(rf"(?=[^\W_])[{_UNSPACED}]|(?:(?![{_UNSPACED}])[^\W_])+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[str]:
-    """Runs of letters and digits, lower-cased."""
+    """Runs of letters and digits, lower-cased; in scripts without spaces, every letter for itself."""
     return _TOKENS.findall(text.lower()) if text else []
 
 
@@ -46,7 +50,10 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class TestBlock:
-    """Items of one block: their token ids and the seeds' places, sorted by Karp-Rabin value."""
+    """Items of one block: their token ids and the seeds' places, sorted by Karp-Rabin value.
+
+    `short` are the items of fewer than `SEED` tokens, by their tokens.
+    """
 
     __test__ = False
 
@@ -56,14 +63,19 @@ class TestBlock:
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_at: np.ndarray
+    flat: np.ndarray
+    offsets: np.ndarray
+    short: dict[tuple[str, ...], list[int]]
 
     @classmethod
     def of(cls, rows: list[tuple]) -> TestBlock:
         vocabulary: dict[str, int] = {}
-        names, items = [], []
+        names, items, short = [], [], defaultdict(list)
         for name, text in rows:
             found = tokens(text)
-            if len(found) >= SEED:
+            if found:
+                if len(found) < SEED:
+                    short[tuple(found)].append(len(names))
                 names.append(name)
                 items.append(np.array([vocabulary.setdefault(t, len(vocabulary) + 1) for t in found], np.uint64))
         values = [rolling(ids, SEED) for ids in items]
@@ -71,25 +83,50 @@ class TestBlock:
         item = np.repeat(np.arange(len(items)), [len(v) for v in values])
         at = np.concatenate([*(np.arange(len(v)) for v in values), np.zeros(0, np.int64)]).astype(np.int64)
         order = np.argsort(flat, kind="stable")
-        return cls(names, items, vocabulary, flat[order], item[order], at[order])
+        ids = np.concatenate([*items, np.zeros(0, np.uint64)])
+        offsets = np.cumsum([0, *map(len, items)])
+        return cls(names, items, vocabulary, flat[order], item[order], at[order], ids, offsets, dict(short))
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, covered tokens, tiles, longest tile) for every item that shares a seed with the text."""
-        if not text or not len(self.seeds):
+        """(item, covered tokens, tiles, longest tile) for every item that shares a seed with the text or, if it is too short
+        for one, equals it token by token."""
+        if not text:
+            return []
+        found = tokens(text)
+        if len(found) < SEED:
+            return [(item, len(found), 1, len(found)) for item in self.short.get(tuple(found), ())]
+        if not len(self.seeds):
             return []
         known = self.vocabulary.get
-        ids = np.array([known(t, 0) for t in tokens(text)], np.uint64)
+        ids = np.array([known(t, 0) for t in found], np.uint64)
+        pairs: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for places, items, ats in self._run_starts(ids):
+            for place, item, at in zip(places.tolist(), items.tolist(), ats.tolist()):
+                pairs[item].append((place, at))
+        return [(item, *tile(ids, self.items[item], seeds)) for item, seeds in sorted(pairs.items())]
+
+    def _run_starts(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in text, item, place in item) of seeds that begin a run: the tokens before them differ, or there are none.
+
+        Where a text repeats a token of an item, all other pairs lie inside runs; they are passed over without being kept.
+        """
         values = rolling(ids, SEED)
         first = np.searchsorted(self.seeds, values, side="left")
         hit = np.flatnonzero(self.seeds[np.minimum(first, len(self.seeds) - 1)] == values)
-        if not len(hit):
-            return []
-        pairs: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        last = np.searchsorted(self.seeds, values[hit], side="right")
-        for place, low, high in zip(hit.tolist(), first[hit].tolist(), last.tolist()):
-            for k in range(low, high):
-                pairs[int(self.seed_item[k])].append((place, int(self.seed_at[k])))
-        return [(item, *tile(ids, self.items[item], seeds)) for item, seeds in sorted(pairs.items())]
+        first = first[hit]
+        counts = np.searchsorted(self.seeds, values[hit], side="right") - first
+        ends = np.cumsum(counts)
+        low = 0
+        while low < len(hit):
+            done = ends[low] - counts[low]
+            high = max(low + 1, int(np.searchsorted(ends, done + _PAIRS_AT_ONCE, side="right")))
+            some = counts[low:high]
+            seed = np.arange(some.sum()) + np.repeat(first[low:high] - (ends[low:high] - some - done), some)
+            place, item, at = np.repeat(hit[low:high], some), self.seed_item[seed], self.seed_at[seed]
+            begins = (place == 0) | (at == 0)
+            begins |= ids[place - 1] != self.flat[self.offsets[item] + at - 1]
+            yield place[begins], item[begins], at[begins]
+            low = high
 
 
 def tile(text: np.ndarray, item: np.ndarray, seeds: list[tuple[int, int]]) -> tuple[int, int, int]:
@@ -144,8 +181,8 @@ def test_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
 def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """One row per (row of `docs`, item) whose tiles cover `coverage` of the item's tokens or more.
 
-    Columns: `doc_id`, `item_id`, `coverage`, `n_tiles`, `longest`. Null and empty texts match nothing; items of less than
-    `SEED` tokens cannot be told from chance and match nothing; repeated rows give repeated results; further columns are not
+    Columns: `doc_id`, `item_id`, `coverage`, `n_tiles`, `longest`. Null and empty texts match nothing; an item of
+    fewer than `SEED` tokens, which stands in many texts by chance, matches texts that hold nothing else; repeated rows give repeated results; further columns are not
     read. An empty benchmark or table gives no rows.
     """
     spark = docs.sparkSession

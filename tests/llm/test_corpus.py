@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -344,6 +345,23 @@ def test_leaks(spark):
     assert decontamination.find_leaks(docs, tests.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items_and_of_scripts_without_spaces(spark):
+    chinese = "\u6d4b\u8bd5\u6570\u636e\u4e0d\u5e94\u8be5\u51fa\u73b0\u5728\u8bad\u7ec3\u8bed\u6599\u4e2d"
+    items = spark.createDataFrame([(1, "Who was he?"), (2, chinese), (3, "..."), (4, None)], "item_id long, text string")
+    rows = [(1, "who was HE"), (2, "who was he then, and where did he go"), (3, f"abc {chinese}\u3002 def"), (4, chinese[:6]), (5, ""), (6, "!")]
+    found = {(r.doc_id, r.item_id, r.coverage) for r in decontamination.find_leaks(docs_of(spark, rows), items).collect()}
+    assert found == {(1, 1, 1.0), (3, 2, 1.0)}
+
+
+def test_leaks_of_repeated_tokens_take_linear_time(monkeypatch):
+    block = decontamination.TestBlock.of([("x", "no " * 60), ("y", "a b c d e f g")])
+    began = time.process_time()
+    assert block.matches("no " * 40_000) == [(0, 60, 1, 60)]
+    assert time.process_time() - began < 8
+    monkeypatch.setattr("spendmill.llm.decontamination._PAIRS_AT_ONCE", 3)
+    assert block.matches("no " * 200 + "b c d e f") == [(0, 60, 1, 60), (1, 5, 1, 5)]
+
+
 def test_blocks_cover_the_benchmark(spark):
     tests = spark.createDataFrame([(i, f"item number {i} has some words") for i in range(50)], "item_id long, text string")
     blocks = list(decontamination.test_blocks(tests, block_bytes=300))
