@@ -13,6 +13,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spendmill import files
 from spendmill.operators.incremental import DateWindow
@@ -25,6 +26,8 @@ SPREAD = "_spread"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Folder of the commits below the table's own folder; the underscore hides it from file listings.
 COMMITS = "_commits"
+# Folder of a commit's rows per account and date.
+MARKS = "marks"
 
 
 def partition_dates(spark: SparkSession, table: str) -> set[date]:
@@ -156,6 +159,66 @@ def expire_commits(spark: SparkSession, table: str, before: datetime) -> int:
     return deleted
 
 
+# Marks: rows per account and date, written with every commit.
+
+
+def _marks_schema(stored: StructType) -> StructType:
+    return StructType([stored["account_id"], stored["date"], StructField("n", LongType())])
+
+
+def _count_days(spark: SparkSession, folder: str, stored: StructType) -> None:
+    """Note beside a commit's files how many rows each account has on each date. One column is read, sums leave the tasks."""
+    written = spark.read.schema(StructType([stored["account_id"], stored["date"]])).parquet(f"{folder}/rows")
+    days = written.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n"))
+    days.write.mode("overwrite").parquet(f"{folder}/{MARKS}")
+
+
+def _live_dates(spark: SparkSession, folders: list[str]) -> dict[str, list[date]]:
+    """Which dates still show the files of which commit: the last commit that touched a date decides. One entry per date."""
+    if not folders:
+        return {}
+    records = spark.read.schema("dates array<string>, emptied array<string>").json([f"{f}/record.json" for f in folders])
+    commit = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("commit")
+    kept = records.select(commit, F.lit(True).alias("kept"), F.explode("dates").alias("day"))
+    touched = kept.unionByName(records.select(commit, F.lit(False).alias("kept"), F.explode("emptied").alias("day")))
+    last = touched.groupBy("day").agg(F.max(F.struct("commit", "kept")).alias("last"))
+    live: dict[str, list[date]] = {}
+    for row in last.where("last.kept").select("day", "last.commit").collect():
+        live.setdefault(row["commit"], []).append(date.fromisoformat(row["day"]))
+    return live
+
+
+def account_days(spark: SparkSession, table: str) -> DataFrame:
+    """Rows per account and date of a table (`account_id`, `date`, `n`), from the counts that its commits wrote down.
+
+    No file of the table is opened: of every commit that some date still shows, the counts of those dates are read. Where there
+    are none, they are made again: a commit without counts is counted once and keeps them, a date that no commit wrote is
+    counted from the table. A commit is there with its counts or not at all, so they are never behind the table. An empty
+    table gives no rows; rows without an account count as one account that is null.
+    """
+    base = table_folder(spark, table)
+    finish_commits(spark, table, base)
+    stored = spark.table(table).schema
+    present = partition_dates(spark, table)
+    live = _live_dates(spark, _commit_folders(spark, base))
+    live = {commit: shown for commit, days in live.items() if (shown := sorted(present.intersection(days)))}
+    uncounted = present.difference(*live.values())
+    outside = spark.table(table).where(F.col("date").isin(sorted(uncounted)) if uncounted else F.lit(False))
+    counted = outside.groupBy("account_id", "date").agg(F.count(F.lit(1)).alias("n"))
+    if not live:
+        return counted
+    folders = {commit: f"{base}/{COMMITS}/{commit}" for commit in live}
+    for folder in folders.values():
+        if not files.exists(spark, f"{folder}/{MARKS}/_SUCCESS"):
+            _count_days(spark, folder, stored)
+    marks = spark.read.schema(_marks_schema(stored)).parquet(*[f"{folder}/{MARKS}" for folder in folders.values()])
+    # One row per calendar day; its size is known to Catalyst.
+    shown = spark.createDataFrame([(c, d) for c, days in live.items() for d in days], "_commit string, date date")
+    marks = marks.withColumn("_commit", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3))
+    current = marks.join(shown, ["_commit", "date"], "left_semi").select("account_id", "date", "n")
+    return current.unionByName(counted) if uncounted else current
+
+
 def replace_slices(
     spark: SparkSession,
     table: str,
@@ -176,7 +239,7 @@ def replace_slices(
     without a date, outside the window or outside the scope is an error. All of that is raised before anything is written.
 
     Only dates that the batch or the scope touches get new files. They are written beside the old ones and named in a commit
-    record; then dates that end up empty are dropped and each other date is pointed to its new files, one catalog change a
+    record, with their rows per account (`account_days`); then dates that end up empty are dropped and each other date is pointed to its new files, one catalog change a
     date. Readers see the old or the new rows of a date. If the driver dies on the way, `finish_commits`, which every replace
     calls first, goes on from the record. Old files stay until `expire_commits`. One writer per table is assumed. Lists
     that reach the driver are calendar days of the window, never rows.
@@ -225,6 +288,7 @@ def replace_slices(
             .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored])
         )
         laid_out.write.partitionBy("date").parquet(f"{folder}/rows")
+        _count_days(spark, folder, stored)
     record = {"dates": [day.isoformat() for day in dates], "emptied": [day.isoformat() for day in emptied]}
     files.write_text(spark, f"{folder}/record.json", json.dumps(record))
     _apply_commit(spark, table, folder, record)

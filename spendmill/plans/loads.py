@@ -293,7 +293,7 @@ def plan_account_windows(
     lookback_days: int = LOOKBACK_DAYS,
     floor: date = FIRST_RUN_FLOOR,
 ) -> DataFrame:
-    """Lookback window per listed account, from that account's own newest date.
+    """Lookback window per listed account, from that account's own newest date. No file of the fact is opened.
 
     An account that failed for longer than the lookback, or that is new, is loaded from where it stopped; with the
     default window of the whole table such an account would keep a gap.
@@ -302,7 +302,7 @@ def plan_account_windows(
     if earlier is not None:
         return earlier
     store.create_fact(spec)
-    marks = account_marks(store.read(spec)).withColumnRenamed("account_id", "_account")
+    marks = account_marks(store.account_days(spec.table)).withColumnRenamed("account_id", "_account")
     listed = accounts.select(F.col("key").alias("requested_account"))
     account = F.col("requested_account")
     if spec.platform == "meta":

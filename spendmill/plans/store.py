@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from spendmill import files
 from spendmill.operators.incremental import DateWindow
 from spendmill.operators.schemas import require_same
-from spendmill.operators.slices import expire_commits, finish_commits, partition_dates, table_folder
+from spendmill.operators.slices import account_days, expire_commits, finish_commits, partition_dates, table_folder
 from spendmill.plans.spec import ReportSpec
 
 
@@ -91,6 +91,10 @@ class Store:
             return None
         return max(partition_dates(self.spark, self.name(table)), default=None)
 
+    def account_days(self, table: str) -> DataFrame:
+        """Rows per account and date of a fact, as its commits noted them; high-water marks come from this."""
+        return account_days(self.spark, self.name(table))
+
     def point_to(self, spec: ReportSpec, location: str) -> None:
         """Let a full-refresh table show another version folder: readers see the old or the new version, never half."""
         table = self.name(spec.table)

@@ -25,7 +25,7 @@ from spendmill.verify.operator_queries import (
     loaded_geo,
     query,
 )
-from spendmill.verify.oracles import scan_fact
+from spendmill.verify.oracles import load_fact, scan_fact
 from spendmill.verify.queries import new_store
 
 _REFUSED = "SELECT '{}' AS batch, '{}' AS problem, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(SUM(cost_micros) AS BIGINT) AS cost_micros FROM ({})"
@@ -150,3 +150,13 @@ def backfill_years_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         backfill(store, spec, landed, accounts, Run(date(2024, 1, 20)), (2022, 2025), excluded=excluded_keys("meta"))
     return store.read(spec).drop(INGESTED_AT)
+
+
+@query(
+    "account_days",
+    f"SELECT account_id, date, CAST(COUNT(*) AS BIGINT) AS n FROM ({load_fact('google_ads_geo')}) GROUP BY account_id, date",
+)
+def account_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per account and day as two loads noted them; the table is not read."""
+    store, _ = loaded_geo(spark, sf_dir)
+    return store.account_days("google_ads_geo")

@@ -1,5 +1,6 @@
 """Commits of slices, versions, schemas, outcomes and holes."""
 
+import random
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -102,6 +103,56 @@ def test_replaced_dates_expire(store):
     assert table_rows(store, name) == rows == [(d, "a", 2) for d in DAYS[:2]]
 
 
+# Rows per account and date.
+
+
+def counts(store, name):
+    return sorted(
+        ((r["date"], r["account_id"], r["n"]) for r in slices.account_days(store.spark, name).collect()), key=repr
+    )
+
+
+def counted(store, name):
+    return sorted(
+        (tuple(r) for r in store.spark.table(name).groupBy("date", "account_id").count().collect()), key=repr
+    )
+
+
+def test_account_days_follow_every_commit(store):
+    """Against counts of the table; dates that no commit wrote are counted there."""
+    name = create(store, [])
+    assert counts(store, name) == []
+    rng = random.Random(5)
+    store.spark.sql(f"INSERT INTO {name} PARTITION (date = DATE'{FIRST - timedelta(days=9)}') VALUES ('a', 1), (NULL, 2)")
+    for n in range(4):
+        accounts = "ab"[: 1 + n % 2]
+        batch = [(rng.choice(DAYS), a, n) for a in accounts for _ in range(rng.randrange(1, 4))]
+        replace(store, name, batch, [(a, DAYS[0], DAYS[3]) for a in accounts], WINDOW, f"c{n}")
+        assert counts(store, name) == counted(store, name)
+    replace(store, name, [], [(a, DAYS[0], DAYS[3]) for a in "ab"], WINDOW, "none")
+    assert counts(store, name) == counted(store, name) and len(counts(store, name)) == 2
+
+
+def test_account_days_open_no_file_of_the_table(store):
+    name = create(store, [])
+    for n in range(2):
+        replace(store, name, [(d, "a", n) for d in DAYS[n:]], [("a", DAYS[n], DAYS[3])], WINDOW, f"m{n}")
+    days = slices.account_days(store.spark, name)
+    assert counts(store, name) == counted(store, name)
+    assert days.inputFiles() and all("/marks/" in file for file in days.inputFiles())
+
+
+def test_account_days_are_made_again(store):
+    """A commit without counts, as earlier releases wrote it."""
+    name = create(store, [])
+    replace(store, name, [(d, "a", 1) for d in DAYS], [("a", DAYS[0], DAYS[3])], WINDOW)
+    base = f"{slices.table_folder(store.spark, name)}/{slices.COMMITS}"
+    (commit,) = files.children(store.spark, base)
+    files.delete(store.spark, f"{base}/{commit}/{slices.MARKS}")
+    assert counts(store, name) == counted(store, name)
+    assert files.exists(store.spark, f"{base}/{commit}/{slices.MARKS}/_SUCCESS")
+
+
 # Schemas.
 
 
