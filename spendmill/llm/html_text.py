@@ -31,10 +31,20 @@ DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search al
 # Words in a class or id that mark what is not the article.
 DROPPED_NAMES = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|sidebars?|nav(?:bar"
-    r"|igation)?|menus?|breadcrumbs?|footer|comments?|replies|reply|discussion|disqus|respond|notices?|cookies?|consent|gdpr|popup|modal"
-    r"|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widgets?|toolbar|pagination"
-    r"|pager|skip(?:-?link)?|masthead|site-?header|page-?header|copyright|disclaimer|hidden)(?:$|[^a-z])"
+    r"|igation)?|menus?|breadcrumbs?|footer|comments?|disqus|notices?|cookies?|gdpr|popup|newsletter|signup|toolbar|pagination"
+    r"|pager|skip(?:-?link)?|masthead|site-?header|page-?header|hidden)(?:$|[^a-z])"
 )
+# Words that articles use for their own parts as well. Inside an article they are a doubt, and what the block holds decides.
+DOUBTFUL_NAMES = re.compile(
+    r"(?:^|[^a-z])(?:replies|reply|discussion|respond|consent|modal|overlay|subscribe|login|share|sharing|social|related|recommended"
+    r"|widgets?|copyright|disclaimer)(?:$|[^a-z])"
+)
+# Elements that hold the text itself: inside an article no doubtful name takes one away.
+TEXT_ELEMENTS = frozenset(
+    "h1 h2 h3 h4 h5 h6 p pre blockquote table caption thead tbody tfoot tr td th li dl dt dd figure figcaption code".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LEAST_DOUBTFUL = 60  # code points that a doubtful block needs to be part of the article
 CONTAINERS = frozenset("article main body section div td table center blockquote".split())
 # Elements that a new one of these closes.
 CLOSES_P = frozenset(
@@ -47,26 +57,38 @@ SIGMA = 1.0
 NEARLY = 0.9
 
 
-def _dropped(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+KEPT, DOUBTFUL, GONE = range(3)
+
+
+def _verdict(tag: str, attrs: list[tuple[str, str | None]], in_article: bool, in_main: bool) -> int:
+    """Whether an element is left out by its tag and attributes; `in_main` is inside an `article` or `main`."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return GONE
     if tag in ("html", "body", "main", "article"):
-        return False
+        return KEPT
+    verdict = KEPT
     for name, value in attrs:
         if name == "hidden":
-            return True
+            return GONE
         if not value:
             continue
         low = value.lower()
-        if name in ("class", "id") and DROPPED_NAMES.search(low):
-            return True
+        # The id of a heading is made of its own words.
+        if name == "class" or (name == "id" and not (in_main and tag in HEADINGS)):
+            if DROPPED_NAMES.search(low):
+                return GONE
+            if DOUBTFUL_NAMES.search(low):
+                if not in_main:
+                    return GONE
+                if tag not in TEXT_ELEMENTS:
+                    verdict = DOUBTFUL
         if name == "role" and low in DROPPED_ROLES:
-            return True
+            return GONE
         if name == "aria-hidden" and low == "true":
-            return True
+            return GONE
         if name == "style" and "display:none" in low.replace(" ", ""):
-            return True
-    return False
+            return GONE
+    return verdict
 
 
 class PageLines(HTMLParser):
@@ -74,8 +96,10 @@ class PageLines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, dropped (also by an ancestor), container
-        self.lines: list[tuple[str, int, int]] = []
+        # Tag, dropped (also by an ancestor), container, and the doubtful block it stands in (0: none).
+        self.stack: list[tuple[str, bool, int, int]] = []
+        self.found: list[tuple[str, int, int, int]] = []
+        self.doubts: list[list[int]] = [[0, 0]]  # code points of each doubtful block, and those of its links
         self.containers: list[tuple[str, int]] = [("", 0)]  # tag and the container around it
         self.titled: set[int] = set()  # containers that hold a line of a first-level heading
         self.text: list[str] = []
@@ -92,12 +116,25 @@ class PageLines(HTMLParser):
             end = self.rawdata.find(">", i + 2)
             return end + 1 if end >= 0 else len(self.rawdata)
 
+    def parse_pi(self, i: int) -> int:
+        """Server code ends at its own mark; there may be tags in it."""
+        if self.rawdata.startswith(("<?php", "<?="), i):
+            end = self.rawdata.find("?>", i)
+            return end + 2 if end >= 0 else -1
+        return super().parse_pi(i)
+
+    @property
+    def lines(self) -> list[tuple[str, int, int]]:
+        """All lines but those of doubtful blocks that are short or half links."""
+        gone = {d for d, (size, links) in enumerate(self.doubts) if d and (size < LEAST_DOUBTFUL or 2 * links >= size)}
+        return [(text, tags, container) for text, tags, container, doubt in self.found if doubt not in gone]
+
     def _line(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                container = self.stack[-1][2] if self.stack else 0
-                self.lines.append((line, self.tags, container))
+                _, _, container, doubt = self.stack[-1] if self.stack else ("", False, 0, 0)
+                self.found.append((line, self.tags, container, doubt))
                 if self.heading:
                     self.titled.add(container)
             self.text = []
@@ -117,7 +154,7 @@ class PageLines(HTMLParser):
             self.tags = 1
         if tag in VOID:
             return
-        _, dropped, container = self.stack[-1] if self.stack else ("", False, 0)
+        _, dropped, container, doubt = self.stack[-1] if self.stack else ("", False, 0, 0)
         if tag in CONTAINERS:
             self.containers.append((tag, container))
             container = len(self.containers) - 1
@@ -125,8 +162,12 @@ class PageLines(HTMLParser):
             self.article += 1
         if tag == "h1":
             self.heading += 1
+        verdict = GONE if dropped else _verdict(tag, attrs, self.article > 0, self.article > 0 or self.open["main"] > 0)
+        if verdict == DOUBTFUL and not doubt:
+            self.doubts.append([0, 0])
+            doubt = len(self.doubts) - 1
         self.open[tag] += 1
-        self.stack.append((tag, dropped or _dropped(tag, attrs, self.article > 0), container))
+        self.stack.append((tag, verdict == GONE, container, doubt))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -145,9 +186,9 @@ class PageLines(HTMLParser):
         for at in range(len(self.stack) - 1, -1, -1):
             name = self.stack[at][0]
             if name == tag:
-                self.article -= sum(1 for n, _, _ in self.stack[at:] if n == "article")
-                self.heading -= sum(1 for n, _, _ in self.stack[at:] if n == "h1")
-                self.open.subtract(n for n, _, _ in self.stack[at:])
+                self.article -= sum(1 for e in self.stack[at:] if e[0] == "article")
+                self.heading -= sum(1 for e in self.stack[at:] if e[0] == "h1")
+                self.open.subtract(e[0] for e in self.stack[at:])
                 del self.stack[at:]
                 return
             if name in limits:
@@ -156,8 +197,16 @@ class PageLines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.stack and self.stack[-1][1]):
             self.text.append(data)
+            doubt = self.stack[-1][3] if self.stack else 0
+            if doubt:
+                size = len("".join(data.split()))
+                self.doubts[doubt][0] += size
+                self.doubts[doubt][1] += size if self.open["a"] else 0
 
     def close(self) -> None:
+        # A comment, section or piece of server code that is never closed reaches to the end of the page.
+        if self.rawdata.startswith(("<!--", "<![", "<?")):
+            self.rawdata = ""
         super().close()
         self._line()
 
@@ -189,7 +238,10 @@ def main_text(html: str | None) -> str:
     for (text, _, container), ratio in zip(lines, ratios):
         if ratio >= threshold:
             clustered[container] += len(text)
-    article = article_containers(parser, clustered)
+    lengths: Counter[int] = Counter()
+    for text, _, container in lines:
+        lengths[container] += len(text)
+    article = article_containers(parser, clustered, lengths)
     return "\n".join(text for text, _, container in lines if container in article)
 
 
@@ -201,8 +253,8 @@ def subtree_sums(parser: PageLines, weight: Counter[int]) -> list[int]:
     return sums
 
 
-def article_containers(parser: PageLines, clustered: Counter[int]) -> set[int]:
-    """The containers whose lines are the article, by their clustered text."""
+def article_containers(parser: PageLines, clustered: Counter[int], lengths: Counter[int]) -> set[int]:
+    """The containers whose lines are the article, by their clustered text; `lengths` is all text by container."""
     tags, around = zip(*parser.containers)
     inside = [False] * len(tags)  # of an article or main, or being one
     for c in range(1, len(tags)):
@@ -221,7 +273,7 @@ def article_containers(parser: PageLines, clustered: Counter[int]) -> set[int]:
         and not (only_marked and inside[around[c]] and tags[c] not in ("article", "main"))
     )
     # A heading beside the text belongs to it, if little else stands beside it.
-    everything = subtree_sums(parser, _lengths(parser))
+    everything = subtree_sums(parser, lengths)
     titled = subtree_sums(parser, Counter(parser.titled))
     outer = best
     while not inside[best] and not titled[best] and tags[outer] not in ("", "body"):
@@ -237,13 +289,6 @@ def article_containers(parser: PageLines, clustered: Counter[int]) -> set[int]:
     return {c for c in kept if inside[c]} if only_marked else kept
 
 
-def _lengths(parser: PageLines) -> Counter[int]:
-    lengths: Counter[int] = Counter()
-    for text, _, container in parser.lines:
-        lengths[container] += len(text)
-    return lengths
-
-
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """One row per row of `pages`: `page_id`, `url`, `text`, `n_chars` (code points). A null page has no text.
 

@@ -3,8 +3,8 @@
 The licence templates are indexed by word and position. The voters of a template are the rarest words of its mandatory key
 phrase (document frequency over the whole corpus), as many as give `MIN_VOTES` places. Each occurrence of a voter votes for
 its template standing at (place in text - place in template); a start with `MIN_VOTES` votes is a candidate, and counts if
-the key phrase stands there word for word. So no statement depends on what else a text holds. The index is small and fixed by the templates, so it travels inside the expressions:
-no shuffle and no join takes part in the scan.
+the key phrase stands there word for word. So no statement depends on what else a text holds. The index is small and fixed by
+the templates, so it travels inside the expressions: no shuffle and no join takes part in the scan.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from spendmill.llm.common import lower_for_ascii
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 MIN_VOTES = 2
-TOP = 12  # licence words per text in the SQL; the scan has no such bound
 # Phrases whose places are counted, and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 

@@ -5,7 +5,7 @@ Operators that SQL cannot express have no entry; their tests hold them against b
 
 from __future__ import annotations
 
-from spendmill.llm.license_scan import BASE_PHRASES, MIN_VOTES, TEMPLATES, TOP
+from spendmill.llm.license_scan import BASE_PHRASES, TEMPLATES
 from spendmill.llm.line_dedup import BASE, PRIME
 from spendmill.llm.quality_rules import LADDERS, Risk
 
@@ -23,7 +23,6 @@ def license_scan() -> str:
     postings = _values((name, at, word) for name, t in TEMPLATES.items() for at, word in enumerate(t.words))
     keys = _values((name, t.key_start + j, w) for name, t in TEMPLATES.items() for j, w in enumerate(t.key.split()))
     sizes = _values((name, len(t.words), len(t.key.split())) for name, t in TEMPLATES.items())
-    first = ", ".join(sorted({repr(t.key.split()[0]) for t in TEMPLATES.values()}))
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
@@ -35,16 +34,8 @@ sizes(template, n, n_key) AS (VALUES {sizes}),
 base AS (SELECT r, label, i - pos AS start FROM words JOIN phrases ON word = w JOIN lengths USING (label)
   GROUP BY r, label, i - pos HAVING count(*) = max(n)),
 base_sum AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word FROM base GROUP BY r),
-vocabulary AS (SELECT DISTINCT word FROM postings),
-df AS (SELECT word, (SELECT count(DISTINCT r) FROM words WHERE w = word) AS n FROM vocabulary),
-eligible AS (SELECT DISTINCT r FROM words WHERE w IN ({first})),
-rare AS (SELECT r, word FROM (SELECT r, word, row_number() OVER (PARTITION BY r ORDER BY n, word) AS k
-  FROM (SELECT DISTINCT r, w AS word FROM words JOIN eligible USING (r)) JOIN df USING (word)) WHERE k <= {TOP}),
-starts AS (SELECT words.r, template, i - pos AS start FROM words JOIN rare ON rare.r = words.r AND rare.word = words.w
-  JOIN postings ON postings.word = rare.word GROUP BY ALL HAVING count(*) >= {MIN_VOTES}),
-verified AS (SELECT s.r, s.template, s.start FROM starts s JOIN keys k ON k.template = s.template
-  JOIN words w ON w.r = s.r AND w.i = s.start + k.pos AND w.w = k.word JOIN sizes z ON z.template = s.template
-  GROUP BY s.r, s.template, s.start HAVING count(*) = max(n_key)),
+verified AS (SELECT words.r, k.template, i - pos AS start FROM words JOIN keys k ON k.word = w JOIN sizes z USING (template)
+  GROUP BY words.r, k.template, i - pos HAVING count(*) = max(n_key)),
 shares AS (SELECT v.r, v.template, v.start, count(w.w) / max(z.n) AS share FROM verified v
   JOIN postings p ON p.template = v.template JOIN sizes z ON z.template = v.template
   LEFT JOIN words w ON w.r = v.r AND w.i = v.start + p.pos AND w.w = p.word GROUP BY ALL),

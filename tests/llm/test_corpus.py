@@ -300,6 +300,11 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("tail", ["<!-- x", "<![CDATA[ x", "<?php echo 1", "<!-- <p>x</p>"])
+def test_open_marks_reach_to_the_end(tail):
+    assert html_text.main_text(f"<article><p>{LONG}</p>{tail}") == LONG
+
+
 LONG = "A long paragraph of real text stands here and goes on for a while."
 
 
@@ -312,6 +317,14 @@ LONG = "A long paragraph of real text stands here and goes on for a while."
         (f"<article><p>{LONG}<p>{LONG}<blockquote>Last word</blockquote></article>", f"{LONG}\n{LONG}\nLast word"),
         (f"<article><table><tr><td>a<td>b</table><p>{LONG}<p>{LONG}</article>", f"a\nb\n{LONG}\n{LONG}"),
         (f"<table><tr><td>{LONG}<td>{LONG}</table>", f"{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}<p class='share-price'>Up by two.<p>{LONG}</article>", f"{LONG}\nUp by two.\n{LONG}"),
+        (f"<article><p>{LONG}<table><tr><td class=social>a<td>b</table><p>{LONG}</article>", f"{LONG}\na\nb\n{LONG}"),
+        (f"<article><p>{LONG}<h2 id=related>Related work</h2><p>{LONG}</article>", f"{LONG}\nRelated work\n{LONG}"),
+        (f"<main><p>{LONG}<section id=discussion><h2>Discussion</h2><p>{LONG}</section></main>", f"{LONG}\nDiscussion\n{LONG}"),
+        (f"<article><p>{LONG}<div class=related><a href=x>{LONG}</a> more</div><p>{LONG}</article>", f"{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}<div class=share>Tell others</div><div id=comments><p>{LONG}</div></article>", LONG),
+        (f"<div class=story><p>{LONG}<p>{LONG}<div class=related><p>{LONG}</div></div>", f"{LONG}\n{LONG}"),
+        (f"<article><p>{LONG}<?php echo '<p>' ?>b</article>", f"{LONG}b"),
         (f"<div>{LONG}</div><article><p>{LONG}<p>{LONG}</article><article><p>{LONG}</article>", f"{LONG}\n{LONG}\n{LONG}"),
     ],
 )
