@@ -182,8 +182,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """One row per (row of `docs`, item) whose tiles cover `coverage` of the item's tokens or more.
 
     Columns: `doc_id`, `item_id`, `coverage`, `n_tiles`, `longest`. Null and empty texts match nothing; an item of
-    fewer than `SEED` tokens, which stands in many texts by chance, matches texts that hold nothing else; repeated rows give repeated results; further columns are not
-    read. An empty benchmark or table gives no rows.
+    fewer than `SEED` tokens, which stands in many texts by chance, matches texts that hold nothing else; repeated rows give
+    repeated results; further columns are not read. An empty benchmark or table gives no rows.
     """
     spark = docs.sparkSession
     doc_type, item_type = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))

@@ -26,6 +26,7 @@ from spendmill.llm.common import Workspace
 MEMO_WORDS = 500_000
 LINE_PARTS = 100
 GROUP_ITEMS = 8192
+GROUPS_PER_TASK = 64
 # Characters that the tokenizer's own pattern treats as white space, without those that only Python does.
 PYTHON_ONLY_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 # ASCII punctuation but the apostrophe, which can begin a token with letters.
@@ -232,6 +233,30 @@ def best_pair(sizes: np.ndarray, waiting: np.ndarray, room: int) -> tuple[int, i
     return int(first[best]), int(second[best])
 
 
+def even_groups(batches: Iterator[pd.DataFrame], items: int) -> Iterator[pd.DataFrame]:
+    """The rows of a task in groups of `items`; the last has between half and one and a half times as many, if there are as many.
+
+    Fewer than two groups and a batch are held.
+    """
+    held, rows = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            rows += len(batch)
+        if rows >= 2 * items:
+            frame = pd.concat(held, ignore_index=True)
+            while len(frame) >= 2 * items:
+                yield frame.iloc[:items].reset_index(drop=True)
+                frame = frame.iloc[items:]
+            held, rows = [frame], len(frame)
+    if rows:
+        frame = pd.concat(held, ignore_index=True)
+        cut = rows if 2 * rows <= 3 * items else items
+        yield frame.iloc[:cut]
+        if cut < rows:
+            yield frame.iloc[cut:].reset_index(drop=True)
+
+
 def pack_documents(docs: DataFrame, model_file: str, limit: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece of `docs` (`doc_id`, `text`) with its sequence and its place there.
 
@@ -242,14 +267,15 @@ def pack_documents(docs: DataFrame, model_file: str, limit: int = 2048, end_id:
     work = Workspace(spark, "packing")
     pieces = work.write(tokenized_pieces(docs, model_file, limit, end_id), "pieces")
     groups = max(1, ceil(pieces.count() / GROUP_ITEMS))
+    # A task packs many groups one after the other: tasks multiply far more slowly than the data.
+    tasks = min(groups, max(ceil(groups / GROUPS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One partition is one group, at most a little over GROUP_ITEMS small rows.
-        own = [batch for batch in batches if len(batch)]
-        if own:
-            group = pd.concat(own, ignore_index=True)
+        sequence = TaskContext.get().partitionId() << 32
+        for group in even_groups(batches, GROUP_ITEMS):
             bins, offsets = best_two_fit(group["length"].to_numpy(), limit)
-            yield group.assign(sequence_id=bins + (TaskContext.get().partitionId() << 32), offset=offsets)
+            yield group.assign(sequence_id=bins + sequence, offset=offsets)
+            sequence += int(bins.max()) + 1
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return pieces.repartition(groups).mapInPandas(pack, f"{schema}, sequence_id long, offset long")
+    return pieces.repartition(tasks).mapInPandas(pack, f"{schema}, sequence_id long, offset long")

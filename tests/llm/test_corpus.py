@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -278,6 +279,39 @@ def test_best_two_fit_exchanges_the_smallest():
     assert bins[0] == bins[2] == bins[3] != bins[1]
 
 
+@pytest.mark.parametrize("sizes, groups", [([], []), ([0, 3], [3]), ([15], [15]), ([16], [10, 6]), ([7] * 6, [10, 10, 10, 12]), ([45], [10, 10, 10, 15])])
+def test_groups_of_a_task(sizes, groups):
+    ends = np.cumsum([0, *sizes])
+    batches = [pd.DataFrame({"length": np.arange(a, b)}) for a, b in zip(ends, ends[1:])]
+    found = list(packing.even_groups(iter(batches), 10))
+    assert [len(g) for g in found] == groups
+    assert [n for g in found for n in g["length"]] == list(range(sum(sizes)))
+    assert all(list(g.index) == list(range(len(g))) for g in found)
+
+
+def test_one_task_packs_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 20)
+    monkeypatch.setattr(packing, "GROUPS_PER_TASK", 100)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rows = [(i, "word " * (i % 40)) for i in range(300)]
+        out = packing.pack_documents(docs_of(spark, rows), path("word_bpe_49k.json"), 64).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    bins = {}
+    for r in out:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 64
+    assert len({r.doc_id for r in out}) == 300 and len({s >> 32 for s in bins}) == 2
+    assert len(bins) <= 1.1 * sum(r.length for r in out) / 64 + 1
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
