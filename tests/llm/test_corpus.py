@@ -309,7 +309,8 @@ def test_one_task_packs_many_groups(spark, monkeypatch):
             end += length
         assert end <= 64
     assert len({r.doc_id for r in out}) == 300 and len({s >> 32 for s in bins}) == 2
-    assert len(bins) <= 1.1 * sum(r.length for r in out) / 64 + 1
+    # Each of the 15 groups of 20 may leave one sequence open.
+    assert len(bins) <= sum(r.length for r in out) / 64 + 15
 
 
 @pytest.mark.parametrize(
