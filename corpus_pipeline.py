@@ -19,7 +19,6 @@ from spendmill.llm.line_dedup import remove_repeated_lines
 from spendmill.llm.near_copies import drop_near_copies
 from spendmill.llm.packing import pack_documents
 from spendmill.llm.quality_rules import keep_documents
-from spendmill.llm.simhash import drop_near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # The stages hash and rank with functions that SQL engines do not share; tests hold run() against brute force.
@@ -70,12 +69,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group: texts whose fingerprints of five-word shingles differ in 4 bits or fewer, then texts whose sets
     of five-word shingles have a similarity of 0.8 or more, which a 64-bit fingerprint mostly misses. The smallest id stays.
     """
-    before = len(Workspace.opened)
-    by_fingerprint = drop_near_duplicates(docs, shingle=5)
-    done = Workspace.opened[before:]
-    by_fingerprint = Workspace(spark, "near_duplicates").write(by_fingerprint, "by_fingerprint")
-    Workspace.release(done)
-    return drop_near_copies(by_fingerprint, shingle=5)
+    return drop_near_copies(docs, shingle=5, fingerprints=True)
 
 
 @stage

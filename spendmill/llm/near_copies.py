@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from spendmill.llm.common import Workspace, fresh_name
 from spendmill.llm.components import connected_components
-from spendmill.llm.simhash import shingle_hashes
+from spendmill.llm.simhash import majority_bits, rows_to_drop, shingle_hashes, signed
 
 LEAST = (4, 5)
 BANDS, ROWS = 32, 4
@@ -139,41 +139,57 @@ def near_copy_links(distinct: DataFrame, rows: DataFrame, number: str, shingle:
     return roots if more.isEmpty() else connected_components(links.unionByName(more), work, "all_links")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int) -> DataFrame:
+def drop_near_copies(docs: DataFrame, shingle: int, fingerprints: bool = False) -> DataFrame:
     """The rows of `docs`, all columns, of which one stays per group of near copies: the one with the smallest document id.
 
     Groups are closed under links. Nulls come last; of rows with that id, one stays. Texts without words are one group, texts
-    shorter than a shingle have one shingle of all their words. The rows are written once with a row number, so that the
-    number of the row to keep means the same row when they are read again.
+    shorter than a shingle have one shingle of all their words. With `fingerprints`, those that `simhash.drop_near_duplicates`
+    drops go first, and only the others are compared.
+
+    Shingles are hashed once for all marks. The rows are written once with a row number, so that the number of a row to drop
+    means the same row when they are read again. The numbers of dropped rows are joined, not those of kept ones: they are
+    fewer, and while they fit into a broadcast no text is shuffled.
     """
     work = Workspace(docs.sparkSession, "near_copies")
-    names = [fresh_name(docs, name) for name in ("set_key", "bands", "row_number")]
-    set_key, bands, number = names
+    names = [fresh_name(docs, name) for name in ("set_key", "bands", "fp", "row_number")]
+    set_key, bands, fp, number = names
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            sets = [shingle_set(text, shingle) for text in batch.column("text").to_pylist()]
+            hashes = [shingle_hashes(text, shingle) for text in batch.column("text").to_pylist()]
+            prints = pa.array([signed(majority_bits(h)) if fingerprints else None for h in hashes], pa.int64())
+            sets = [np.unique(h.astype(np.uint64)) for h in hashes]
             keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()).hex() for s in sets], pa.string())
             lists = pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys, lists], names=[*batch.schema.names, set_key, bands])
+            columns = [*batch.columns, keys, lists, prints]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, set_key, bands, fp])
 
-    schema = StructType([*docs.schema.fields, StructField(set_key, docs.schema["text"].dataType), StructField(bands, ArrayType(LongType()))])
+    marks = [StructField(set_key, docs.schema["text"].dataType), StructField(bands, ArrayType(LongType())), StructField(fp, LongType())]
+    schema = StructType([*docs.schema.fields, *marks])
     rows = work.write(docs.mapInArrow(marked, schema).withColumn(number, F.monotonically_increasing_id()), "rows")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(number).alias("row"))
+    compared = rows.select("doc_id", F.col(set_key).alias("set_key"), F.col(number).alias("node"))
+    if fingerprints:
+        prints = rows.select("doc_id", F.col(fp).alias("fp"), F.col(number).alias("row"))
+        before = Workspace(docs.sparkSession, "simhash")
+        by_fingerprint = work.write(rows_to_drop(prints, before).withColumnRenamed("row", "node"), "by_fingerprint")
+        Workspace.release([before])
+        compared = compared.join(by_fingerprint, "node", "left_anti")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("node").alias("row"))
     # The first row of each set of shingles stands for it.
-    firsts = rows.groupBy(set_key).agg(F.min(order).alias("first"))
+    firsts = compared.groupBy("set_key").agg(F.min(order).alias("first"))
     firsts = work.write(firsts.select(F.col("first.row").alias("node"), "first"), "firsts")
     distinct = work.write(
         rows.select(F.col(number).alias("node"), F.col(bands).alias("bands")).join(firsts.select("node"), "node"), "distinct"
     )
     roots = near_copy_links(distinct, rows, number, shingle, work)
+    work.drop("distinct")
     keep = (
         firsts.join(roots, "node", "left")
         .groupBy(F.coalesce("root", "node").alias("root"))
         .agg(F.min("first").alias("first"))
         .select(F.col("first.row").alias(number))
     )
-    keep = work.write(keep, "keep")
-    return rows.join(keep, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    drop = work.write(rows.select(number).join(work.write(keep, "keep"), number, "left_anti"), "drop")
+    return rows.join(drop, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

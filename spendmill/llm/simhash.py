@@ -54,7 +54,10 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Bits set in over half of the XXH64 values of all word shingles, A-Z lower-cased; no words: zero."""
-    hashes = shingle_hashes(text, shingle)
+    return majority_bits(shingle_hashes(text, shingle))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1)
@@ -226,11 +229,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
+def rows_to_drop(prints: DataFrame, work: Workspace) -> DataFrame:
+    """`row` of all rows of `prints` (`doc_id`, `fp`, `row`) but the first of each component: the one with the smallest document id."""
+    members = work.write(components_of(prints.select("doc_id", "fp"), work), "members")
+    # The component's id is its smallest document id, so only rows that have it compete; null only if there is no other.
+    first = (
+        prints.join(members, "fp")
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("row").alias("row"))
+    )
+    keep = work.write(first.select("row"), "keep")
+    return prints.select("row").join(keep, "row", "left_anti")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The rows of `docs`, all columns, of which one stays per component: the one with the smallest document id.
 
     Nulls come last; of rows with that id, one stays. The rows are written once with their fingerprint and a row number, so
-    that the number of the row to keep means the same row when they are read again.
+    that the number of a row to drop means the same row when they are read again. The numbers of dropped rows are joined, not
+    those of kept ones: they are fewer, and while they fit into a broadcast no text is shuffled.
     """
     work = Workspace(docs.sparkSession, "simhash")
     fp, number = fresh_name(docs, "fp"), fresh_name(docs, "row_number")
@@ -245,13 +263,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     numbered = docs.mapInArrow(marked, schema).withColumn(number, F.monotonically_increasing_id())
     rows = work.write(numbered, "rows")
     prints = rows.select(F.col("doc_id"), F.col(fp).alias("fp"), F.col(number).alias("row"))
-    members = work.write(components_of(prints.select("doc_id", "fp"), work), "members")
-    # The component's id is its smallest document id, so only rows that have it compete; null only if there is no other.
-    first = (
-        prints.join(members, "fp")
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root")
-        .agg(F.min("row").alias(number))
-    )
-    keep = work.write(first.select(number), "keep")
-    return rows.join(keep, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    drop = work.write(rows_to_drop(prints, work).withColumnRenamed("row", number), "drop")
+    return rows.join(drop, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -19,6 +19,7 @@ from spendmill.llm.queries import QUERIES
 from spendmill.llm.substring_dedup import remove_repeated_windows
 from spendmill.llm.suffix_dedup import remove_repeated_bytes
 from spendmill.llm.token_counts import count_tokens
+from spendmill.session import scoped_conf
 from spendmill.verify.compare import differences
 from tests.llm import brute
 
@@ -220,6 +221,28 @@ def test_pipeline_leaves_no_near_copies(spark, tmp_path):
     assert len(brute.near_copies(left, 5)) == len(left) < len({text for _, text in rows})
 
 
+def test_near_duplicate_stage_moves_no_texts(spark, monkeypatch):
+    """The texts are written once, and the few dropped rows are taken out without a shuffle of all rows."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    rows = [(doc, " ".join(f"w{rng.randrange(900)}" for _ in range(60))) for doc in range(3000)]
+    rows += [(5000 + doc, text) for doc, text in rows[:20]]
+    with_text, plain = [], corpus_pipeline.Workspace.write
+
+    def noted(work, df, name, *more):
+        with_text.extend([name] if "text" in df.columns else [])
+        return plain(work, df, name, *more)
+
+    monkeypatch.setattr(corpus_pipeline.Workspace, "write", noted)
+    with scoped_conf(spark, spark__sql__autoBroadcastJoinThreshold="10k"):
+        after = corpus_pipeline.near_duplicates(spark, docs_of(spark, rows), SF_DIR)
+        plan = after._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in after.collect()) == list(range(3000))
+    assert with_text == ["rows"]
+    assert "Exchange hashpartitioning" not in plan
+
+
 @pytest.mark.parametrize("name", ["op5", "op6", "op7"])
 def test_empty_tables(spark, name):
     empty = docs_of(spark, [])
