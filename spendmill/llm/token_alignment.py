@@ -28,7 +28,6 @@ SHARE_STEPS = 65_536
 BATCH_CHARS = 1_000_000
 MARK = "▁"
 _B_BITS = 32
-_ID_RANGE = 1 << 20
 _SEPARATORS = (",", "|", ";")
 MEMO_WORDS = 400_000
 # Characters whose kind (letter, number, other) is the same in all releases of Unicode that the libraries may follow.
@@ -56,7 +55,7 @@ class Tokenizers:
         from tokenizers import Tokenizer
 
         self.words = regex.compile(public_tokenizers.PATTERN).findall
-        self.memo: dict[str, list[int]] = {}
+        self._forget()
         self.a = Tokenizer.from_file(a_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
@@ -70,48 +69,88 @@ class Tokenizers:
         self.a_sizes = np.array([len(t) for t in self.a_bytes], dtype=np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
         # Ids as text, with what follows them: a token of the same side, the other side, the next group.
-        ids = range(max(len(self.a_bytes), len(self.b_bytes)))
-        self.written = {i + _ID_RANGE * s: f"{i}{mark}" for s, mark in enumerate(_SEPARATORS) for i in ids}
+        self.id_range = max(len(self.a_bytes), len(self.b_bytes))
+        self.written = np.array([f"{i}{mark}" for mark in _SEPARATORS for i in range(self.id_range)], dtype=object)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
 
-    def _encode_a(self, texts: list[str]) -> list[list[int]]:
-        """A's ids. No merge crosses a word of the pre-tokenizer, so the library encodes every new word once.
+    def _forget(self) -> None:
+        """Empties the memo: words by number; by number, where their ids stand in `ids`, how many, and how many bytes they give back.
 
-        Texts with characters on which the libraries' tables might differ are encoded whole. A full memo is emptied.
+        A word whose ids do not give its bytes back has -1 bytes.
         """
-        whole = [i for i, text in enumerate(texts) if _SETTLED.search(text)]
-        apart = set(whole)
-        split = {i: self.words(text) for i, text in enumerate(texts) if i not in apart}
-        words = set(chain.from_iterable(split.values()))
+        self.memo: dict[str, int] = {}
+        self.ids, self.starts, self.counts, self.lengths = (np.zeros(0, np.int64) for _ in range(4))
+
+    def _learn(self, words: set[str]) -> None:
+        """Puts words into the memo; a full memo is emptied first."""
         new = words - self.memo.keys()
         if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
+            self._forget()
             new = words
         asked = list(new)
-        self.memo.update(zip(asked, (e.ids for e in self.a.encode_batch_fast(asked, add_special_tokens=False))))
-        ids = self.memo.__getitem__
-        found = {i: list(chain.from_iterable(map(ids, split[i]))) for i in split}
-        encoded = self.a.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
-        found.update(zip(whole, (e.ids for e in encoded)))
-        return [found[i] for i in range(len(texts))]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of either side; none for a text that one of the two does not give back byte by byte behind a space."""
+        encoded = [e.ids for e in self.a.encode_batch_fast(asked, add_special_tokens=False)]
+        self.memo.update(zip(asked, range(len(self.memo), len(self.memo) + len(asked))))
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        data = [word.encode("utf-8", "surrogatepass") for word in asked]
+        lengths = [len(d) if _bytes_of(self.a_bytes, ids) == d else -1 for ids, d in zip(encoded, data)]
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.lengths = np.concatenate([self.lengths, np.array(lengths, np.int64)])
+        self.ids = np.concatenate([self.ids, _flat(encoded)])
+
+    def _arrays_a(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """A's ids of every text, and how many bytes they are known to give back, word by word (-1: not known).
+
+        No merge crosses a word of the pre-tokenizer, so the library encodes every new word once. Texts with characters on which
+        the libraries' tables might differ are encoded whole.
+        """
+        whole = [i for i, text in enumerate(texts) if _SETTLED.search(text)]
+        apart = set(whole)
+        split = [[] if i in apart else self.words(text) for i, text in enumerate(texts)]
+        self._learn(set(chain.from_iterable(split)))
+        stops = np.cumsum([len(words) for words in split])
+        words = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(split)), np.int64, stops[-1] if len(stops) else 0)
+        counts = self.counts[words]
+        ends = np.cumsum(counts)
+        ids = self.ids[np.repeat(self.starts[words] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        # Sums up to each text's last word; a text may have none.
+        up_to = lambda values: np.concatenate([[0], np.cumsum(values)])[stops]
+        arrays = np.split(ids, up_to(counts)[:-1])
+        given = np.diff(up_to(self.lengths[words]), prepend=0)
+        given[np.diff(up_to(self.lengths[words] < 0), prepend=0) > 0] = -1
+        for i, encoded in zip(whole, self.a.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+            arrays[i], given[i] = np.array(encoded.ids, np.int64), -1
+        return arrays, given
+
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        return [ids.tolist() for ids in self._arrays_a(texts)[0]]
+
+    def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Ids of either side, all texts in a row, and their number per text.
+
+        A text that one of the two does not give back byte by byte behind a space has none. Words of A that give their bytes back
+        stand for their text if they have as many bytes as it.
+        """
         spaced = [" " + text for text in texts]
-        a = self._encode_a(spaced)
+        a, given = self._arrays_a(spaced)
         b = self.b.encode(texts, num_threads=1)
         for i, text in enumerate(spaced):
             data = text.encode("utf-8", "surrogatepass")
             if (
                 not texts[i]
-                or b"".join(map(self.a_bytes.__getitem__, a[i])) != data
-                or b"".join(map(self.b_bytes.__getitem__, b[i])) != data
+                or (given[i] != len(data) and _bytes_of(self.a_bytes, a[i].tolist()) != data)
+                or _bytes_of(self.b_bytes, b[i]) != data
             ):
-                a[i], b[i] = [], []
-        return a, b
+                a[i], b[i] = a[i][:0], []
+        n_a, n_b = (np.array([len(ids) for ids in side], dtype=np.int64) for side in (a, b))
+        return (np.concatenate(a), n_a), (_flat(b), n_b)
+
+
+def _bytes_of(token_bytes: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(token_bytes.__getitem__, ids))
 
 
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
@@ -184,14 +223,13 @@ def _written_groups(loaded: Tokenizers, a: np.ndarray, b: np.ndarray, a_at, b_at
     group_a[a_at], group_b[b_at] = group_of_link, group_of_link
     last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     last_a[a_at[shared]], last_b[b_at[shared]] = 1, 2
-    codes = np.concatenate([a + _ID_RANGE * last_a, b + _ID_RANGE * last_b])
+    codes = np.concatenate([a + loaded.id_range * last_a, b + loaded.id_range * last_b])
     order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    return list(map(loaded.written.__getitem__, codes[order].tolist()))
+    return loaded.written[codes[order]].tolist()
 
 
 def _flat(lists: list[list[int]]) -> np.ndarray:
-    total = sum(map(len, lists))
-    return np.fromiter((i for ids in lists for i in ids), dtype=np.int64, count=total)
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sum(map(len, lists)))
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
@@ -206,16 +244,14 @@ ALIGNED_DDL = (
 
 
 def _align_batch(loaded: Tokenizers, texts: list[str], batch: int) -> list[pa.Array]:
-    a_lists, b_lists = loaded.encode(texts)
-    n_a, n_b = (np.array([len(ids) for ids in side], dtype=np.int64) for side in (a_lists, b_lists))
-    a, b = _flat(a_lists), _flat(b_lists)
+    (a, n_a), (b, n_b) = loaded.encode(texts)
     a_at, b_at, shared = overlaps(np.cumsum(loaded.a_sizes[a]), np.cumsum(loaded.b_sizes[b]))
     written = _written_groups(loaded, a, b, a_at, b_at, shared)
     stops = np.cumsum(n_a + n_b).tolist()
     groups = ["".join(written[start:stop])[:-1] for start, stop in zip([0, *stops], stops)]
 
     documents = len(texts)
-    doc = np.searchsorted(np.cumsum(n_a), a_at, side="right")
+    doc = np.repeat(np.arange(documents), n_a)[a_at]
     known, pair, known_times = np.unique((a[a_at] << _B_BITS) | b[b_at], return_inverse=True, return_counts=True)
     own, times = np.unique(doc * max(1, len(known)) + pair, return_counts=True)
     own_doc, own_pair = own // max(1, len(known)), own % max(1, len(known))

@@ -1,6 +1,7 @@
 """Source divergence, token alignment and byte-level encoding against plain versions, the libraries, and odd inputs."""
 
 import base64
+import cProfile
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -170,6 +171,30 @@ def test_words_encode_like_whole_texts(monkeypatch):
     assert [loaded._encode_a([text])[0] for text in texts] == expected
 
 
+def test_alignment_calls_no_function_per_token():
+    """Tokens of known words are gathered by arrays; only the library handles single tokens."""
+    rng = random.Random(3)
+    texts = [" ".join(f"word{rng.randrange(50)}" for _ in range(400)) for _ in range(20)]
+    loaded = token_alignment.Tokenizers(A_FILE, B_FILE)
+    token_alignment._align_batch(loaded, texts, 0)
+    profile = cProfile.Profile()
+    columns = profile.runcall(token_alignment._align_batch, loaded, texts, 0)
+    tokens = sum(columns[1].to_pylist()) + sum(columns[2].to_pylist())
+    assert sum(entry.callcount for entry in profile.getstats()) < tokens / 5
+
+
+def test_words_that_do_not_give_their_bytes_back():
+    """Their texts have no tokens, others keep theirs, in any order and when the words are known already."""
+    loaded = token_alignment.Tokenizers(A_FILE, B_FILE)
+    expected = loaded.a.encode(" good text", add_special_tokens=False).ids
+    for i in loaded.a.encode(" strange", add_special_tokens=False).ids:
+        loaded.a_bytes[i] = b"?"
+    for _ in range(2):
+        (a, n_a), (b, n_b) = loaded.encode(["good text", "a strange text", "", "good text"])
+        assert a.tolist() == expected * 2 and n_a.tolist() == [len(expected), 0, 0, len(expected)]
+        assert b.tolist() == loaded.b.encode("good text") * 2 and n_b.tolist() == [len(b) // 2, 0, 0, len(b) // 2]
+
+
 def test_alignment_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op12_token_alignment"](spark, SF_DIR).select(*COLUMNS[:-1], "groups_sha256")
